@@ -64,14 +64,14 @@ def random_search(
     """
     points = grid_points(grid)
     random.Random(seed).shuffle(points)
-    size = len(train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})) and _width(train)
+    width = train.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
     train, valid = train.persist(), valid.persist()
     found, best, stale = [], float("-inf"), 0
     try:
         for point in points[:max_models]:
             params = dict(point)
-            if size and params.get("featureSubsetStrategy", "").isdigit():
-                params["featureSubsetStrategy"] = str(min(int(params["featureSubsetStrategy"]), size))
+            if width and params.get("featureSubsetStrategy", "").isdigit():
+                params["featureSubsetStrategy"] = str(min(int(params["featureSubsetStrategy"]), width))
             model = estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(train)
             auc = area_under_roc(model, valid)
             found.append({"params": params, "model": model, "auc": auc, "accuracy": accuracy(model, valid)})
@@ -84,10 +84,6 @@ def random_search(
     return sorted(found, key=lambda entry: entry[rank_by], reverse=True)
 
 
-def _width(frame: DataFrame) -> int:
-    return frame.schema["features"].metadata["ml_attr"]["num_attrs"]
-
-
 def search_forest(train: DataFrame, valid: DataFrame, grid=None, seed: int = 12345, **options) -> list[dict]:
     return random_search(RandomForestClassifier(seed=seed), grid or FOREST_GRID, train, valid, seed=seed, **options)
 
