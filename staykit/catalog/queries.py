@@ -44,9 +44,12 @@ class Source:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return v.view(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = v.view(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @property
     def sessions(self) -> DataFrame:
@@ -456,7 +459,7 @@ def promo_profile_legacy(spark, sf_dir):
 @query
 def feature_matrix(spark, sf_dir):
     return training_matrix(
-        Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE, layered=False
+        Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE
     )
 
 
@@ -464,7 +467,7 @@ def feature_matrix(spark, sf_dir):
 def scoring_feature_matrix(spark, sf_dir):
     source = Source(spark, sf_dir)
     return scoring_matrix(
-        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.labels.where("churn = 1"), layered=False
+        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.labels.where("churn = 1")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from staykit.functions.keys import OPERATORS, AccountCipher, Operator, account_guid, billing_id
 from staykit.functions.text import mentions
 from staykit.functions.timeparts import as_date, within
-from staykit.operators.spread import MIN_HOT_ROWS, spread_join
+from staykit.operators.spread import ROWS_PER_PART, spread_join
 
 ACCOUNT_COLUMNS = ["account_guid", "operator", "account_number", "billing_id", "system"]
 LABEL_COLUMNS = [
@@ -76,7 +76,7 @@ def _spread(sessions: DataFrame) -> list[Column]:
     return [F.col(c) for c in SESSION_SPREAD if c in sessions.columns]
 
 
-def sessions_in_label_window(labels: DataFrame, sessions: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def sessions_in_label_window(labels: DataFrame, sessions: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Sessions on or after the start of their account's window, with the window, label and tenure columns.
 
     This is what every training feature reads: the account's own features also need ``activity_date <= max_agg_date``,
@@ -85,35 +85,35 @@ def sessions_in_label_window(labels: DataFrame, sessions: DataFrame, min_rows: i
     bounds = labels.agg(F.min("min_agg_date").alias("first")).scalar()
     carried = ["account_guid"] + [c for c in LABEL_COLUMNS if c in labels.columns]
     recent = sessions.where(F.col("activity_date") >= bounds)
-    joined = spread_join(recent, labels.select(*carried), ["account_guid"], "inner", _spread(sessions), min_rows=min_rows)
+    joined = spread_join(recent, labels.select(*carried), ["account_guid"], "inner", _spread(sessions), rows_per_part=rows_per_part)
     return joined.where(F.col("activity_date") >= F.col("min_agg_date"))
 
 
-def labelled_sessions(labels: DataFrame, sessions: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def labelled_sessions(labels: DataFrame, sessions: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Labels left join sessions: all sessions of labelled accounts, and one empty row per label without any."""
     carried = ["account_guid"] + [c for c in LABEL_COLUMNS if c in labels.columns]
     labels = labels.select(*carried)
-    matched = spread_join(sessions, labels, ["account_guid"], "inner", _spread(sessions), min_rows=min_rows)
+    matched = spread_join(sessions, labels, ["account_guid"], "inner", _spread(sessions), rows_per_part=rows_per_part)
     seen = sessions.select("account_guid").distinct()
     unmatched = labels.join(seen, "account_guid", "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def exclude_accounts(
-    sessions: DataFrame, active: DataFrame, training: DataFrame, legacy: bool = False, min_rows: int = MIN_HOT_ROWS
+    sessions: DataFrame, active: DataFrame, training: DataFrame, legacy: bool = False, rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     """Sessions of active accounts that are not training accounts. ``legacy`` keeps every session, as the literal
     outer-join formulation does."""
     if legacy:
         return sessions
     keep = active.select("account_guid").distinct().join(training.select("account_guid"), "account_guid", "left_anti")
-    return sessions_of(sessions, keep, min_rows)
+    return sessions_of(sessions, keep, rows_per_part)
 
 
-def sessions_of(sessions: DataFrame, accounts: DataFrame, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def sessions_of(sessions: DataFrame, accounts: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Sessions whose account is in ``accounts``."""
     keys = accounts.select("account_guid").distinct()
-    return spread_join(sessions, keys, ["account_guid"], "left_semi", _spread(sessions), min_rows=min_rows)
+    return spread_join(sessions, keys, ["account_guid"], "left_semi", _spread(sessions), rows_per_part=rows_per_part)
 
 
 def sessions_between(sessions: DataFrame, first, last) -> DataFrame:

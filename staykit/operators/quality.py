@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from staykit.functions.numbers import count_where, fixed_point, or_zero, ratio, wide
 from staykit.functions.timeparts import DAY_PARTS, DAY_PARTS_LEGACY, day_part, moment, week_part
-from staykit.operators.spread import MIN_HOT_ROWS, hot_keys, spread_join
+from staykit.operators.spread import ROWS_PER_PART, spread_join
+from staykit.sources.tables import materialise
 
 SCORE, WATCHED, DAY = "mos_score", "watch_time_ms", "activity_date"
 SCORE_STEPS = 1_000_000
@@ -84,7 +85,8 @@ def peer_compare(
     own: Column | None = None,
     legacy: bool = False,
     score_steps: int = SCORE_STEPS,
-    min_rows: int = MIN_HOT_ROWS,
+    rows_per_part: int = ROWS_PER_PART,
+    layered: bool = True,
 ) -> DataFrame:
     """Nine features per account from its mean score in each group of ``grain`` against all sessions of that group.
 
@@ -93,8 +95,9 @@ def peer_compare(
     in whole steps of 1/``score_steps``. ``legacy`` takes the literal formulas: two to the power of the difference
     instead of its square, and tail points one place too far right, where the upper one does not exist.
 
-    Sessions are read once and reduced to account x group x whole score before anything is shuffled; accounts and peers
-    are both built from that. Peers of a hot group are copied and its accounts dealt over the copies.
+    Sessions are reduced to account x group x whole score before anything is shuffled. With ``layered`` that table is
+    written to the work folder, so that accounts, peers and hot groups come from one scan of the sessions; without it
+    the result stays lazy and scans once for each. Peers of a hot group are copied and its accounts dealt over the copies.
     """
     keys = list(grain.keys)
     score = fixed_point(F.col(SCORE), score_steps)
@@ -114,6 +117,8 @@ def peer_compare(
         F.count(mine(watched)).alias("_own_wn"), F.sum(mine(watched)).alias("_own_wsum"),
     )
 
+    if layered:
+        grouped = materialise(grouped, f"peers-{grain.name}")
     accounts = grouped.groupBy("account_guid", *keys).agg(
         F.sum("_own_rows").alias("_own_rows"),
         *([F.count_distinct(F.when(F.col("_own_rows") > 0, F.col(DAY))).alias("_days")] if days else []),
@@ -129,7 +134,6 @@ def peer_compare(
         .agg(*[F.sum(c).alias(c) for c in ("_rows", "_n", "_sum", "_wn", "_wsum")])
         .groupBy(*keys)
         .agg(
-            F.sum("_rows").alias("_rows"),
             F.sum("_sum").alias("_peer_sum"),
             ratio(F.sum("_sum"), F.sum("_n")).alias("_peer_mean"),
             ratio(F.sum("_wsum"), F.sum("_wn")).alias("_peer_wmean"),
@@ -137,10 +141,9 @@ def peer_compare(
         )
     )
     if grain.small:
-        both = accounts.join(F.broadcast(peers.drop("_rows")), keys, "left")
+        both = accounts.join(F.broadcast(peers), keys, "left")
     else:
-        hot = hot_keys(peers, "_rows", keys, min_rows)
-        both = spread_join(accounts, peers.drop("_rows"), keys, "left", [F.col("account_guid")], hot=hot)
+        both = spread_join(accounts, peers, keys, "left", [F.col("account_guid")], rows_per_part)
 
     day_count = F.count_distinct(DAY) if grain.distinct_days else F.sum("_days")
     weighted_by = F.count_distinct(DAY) if grain.weighted_by == "days" else F.count(grain.weighted_by)

@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key is hot when it holds more than 1/MAX_HOT of the rows, so there are fewer than MAX_HOT hot keys whatever the data.
+# Keys that are looked at for splitting: any other key holds less than 1/MAX_HOT of the rows, whatever the data.
 MAX_HOT = 1000
-# Below this many rows a key is never worth splitting.
-MIN_HOT_ROWS = 100_000
+# Rows one task should get of a hot key.
+ROWS_PER_PART = 2_000_000
 
 
-def hot_keys(counts: DataFrame, rows: str, keys: list[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """From one row per key and its row count: the hot keys and the number of parts (``_parts``) to cut each into.
-
-    A part is 1/MAX_HOT of all rows. At most MAX_HOT keys come out and their parts add up to at most 2 * MAX_HOT, which
-    bounds both the broadcast of this table and the copies made of the other join side.
-    """
-    fair = counts.agg(F.greatest(F.ceil(F.sum(rows) / MAX_HOT), F.lit(min_rows)).alias("fair")).scalar()
+def hot_keys(rows: DataFrame, keys: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The at most MAX_HOT most frequent keys with more than ``rows_per_part`` rows, and into how many parts
+    (``_parts``) to cut each. Only the key columns are read, and counts are combined before they are shuffled."""
+    counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return (
-        counts.where(F.col(rows) > fair)
-        .dropna(subset=keys)
-        .select(*keys, F.ceil(F.col(rows) / fair).cast("int").alias("_parts"))
+        counts.where(F.col("_rows") > rows_per_part)
+        .orderBy(F.desc("_rows"))
+        .limit(MAX_HOT)
+        .select(*keys, F.ceil(F.col("_rows") / rows_per_part).cast("int").alias("_parts"))
     )
 
 
@@ -30,19 +28,16 @@ def spread_join(
     keys: list[str],
     how: str,
     spread_on: list[Column],
-    hot: DataFrame | None = None,
-    min_rows: int = MIN_HOT_ROWS,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``big.join(small, keys, how)`` for inner, left, left_semi and left_anti joins with hot keys in ``big``.
 
     Rows of a hot key are dealt over several parts by a hash of ``spread_on``, and the matching rows of ``small`` are
     repeated once per part; every other key keeps the single part 0. Each row of ``big`` has exactly one part, so the
-    result is that of the plain join. Rows with a NULL key match nothing and are dealt over all parts.
+    result is that of the plain join. Rows with a NULL key match nothing and are dealt out as well. The table of hot keys
+    has at most MAX_HOT rows and is broadcast; whether ``small`` is broadcast too is left to its size at run time.
     """
-    if hot is None:
-        counted = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        hot = hot_keys(counted, "_rows", keys, min_rows)
-    hot = F.broadcast(hot)
+    hot = F.broadcast(hot_keys(big, keys, rows_per_part))
     no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     parts = F.when(no_key, MAX_HOT).otherwise(F.coalesce("_parts", F.lit(1)))
     dealt = big.join(hot, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*spread_on), parts).cast("int"))

@@ -18,7 +18,7 @@ from staykit.operators.promo import promo_profile, promo_profile_union
 from staykit.operators.quality import GRAINS, account_quality, peer_compare, with_day_and_week_part
 from staykit.operators.search import search_features
 from staykit.operators.viewing import channel_variability, never_logged_in, top_channel, viewing_profile
-from staykit.sources.tables import materialise
+from staykit.sources.tables import materialise, materialise_all, together
 
 # The literal training job divides active days by this, whatever its window.
 LEGACY_PERIOD_DAYS = 60
@@ -76,11 +76,14 @@ class Inputs:
         )
 
 
-def quality_features(sessions: DataFrame, own: Column | None = None, legacy: bool = False) -> DataFrame:
+def quality_features(
+    sessions: DataFrame, own: Column | None = None, legacy: bool = False, layered: bool = True
+) -> DataFrame:
     """An account's own quality and its comparison with peers by stream, channel, week part and day part."""
     mine = sessions if own is None else sessions.where(own)
     parted = with_day_and_week_part(sessions, legacy=legacy)
-    by_grain = [peer_compare(parted, grain, own, legacy) for grain in GRAINS]
+    jobs = [lambda grain=grain: peer_compare(parted, grain, own, legacy, layered=layered) for grain in GRAINS]
+    by_grain = together(sessions.sparkSession, jobs)
     return union_features([by_grain[0], account_quality(mine, legacy), *by_grain[1:]], legacy)
 
 
@@ -99,10 +102,6 @@ def viewing_features(
     return union_features([*tables, never])
 
 
-def _keep(df: DataFrame, layered: bool, name: str) -> DataFrame:
-    return materialise(df, name) if layered else df
-
-
 def training_matrix(
     inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layered: bool = True, legacy: bool = False
 ) -> DataFrame:
@@ -115,19 +114,22 @@ def training_matrix(
     identity = inputs.active(labels=labels)
     if not legacy:
         identity = one_per_account(identity)
-    sessions = _keep(sessions_in_label_window(labels, inputs.keyed_sessions()), layered, "label-sessions")
+    sessions = sessions_in_label_window(labels, inputs.keyed_sessions())
+    if layered:
+        sessions = materialise(sessions, "label-sessions")
     changes = inputs.keyed_changes()
     own = F.col("activity_date") <= F.col("max_agg_date")
     mine = sessions_between(sessions, F.col("min_agg_date"), F.col("max_agg_date"))
     period = LEGACY_PERIOD_DAYS if legacy else days + 1
     tables = {
-        "quality": quality_features(sessions, own, legacy),
+        "quality": quality_features(sessions, own, legacy, layered),
         "viewing": viewing_features(mine, inputs.usage, changes, first_change, as_of, period, legacy),
         "calls": inputs.call_profile(labels=labels, legacy=legacy),
         "changes": change_profile(changes, as_of, legacy),
         "promo": inputs.promo(since=promo_since, legacy=legacy),
     }
-    tables = {name: _keep(table, layered, name) for name, table in tables.items()}
+    if layered:
+        tables = materialise_all(tables)
     spine = labels.select("account_guid", "churn")
     return feature_matrix(spine, **tables, identity=identity, legacy=legacy)
 
@@ -147,10 +149,11 @@ def scoring_matrix(
         sessions = exclude_accounts(windowed, active, training, legacy)
     else:
         sessions = windowed if legacy else sessions_of(windowed, active)
-    sessions = _keep(sessions, layered, "scoring-sessions")
+    if layered:
+        sessions = materialise(sessions, "scoring-sessions")
     changes = inputs.keyed_changes()
     tables = {
-        "quality": quality_features(sessions, legacy=legacy),
+        "quality": quality_features(sessions, legacy=legacy, layered=layered),
         "viewing": viewing_features(sessions, inputs.usage, changes, first, as_of, period_days, legacy),
         "calls": inputs.call_profile(as_of=as_of, legacy=legacy),
         "changes": change_profile(changes, as_of, legacy),
@@ -159,5 +162,6 @@ def scoring_matrix(
     if inputs.pages is not None:
         pages = with_account_guid(inputs.pages, "division", [h.operator for h in inputs.histories])
         tables["search"] = search_features(pages, first, as_of)
-    tables = {name: _keep(table, layered, name) for name, table in tables.items()}
+    if layered:
+        tables = materialise_all(tables)
     return feature_matrix(spine, **tables, legacy=legacy)

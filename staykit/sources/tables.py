@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
-import os
 import tempfile
 import uuid
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from staykit.functions.timeparts import as_date
@@ -68,16 +70,16 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``. Only a local session without
-    one gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.path.join(tempfile.mkdtemp(prefix="staykit-"), "work")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, or the checkpoint folder set on
+    the context. Only a local session without either gets a temporary folder."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="staykit-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
@@ -86,3 +88,17 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, jobs: list[Callable[[], DataFrame]]) -> list[DataFrame]:
+    """Results of jobs that each run Spark actions of their own, submitted side by side: the short stages of one fill the
+    executors the others leave idle."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return list(pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs))
+
+
+def materialise_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``materialise`` for several tables at once."""
+    spark = next(iter(tables.values())).sparkSession
+    jobs = [lambda df=df, name=name: materialise(df, name) for name, df in tables.items()]
+    return dict(zip(tables, together(spark, jobs)))

@@ -1,0 +1,51 @@
+"""Joins with hot keys give the rows of the plain join, and hot keys are cut into parts."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+import pytest
+
+from staykit.operators.spread import MAX_HOT, hot_keys, spread_join
+
+
+def sides(spark):
+    big = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
+            F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))
+        ).alias("k"),
+        F.col("id").alias("v"),
+    )
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("k2", 4), ("absent", 5), (None, 6)], "k string, w int")
+    return big, small
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("rows_per_part", [1, 100, 10**9])
+def test_equals_plain_join(spark, how, rows_per_part):
+    big, small = sides(spark)
+    mine = spread_join(big, small, ["k"], how, [F.col("v")], rows_per_part)
+    plain = big.join(small, ["k"], how)
+    assert mine.columns == plain.columns
+    assert Counter(mine.collect()) == Counter(plain.collect())
+
+
+def test_hot_key_is_cut(spark):
+    big, _ = sides(spark)
+    found = {r["k"]: r["_parts"] for r in hot_keys(big, ["k"], 100).collect()}
+    assert found == {"hot": 10}
+
+
+def test_hot_table_is_bounded(spark):
+    many = spark.range(4 * MAX_HOT).select((F.col("id") % (2 * MAX_HOT)).alias("k"))
+    assert hot_keys(many, ["k"], 1).count() == MAX_HOT
+
+
+def test_rows_of_a_hot_key_are_dealt_evenly(spark):
+    """The shuffle key (key, part) of a key with a third of the rows has no part with more than twice its share."""
+    big, _ = sides(spark)
+    parts = hot_keys(big, ["k"], 100)
+    dealt = big.join(parts, "k").withColumn("_part", F.pmod(F.xxhash64("v"), F.col("_parts")))
+    sizes = [r["count"] for r in dealt.groupBy("_part").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
