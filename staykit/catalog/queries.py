@@ -554,33 +554,36 @@ def correlations(spark, sf_dir):
     return frame.correlations(numeric, MODEL_COLUMNS)
 
 
+PLANTED_FEATURES = [
+    "internet_package_changes", "video_package_changes", "other_package_adds", "total_price_adds", "total_price_drop",
+    "change_ratio", "noise",
+]
+
+
 def _planted(spark, sf_dir):
-    """Training sessions' features, a label that depends on two of them, and a noise column from the key."""
-    source = Source(spark, sf_dir)
-    quality = qu.account_quality(source.windowed).join(vi.viewing_counts(source.windowed), "account_guid")
-    signal = (F.col("active_day_cnt") > 10) & (F.col("sum_vod") > 5)
+    """Change features with a label that depends on two of them, and a noise column made from the key."""
+    counts = ch.change_counts(Source(spark, sf_dir).changes)
+    signal = F.col("total_price_adds") + F.col("internet_package_changes") > 10
     noise = frame.bucket(F.col("account_guid"), 99).alias("noise")
-    return quality.select("account_guid", signal.cast("int").alias("churn"), *MODEL_COLUMNS, "sum_vod", noise)
+    return counts.select("account_guid", signal.cast("int").alias("churn"), *PLANTED_FEATURES[:-1], noise)
 
 
 def _model_frames(spark, sf_dir):
-    features = MODEL_COLUMNS + ["sum_vod", "noise"]
     split = frame.hash_split(frame.coerce_numeric(_planted(spark, sf_dir), ["account_guid"]), "account_guid")
-    rows = frame.model_frame(split, features, keep=["split"])
-    return features, *[rows.where(F.col("split") == part).drop("split") for part in ("train", "valid")]
+    rows = frame.model_frame(split, PLANTED_FEATURES, keep=["split"])
+    return [rows.where(F.col("split") == part).drop("split") for part in ("train", "valid")]
 
 
 @query
 def boruta_selection(spark, sf_dir):
-    features = MODEL_COLUMNS + ["sum_vod", "noise"]
-    chosen = boruta_select(_planted(spark, sf_dir), features, max_rounds=8, trees=20)
-    rows = [(f, chosen.hits[f], f in chosen.accepted) for f in features]
+    chosen = boruta_select(_planted(spark, sf_dir), PLANTED_FEATURES, max_rounds=8, trees=20)
+    rows = [(f, chosen.hits[f], f in chosen.accepted) for f in PLANTED_FEATURES]
     return spark.createDataFrame(rows, "feature string, hits long, accepted boolean")
 
 
 @query
 def forest_grid(spark, sf_dir):
-    _, train, valid = _model_frames(spark, sf_dir)
+    train, valid = _model_frames(spark, sf_dir)
     grid = {"numTrees": [5, 10], "maxDepth": [3, 5], "featureSubsetStrategy": ["2", "4"]}
     found = forests.search_forest(train, valid, grid, max_models=3)
     rows = [(i, str(e["params"]), e["auc"], e["accuracy"]) for i, e in enumerate(found)]
@@ -589,13 +592,13 @@ def forest_grid(spark, sf_dir):
 
 @query
 def forest_importance(spark, sf_dir):
-    features, train, _ = _model_frames(spark, sf_dir)
+    train, _ = _model_frames(spark, sf_dir)
     model = forests.fit_forest(train, trees=20)
-    return spark.createDataFrame(forests.importances(model, features), "feature string, importance double")
+    return spark.createDataFrame(forests.importances(model, PLANTED_FEATURES), "feature string, importance double")
 
 
 @query
 def boosted_fit(spark, sf_dir):
-    _, train, valid = _model_frames(spark, sf_dir)
+    train, valid = _model_frames(spark, sf_dir)
     model = forests.fit_boosted(train, rounds=5, depth=3)
     return forests.confusion_matrix(model.transform(valid))

@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 from math import comb, sqrt
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
@@ -47,8 +49,8 @@ def false_discovery(chances: list[float], alpha: float) -> list[bool]:
     return keep.tolist()
 
 
-def with_shadows(frame: DataFrame, columns: list[int], shadows: list[int], seed: int) -> DataFrame:
-    """Appends shuffled copies of columns ``shadows`` to columns ``columns`` of the array ``values``.
+def with_shadows(frame: DataFrame, width: int, columns: list[int], shadows: list[int], seed: int) -> DataFrame:
+    """Columns ``columns`` of the array ``values`` (of ``width`` numbers) followed by shuffled copies of ``shadows``.
 
     Each copy is permuted on its own inside the Arrow batches of a partition. Rows were dealt to partitions by a hash of
     their key, so a batch is a random sample and no further shuffle is needed; the random stream depends only on seed,
@@ -56,15 +58,16 @@ def with_shadows(frame: DataFrame, columns: list[int], shadows: list[int], seed:
     """
 
     def permute(batches):
-        from pyspark import TaskContext
-
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            values = np.stack(batch["values"].to_numpy()) if len(batch) else np.empty((0, max(columns) + 1))
+            values = batch.column("values").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
             mixed = np.random.default_rng([seed, part, number]).permuted(values[:, shadows], axis=0)
-            yield batch.assign(values=list(np.hstack([values[:, columns], mixed])))
+            both = np.hstack([values[:, columns], mixed])
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * both.shape[1])
+            lists = pa.ListArray.from_arrays(ends, pa.array(both.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), lists], names=["label", "values"])
 
-    return frame.mapInPandas(permute, frame.schema)
+    return frame.mapInArrow(permute, "label double, values array<double>")
 
 
 def boruta_select(
@@ -77,7 +80,6 @@ def boruta_select(
     trees: int | None = None,
     alpha: float = 0.05,
     seed: int = 1,
-    rows_per_part: int = 200_000,
 ) -> Selection:
     """Features whose forest importance beats the best shadow's more often than chance.
 
@@ -86,11 +88,11 @@ def boruta_select(
     leave the pool. Features still open after ``max_rounds`` are tentative and not selected.
     """
     features = list(features)
-    values = F.array(*[F.col(c).cast("double") for c in features])
-    rows = df.select(F.col(label).cast("double").alias("label"), values.alias("values"), F.col(key).alias("_key"))
-    parts = max(1, -(-df.count() // rows_per_part))
+    place = bucket(F.col(key), seed)
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    rows = df.select(F.col(label).cast("double").alias("label"), values.alias("values"), place.alias("_place"))
     frame = materialise(
-        rows.repartition(parts, bucket(F.col("_key"), seed)).select("label", "values"), "selection"
+        rows.repartition("_place").sortWithinPartitions("_place").select("label", "values"), "selection"
     )
     hits = np.zeros(len(features), dtype=int)
     state = np.zeros(len(features), dtype=int)
@@ -98,11 +100,13 @@ def boruta_select(
     for done in range(1, max_rounds + 1):
         pool = [i for i in range(len(features)) if state[i] >= 0]
         shadows = (pool * (-(-MIN_SHADOWS // len(pool))))[: max(len(pool), MIN_SHADOWS)]
-        both = with_shadows(frame, pool, shadows, seed * 100_003 + done)
+        both = with_shadows(frame, len(features), pool, shadows, seed * 100_003 + done)
         forest = RandomForestClassifier(
             maxDepth=max_depth, numTrees=trees or tree_count(len(pool), max_depth), seed=seed + done
         )
-        model = forest.fit(both.select("label", array_to_vector("values").alias("features")))
+        both = both.select("label", array_to_vector("values").alias("features")).persist()
+        model = forest.fit(both)
+        both.unpersist()
         importance = model.featureImportances.toArray()
         bar = importance[len(pool):].max()
         for place, i in enumerate(pool):

@@ -106,7 +106,7 @@ def exclude_accounts(
     outer-join formulation does."""
     if legacy:
         return sessions
-    keep = active.select("account_guid").distinct().join(training.select("account_guid"), "account_guid", "left_anti")
+    keep = active.select("account_guid").join(training.select("account_guid"), "account_guid", "left_anti")
     return sessions_of(sessions, keep, rows_per_part)
 
 

@@ -102,6 +102,15 @@ def viewing_features(
     return union_features([*tables, never])
 
 
+def _tables(spark, from_sessions, others: dict[str, DataFrame], layered: bool) -> dict[str, DataFrame]:
+    """The per-account tables, written to the work folder when layered. Those that do not read sessions are built while
+    the sessions are being windowed."""
+    if not layered:
+        return {**from_sessions(), **others}
+    first, second = together(spark, [lambda: materialise_all(from_sessions()), lambda: materialise_all(others)])
+    return {**first, **second}
+
+
 def training_matrix(
     inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layered: bool = True, legacy: bool = False
 ) -> DataFrame:
@@ -112,26 +121,28 @@ def training_matrix(
     """
     labels = label_windows(inputs.labels, as_of, days)
     identity = inputs.active(labels=labels)
-    if not legacy:
-        identity = one_per_account(identity)
-    sessions = sessions_in_label_window(labels, inputs.keyed_sessions())
-    if layered:
-        sessions = materialise(sessions, "label-sessions")
     changes = inputs.keyed_changes()
-    own = F.col("activity_date") <= F.col("max_agg_date")
-    mine = sessions_between(sessions, F.col("min_agg_date"), F.col("max_agg_date"))
     period = LEGACY_PERIOD_DAYS if legacy else days + 1
-    tables = {
-        "quality": quality_features(sessions, own, legacy, layered),
-        "viewing": viewing_features(mine, inputs.usage, changes, first_change, as_of, period, legacy),
+
+    def from_sessions():
+        sessions = sessions_in_label_window(labels, inputs.keyed_sessions())
+        if layered:
+            sessions = materialise(sessions, "label-sessions")
+        own = F.col("activity_date") <= F.col("max_agg_date")
+        mine = sessions_between(sessions, F.col("min_agg_date"), F.col("max_agg_date"))
+        return {
+            "quality": quality_features(sessions, own, legacy, layered),
+            "viewing": viewing_features(mine, inputs.usage, changes, first_change, as_of, period, legacy),
+        }
+
+    others = {
         "calls": inputs.call_profile(labels=labels, legacy=legacy),
         "changes": change_profile(changes, as_of, legacy),
         "promo": inputs.promo(since=promo_since, legacy=legacy),
+        "identity": identity if legacy else one_per_account(identity),
     }
-    if layered:
-        tables = materialise_all(tables)
-    spine = labels.select("account_guid", "churn")
-    return feature_matrix(spine, **tables, identity=identity, legacy=legacy)
+    tables = _tables(labels.sparkSession, from_sessions, others, layered)
+    return feature_matrix(labels.select("account_guid", "churn"), **tables, legacy=legacy)
 
 
 def scoring_matrix(
@@ -143,25 +154,29 @@ def scoring_matrix(
     ``training`` accounts are left out of the sessions, because peers would otherwise include them. ``legacy`` keeps them.
     """
     active = inputs.active(as_of=as_of)
-    spine = active if legacy else one_per_account(active)
-    windowed = sessions_between(inputs.keyed_sessions(), first, as_of)
-    if training is not None:
-        sessions = exclude_accounts(windowed, active, training, legacy)
-    else:
-        sessions = windowed if legacy else sessions_of(windowed, active)
-    if layered:
-        sessions = materialise(sessions, "scoring-sessions")
     changes = inputs.keyed_changes()
-    tables = {
-        "quality": quality_features(sessions, legacy=legacy, layered=layered),
-        "viewing": viewing_features(sessions, inputs.usage, changes, first, as_of, period_days, legacy),
+
+    def from_sessions():
+        sessions = sessions_between(inputs.keyed_sessions(), first, as_of)
+        if training is not None:
+            sessions = exclude_accounts(sessions, active, training, legacy)
+        elif not legacy:
+            sessions = sessions_of(sessions, active)
+        if layered:
+            sessions = materialise(sessions, "scoring-sessions")
+        return {
+            "quality": quality_features(sessions, legacy=legacy, layered=layered),
+            "viewing": viewing_features(sessions, inputs.usage, changes, first, as_of, period_days, legacy),
+        }
+
+    others = {
+        "spine": active if legacy else one_per_account(active),
         "calls": inputs.call_profile(as_of=as_of, legacy=legacy),
         "changes": change_profile(changes, as_of, legacy),
         "promo": inputs.promo(as_of=as_of, legacy=legacy),
     }
     if inputs.pages is not None:
         pages = with_account_guid(inputs.pages, "division", [h.operator for h in inputs.histories])
-        tables["search"] = search_features(pages, first, as_of)
-    if layered:
-        tables = materialise_all(tables)
-    return feature_matrix(spine, **tables, legacy=legacy)
+        others["search"] = search_features(pages, first, as_of)
+    tables = _tables(active.sparkSession, from_sessions, others, layered)
+    return feature_matrix(**tables, legacy=legacy)

@@ -35,9 +35,9 @@ def _rows(names, rows):
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, sf_dir: str, name: str) -> str | None:
+def compare(spark, con, sf_dir: str, name: str, df=None) -> str | None:
     """None when equal, else what differs."""
-    df = entry.queries()[name](spark, sf_dir)
+    df = entry.queries()[name](spark, sf_dir) if df is None else df
     mine = df.collect()
     text = entry.oracle_sql().get(name)
     if text is None:

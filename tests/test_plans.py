@@ -1,12 +1,9 @@
-"""Physical plans: what must reach the scan, and what must not appear."""
+"""Physical plans: what must reach the scan, and how aggregates and rankings are shuffled."""
 
 from __future__ import annotations
 
 import re
 
-import pytest
-
-import __spark_entry__ as entry
 from staykit.catalog.queries import Source
 from staykit.operators import quality as qu, viewing as vi
 
@@ -40,13 +37,3 @@ def test_code_generation_covers_the_wide_aggregates(spark):
     text = plan(vi.viewing_profile(Source(spark, SF_DIR).windowed, 15))
     aggregates = re.findall(r"^.*HashAggregate\(.*$", text, re.M)
     assert aggregates and not [a for a in aggregates if "ObjectHash" in a or "Sort" in a]
-
-
-SQL_ONLY = sorted(set(entry.oracle_sql()) - {"feature_matrix", "scoring_feature_matrix", "tsv_export", "correlations", "quality_features"})
-
-
-@pytest.mark.parametrize("name", SQL_ONLY)
-def test_no_python_and_no_pairing_in_feature_jobs(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    assert "Python" not in text and "InPandas" not in text
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
