@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staykit.operators.viewing import DATES, NUMBERS
 
-SPARK = {"<epoch>": "unix_timestamp(CAST(ts AS TIMESTAMP))", "<array>": "array"}
+SPARK = {"<epoch>": "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01', CAST(ts AS TIMESTAMP_NTZ))", "<array>": "array"}
 DUCKDB = {"<epoch>": "CAST(floor(epoch(ts)) AS BIGINT)", "<array>": "list_value"}
 
 AS_OF, FIRST, LABEL_DAYS = "2024-01-25", "2024-01-11", 14

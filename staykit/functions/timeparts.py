@@ -27,9 +27,11 @@ def epoch_ms(stamp: Column) -> Column:
     return F.when(F.length(digits) < 13, F.rpad(digits, 13, "0").cast("bigint")).otherwise(stamp.cast("bigint"))
 
 
-def moment(stamp: Column) -> Column:
-    """Timestamp of a mixed-unit epoch; its hour and day are read in the session time zone."""
-    return F.timestamp_millis(epoch_ms(stamp))
+def moment(stamp: Column, zone: str = "UTC") -> Column:
+    """Wall-clock time in ``zone`` of a mixed-unit epoch. It carries no time zone, so its hour and day do not depend on
+    the session's."""
+    utc = F.timestamp_add("MILLISECOND", epoch_ms(stamp), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def day_part(hour: Column, bands=None) -> Column:

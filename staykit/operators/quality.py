@@ -72,9 +72,11 @@ BY_DAY_PART = Grain("day_part", (DAY, "day_part"), "days", distinct_days=False)
 GRAINS = (BY_STREAM, BY_CHANNEL, BY_WEEK_PART, BY_DAY_PART)
 
 
-def with_day_and_week_part(sessions: DataFrame, start: str = "start_timestamp", legacy: bool = False) -> DataFrame:
-    """Adds ``day_part`` and ``week_part`` of the session's start."""
-    when = moment(F.col(start))
+def with_day_and_week_part(
+    sessions: DataFrame, start: str = "start_timestamp", zone: str = "UTC", legacy: bool = False
+) -> DataFrame:
+    """Adds ``day_part`` and ``week_part`` of the session's start in a time zone."""
+    when = moment(F.col(start), zone)
     bands = DAY_PARTS_LEGACY if legacy else DAY_PARTS
     return sessions.withColumns({"day_part": day_part(F.hour(when), bands), "week_part": week_part(when)})
 

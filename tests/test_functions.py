@@ -27,6 +27,17 @@ def test_seconds_and_milliseconds_are_one_moment(spark, stamp):
     assert one(spark, week_part(moment(value))) == "week_day"
 
 
+def test_moments_follow_their_own_zone_only(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            assert one(spark, F.hour(moment(lit(1517400000, "bigint")))) == 12
+            assert one(spark, F.hour(moment(lit(1517400000, "bigint"), "America/New_York"))) == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @pytest.mark.parametrize(
     "hour, name, legacy",
     [(0, "late_night", "late_night"), (3, "Overnight", "Overnight"), (7, "Breakfast", "late_night"),
