@@ -1,2 +1 @@
-"""Feature jobs: DataFrames in, DataFrame out. Nothing runs until the caller writes or collects, except where a docstring
-says that an intermediate table is written to the work folder."""
+"""Feature jobs: DataFrames in, DataFrame out; nothing runs until the caller writes or collects."""

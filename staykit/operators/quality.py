@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from staykit.functions.numbers import count_where, fixed_point, or_zero, ratio, wide
 from staykit.functions.timeparts import DAY_PARTS, DAY_PARTS_LEGACY, day_part, moment, week_part
-from staykit.operators.spread import ROWS_PER_PART, spread_join
-from staykit.sources.tables import materialise
+from staykit.operators.spread import ROWS_PER_PART, hot_keys, spread_join
 
 SCORE, WATCHED, DAY = "mos_score", "watch_time_ms", "activity_date"
 SCORE_STEPS = 1_000_000
@@ -88,7 +87,6 @@ def peer_compare(
     legacy: bool = False,
     score_steps: int = SCORE_STEPS,
     rows_per_part: int = ROWS_PER_PART,
-    layered: bool = True,
 ) -> DataFrame:
     """Nine features per account from its mean score in each group of ``grain`` against all sessions of that group.
 
@@ -97,43 +95,26 @@ def peer_compare(
     in whole steps of 1/``score_steps``. ``legacy`` takes the literal formulas: two to the power of the difference
     instead of its square, and tail points one place too far right, where the upper one does not exist.
 
-    Sessions are reduced to account x group x whole score before anything is shuffled. With ``layered`` that table is
-    written to the work folder, so that accounts, peers and hot groups come from one scan of the sessions; without it
-    the result stays lazy and scans once for each. Peers of a hot group are copied and its accounts dealt over the copies.
+    Both sides are reduced where the sessions lie: to account x group, and to group x whole score, whose counts feed the
+    percentiles. Only the first is large when shuffled, and it is dealt over copies of the peers where a group is hot.
     """
     keys = list(grain.keys)
     score = fixed_point(F.col(SCORE), score_steps)
-    watched = wide(score) * F.col(WATCHED)
-    own = F.lit(True) if own is None else own
-
-    def mine(value):
-        return F.when(own, value)
-
-    days = [] if DAY in keys else [DAY]
-    grouped = sessions.groupBy("account_guid", *keys, *days, F.round(SCORE).cast("int").alias("_whole")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(score).alias("_n"), F.sum(score).alias("_sum"),
-        F.count(watched).alias("_wn"), F.sum(watched).alias("_wsum"),
-        F.count(mine(F.lit(1))).alias("_own_rows"),
-        F.count(mine(score)).alias("_own_n"), F.sum(mine(score)).alias("_own_sum"),
-        F.count(mine(watched)).alias("_own_wn"), F.sum(mine(watched)).alias("_own_wsum"),
+    watched = wide(score * F.col(WATCHED))
+    mine = sessions if own is None else sessions.where(own)
+    accounts = mine.groupBy("account_guid", *keys).agg(
+        (F.lit(1) if DAY in keys else F.count_distinct(DAY)).alias("_days"),
+        F.sum(score).alias("_own_sum"),
+        ratio(F.sum(score), F.count(score)).alias("_own_mean"),
+        ratio(F.sum(watched), F.count(watched)).alias("_own_wmean"),
     )
-
-    if layered:
-        grouped = materialise(grouped, f"peers-{grain.name}")
-    accounts = grouped.groupBy("account_guid", *keys).agg(
-        F.sum("_own_rows").alias("_own_rows"),
-        *([F.count_distinct(F.when(F.col("_own_rows") > 0, F.col(DAY))).alias("_days")] if days else []),
-        F.sum("_own_sum").alias("_own_sum"),
-        ratio(F.sum("_own_sum"), F.sum("_own_n")).alias("_own_mean"),
-        ratio(F.sum("_own_wsum"), F.sum("_own_wn")).alias("_own_wmean"),
-    ).where("_own_rows > 0")
-    if not days:
-        accounts = accounts.withColumn("_days", F.lit(1))
-
     peers = (
-        grouped.groupBy(*keys, "_whole")
-        .agg(*[F.sum(c).alias(c) for c in ("_rows", "_n", "_sum", "_wn", "_wsum")])
+        sessions.groupBy(*keys, F.round(SCORE).cast("int").alias("_whole"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.count(score).alias("_n"), F.sum(score).alias("_sum"),
+            F.count(watched).alias("_wn"), F.sum(watched).alias("_wsum"),
+        )
         .groupBy(*keys)
         .agg(
             F.sum("_sum").alias("_peer_sum"),
@@ -145,7 +126,8 @@ def peer_compare(
     if grain.small:
         both = accounts.join(F.broadcast(peers), keys, "left")
     else:
-        both = spread_join(accounts, peers, keys, "left", [F.col("account_guid")], rows_per_part)
+        hot = hot_keys(mine, keys, rows_per_part)
+        both = spread_join(accounts, peers, keys, "left", [F.col("account_guid")], hot=hot)
 
     day_count = F.count_distinct(DAY) if grain.distinct_days else F.sum("_days")
     weighted_by = F.count_distinct(DAY) if grain.weighted_by == "days" else F.count(grain.weighted_by)

@@ -29,15 +29,17 @@ def spread_join(
     how: str,
     spread_on: list[Column],
     rows_per_part: int = ROWS_PER_PART,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """``big.join(small, keys, how)`` for inner, left, left_semi and left_anti joins with hot keys in ``big``.
 
     Rows of a hot key are dealt over several parts by a hash of ``spread_on``, and the matching rows of ``small`` are
     repeated once per part; every other key keeps the single part 0. Each row of ``big`` has exactly one part, so the
     result is that of the plain join. Rows with a NULL key match nothing and are dealt out as well. The table of hot keys
-    has at most MAX_HOT rows and is broadcast; whether ``small`` is broadcast too is left to its size at run time.
+    has at most MAX_HOT rows and is broadcast; whether ``small`` is broadcast too is left to its size at run time. Pass
+    ``hot`` where the keys can be counted on something cheaper than ``big``, such as the table it was aggregated from.
     """
-    hot = F.broadcast(hot_keys(big, keys, rows_per_part))
+    hot = F.broadcast(hot_keys(big, keys, rows_per_part) if hot is None else hot)
     no_key = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     parts = F.when(no_key, MAX_HOT).otherwise(F.coalesce("_parts", F.lit(1)))
     dealt = big.join(hot, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*spread_on), parts).cast("int"))
