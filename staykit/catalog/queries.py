@@ -19,7 +19,7 @@ from staykit.operators.search import search_features as search_job
 from staykit.plans.matrices import (
     History, Inputs, quality_features as quality_plan, scoring_matrix, training_matrix, viewing_features as viewing_plan,
 )
-from staykit.sources.tables import read_tsv, work_folder, write_tsv
+from staykit.sources.tables import Workspace, read_tsv, write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -459,7 +459,8 @@ def promo_profile_legacy(spark, sf_dir):
 @query
 def feature_matrix(spark, sf_dir):
     return training_matrix(
-        Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE
+        Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE,
+        layers=Workspace(spark),
     )
 
 
@@ -467,7 +468,8 @@ def feature_matrix(spark, sf_dir):
 def scoring_feature_matrix(spark, sf_dir):
     source = Source(spark, sf_dir)
     return scoring_matrix(
-        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.labels.where("churn = 1")
+        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.labels.where("churn = 1"),
+        layers=Workspace(spark),
     )
 
 
@@ -502,9 +504,7 @@ def feature_matrix_legacy(spark, sf_dir):
 @query
 def tsv_export(spark, sf_dir):
     """Promotion profiles written as TSV to the work folder and read back as text."""
-    import uuid
-
-    path = f"{work_folder(spark)}/export-{uuid.uuid4().hex}"
+    path = Workspace(spark).new_path("export")
     write_tsv(Source(spark, sf_dir).inputs().promo(since=v.PROMO_SINCE), path)
     return read_tsv(spark, path)
 

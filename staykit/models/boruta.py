@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from staykit.models.frame import bucket
-from staykit.sources.tables import materialise
+from staykit.sources.tables import Workspace
 
 MIN_SHADOWS = 5
 
@@ -91,7 +91,8 @@ def boruta_select(
     place = bucket(F.col(key), seed)
     values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
     rows = df.select(F.col(label).cast("double").alias("label"), values.alias("values"), place.alias("_place"))
-    frame = materialise(
+    work = Workspace(df.sparkSession)
+    frame = work.store(
         rows.repartition("_place").sortWithinPartitions("_place").select("label", "values"), "selection"
     )
     hits = np.zeros(len(features), dtype=int)
@@ -122,5 +123,6 @@ def boruta_select(
                 state[i] = -1
         if not (state == 0).any() or not (state >= 0).any():
             break
+    work.clear()
     named = {s: [f for f, x in zip(features, state) if x == s] for s in (1, 0, -1)}
     return Selection(named[1], named[0], named[-1], dict(zip(features, hits.tolist())), done)

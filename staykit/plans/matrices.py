@@ -18,7 +18,7 @@ from staykit.operators.promo import promo_profile, promo_profile_union
 from staykit.operators.quality import GRAINS, account_quality, peer_compare, with_day_and_week_part
 from staykit.operators.search import search_features
 from staykit.operators.viewing import channel_variability, never_logged_in, top_channel, viewing_profile
-from staykit.sources.tables import materialise, materialise_all, together
+from staykit.sources.tables import Workspace, together
 
 # The literal training job divides active days by this, whatever its window.
 LEGACY_PERIOD_DAYS = 60
@@ -99,22 +99,24 @@ def viewing_features(
     return union_features([*tables, never])
 
 
-def _tables(spark, from_sessions, others: dict[str, DataFrame], layered: bool) -> dict[str, DataFrame]:
-    """The per-account tables, written to the work folder when layered. Those that do not read sessions are built while
+def _tables(from_sessions, others: dict[str, DataFrame], layers: Workspace | None) -> dict[str, DataFrame]:
+    """The per-account tables, written to the workspace if there is one. Those that do not read sessions are built while
     the sessions are being windowed."""
-    if not layered:
+    if layers is None:
         return {**from_sessions(), **others}
-    first, second = together(spark, [lambda: materialise_all(from_sessions()), lambda: materialise_all(others)])
+    jobs = [lambda: layers.store_all(from_sessions()), lambda: layers.store_all(others)]
+    first, second = together(layers.spark, jobs)
     return {**first, **second}
 
 
 def training_matrix(
-    inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layered: bool = True, legacy: bool = False
+    inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layers: Workspace | None = None, legacy: bool = False
 ) -> DataFrame:
     """One row per labelled account.
 
-    With ``layered`` the sessions in their label windows, which every session feature reads, and each per-account table
-    are written to the shared work folder; without it everything stays one lazy plan.
+    With ``layers`` the sessions in their label windows, which every session feature reads, and each per-account table
+    are written to that workspace, which the caller clears when the matrix has been read; without it everything stays one
+    lazy plan.
     """
     labels = label_windows(inputs.labels, as_of, days)
     identity = inputs.active(labels=labels)
@@ -123,8 +125,8 @@ def training_matrix(
 
     def from_sessions():
         sessions = sessions_in_label_window(labels, inputs.keyed_sessions())
-        if layered:
-            sessions = materialise(sessions, "label-sessions")
+        if layers:
+            sessions = layers.store(sessions, "label-sessions")
         own = F.col("activity_date") <= F.col("max_agg_date")
         mine = sessions_between(sessions, F.col("min_agg_date"), F.col("max_agg_date"))
         return {
@@ -138,12 +140,12 @@ def training_matrix(
         "promo": inputs.promo(since=promo_since, legacy=legacy),
         "identity": identity if legacy else one_per_account(identity),
     }
-    tables = _tables(labels.sparkSession, from_sessions, others, layered)
+    tables = _tables(from_sessions, others, layers)
     return feature_matrix(labels.select("account_guid", "churn"), **tables, legacy=legacy)
 
 
 def scoring_matrix(
-    inputs: Inputs, first, as_of, period_days: int, training: DataFrame | None = None, layered: bool = True,
+    inputs: Inputs, first, as_of, period_days: int, training: DataFrame | None = None, layers: Workspace | None = None,
     legacy: bool = False,
 ) -> DataFrame:
     """One row per account active on ``as_of``, from sessions between ``first`` and ``as_of``.
@@ -159,8 +161,8 @@ def scoring_matrix(
             sessions = exclude_accounts(sessions, active, training, legacy)
         elif not legacy:
             sessions = sessions_of(sessions, active)
-        if layered:
-            sessions = materialise(sessions, "scoring-sessions")
+        if layers:
+            sessions = layers.store(sessions, "scoring-sessions")
         return {
             "quality": quality_features(sessions, legacy=legacy),
             "viewing": viewing_features(sessions, inputs.usage, changes, first, as_of, period_days, legacy),
@@ -175,5 +177,5 @@ def scoring_matrix(
     if inputs.pages is not None:
         pages = with_account_guid(inputs.pages, "division", [h.operator for h in inputs.histories])
         others["search"] = search_features(pages, first, as_of)
-    tables = _tables(active.sparkSession, from_sessions, others, layered)
+    tables = _tables(from_sessions, others, layers)
     return feature_matrix(**tables, legacy=legacy)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
-import tempfile
 import uuid
 
 from pyspark import inheritable_thread_target
@@ -70,24 +69,46 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, or the checkpoint folder set on
-    the context. Only a local session without either gets a temporary folder."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="staykit-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Writes the rows to the work folder and reads them back. The lineage ends at the files, so a lost executor costs a
-    re-read and not a recomputation, and later readers prune columns and rows."""
-    path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, the checkpoint folder set on the
+    context, or else a folder in the warehouse, which executors and driver share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
+class Workspace:
+    """A folder of its own below the shared work folder, for the tables that one job writes and reads again.
+
+    Reading back a written table ends the lineage, so a lost executor costs a re-read and not a recomputation. ``clear``
+    removes all of them, once nothing that was built on them will be read any more; a ``with`` block does so at its end.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{work_folder(spark)}/staykit-{uuid.uuid4().hex}"
+
+    def new_path(self, name: str = "table") -> str:
+        return f"{self.path}/{name}-{uuid.uuid4().hex[:12]}"
+
+    def store(self, df: DataFrame, name: str = "table") -> DataFrame:
+        """Writes the rows and reads them back; later readers prune columns and rows."""
+        path = self.new_path(name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def store_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """``store`` for several tables side by side."""
+        jobs = [lambda df=df, name=name: self.store(df, name) for name, df in tables.items()]
+        return dict(zip(tables, together(self.spark, jobs)))
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.clear()
 
 
 def together(spark: SparkSession, jobs: list[Callable[[], DataFrame]]) -> list[DataFrame]:
@@ -95,10 +116,3 @@ def together(spark: SparkSession, jobs: list[Callable[[], DataFrame]]) -> list[D
     executors the others leave idle."""
     with ThreadPoolExecutor(max(1, len(jobs))) as pool:
         return list(pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs))
-
-
-def materialise_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``materialise`` for several tables at once."""
-    spark = next(iter(tables.values())).sparkSession
-    jobs = [lambda df=df, name=name: materialise(df, name) for name, df in tables.items()]
-    return dict(zip(tables, together(spark, jobs)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,7 @@ def local_session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="staykit-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,6 +9,7 @@ from staykit.catalog import views as v
 from staykit.catalog.queries import Source
 from staykit.catalog.settle import settle
 from staykit.functions.keys import AccountCipher
+from staykit.sources.tables import Workspace
 from staykit.plans.matrices import scoring_matrix, training_matrix
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,7 +28,8 @@ def test_training_matrix(spark):
 
 
 def test_lazy_equals_layered(spark):
-    assert sorted(map(str, settle(training(spark, layered=False)).collect())) == sorted(map(str, settle(training(spark)).collect()))
+    layered = training(spark, layers=Workspace(spark))
+    assert sorted(map(str, settle(training(spark)).collect())) == sorted(map(str, settle(layered).collect()))
 
 
 def test_scoring_matrix_with_and_without_training_accounts(spark):

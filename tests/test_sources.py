@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+import os
 
 from pyspark.sql import functions as F
 
@@ -50,8 +51,15 @@ def test_session_layout_has_every_metric():
     assert len(schemas.SESSIONS.fields) == 14 + 1 + 3 + 3 + 8 + 24 + 3
 
 
-def test_materialise_cuts_lineage(spark):
-    df = tables.materialise(spark.range(5).withColumn("x", F.col("id") * 2), "t")
-    assert df.count() == 5
-    assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
-    assert tables.work_folder(spark) in df.inputFiles()[0]
+def test_workspace_cuts_lineage_and_clears(spark, tmp_path):
+    with tables.Workspace(spark) as work:
+        df = work.store(spark.range(5).withColumn("x", F.col("id") * 2), "t")
+        assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.count() == 5 and tables.work_folder(spark) in df.inputFiles()[0]
+        folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+def test_work_folder_follows_the_session(spark):
+    assert tables.work_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
