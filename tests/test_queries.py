@@ -17,7 +17,7 @@ def duck():
     return duckdb_on(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     assert compare(spark, duck, SF_DIR, name, df) is None
@@ -28,7 +28,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_only_iterative_models_go_without_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(entry.QUERIES) - set(entry.oracle_sql()) == ROWS_ONLY
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
