@@ -52,4 +52,18 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
-ORACLES = {"op7_chat_format": _CHAT, "op8_decontaminate": _DECONTAMINATE, "op10_url_filter": _URLS}
+_JACCARD = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + least(len(words), 5) - 1], ' ') AS shingle
+ FROM d, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS u(i) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * o >= 75 * (na.n + nb.n - o)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.least_id, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reach GROUP BY a) r USING (doc_id)
+"""
+
+ORACLES = {
+    "op4_jaccard_join": _JACCARD, "op7_chat_format": _CHAT, "op8_decontaminate": _DECONTAMINATE, "op10_url_filter": _URLS,
+}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staykit.llm import chat, decontaminate, language, tokens, toxicity, urls
+from staykit.llm import chat, decontaminate, jaccard, language, tokens, toxicity, urls
 from staykit.sources.tables import Workspace
 
 QUERIES = {}
@@ -107,3 +107,11 @@ def op10_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = urls.filter_urls(pages, RULES, spam_host(F.col("host")), Workspace(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op4_jaccard_join(spark, sf_dir):
+    """Documents linked by at least 75 % common five-word shingles, and their components."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    joined = jaccard.jaccard_join(docs, Workspace(spark), percent=75, size=5)
+    return joined.documents.select("doc_id", "n_shingles", "component_id")
