@@ -19,8 +19,8 @@ from staykit.sources.tables import Workspace
 
 ORDERS = (5, 4, 3, 2, 1)
 # Size of the model: the most frequent words and n-grams of the training texts. What is not held backs off.
-MAX_WORDS = 100_000
-MAX_GRAMS = 60_000
+MAX_WORDS = 60_000
+MAX_GRAMS = 40_000
 UNKNOWN = "und"
 # No word speaks against a language by more than this log frequency, so a few telling words do not outvote a long text.
 MAX_VOTE = 4.0
@@ -42,23 +42,26 @@ def grams_of(word: str, order: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
+    """``words`` and ``grams`` give the row of a string in ``word_logs`` and ``gram_logs``: its log frequency per language."""
+
     languages: list[str]
-    words: dict[str, np.ndarray]  # log frequency per language
-    grams: dict[int, dict[str, np.ndarray]]  # by order
+    words: dict[str, int]
+    word_logs: np.ndarray
+    grams: dict[str, int]
+    gram_logs: np.ndarray
 
     def word_scores(self, word: str) -> np.ndarray:
         scores = self._frequency(word)
         return np.maximum(scores, scores.max() - MAX_VOTE)
 
     def _frequency(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is not None:
-            return found
+        row = self.words.get(word)
+        if row is not None:
+            return self.word_logs[row]
         for order in ORDERS:
-            table = self.grams.get(order, {})
-            known = [table[g] for g in grams_of(word, order) if g in table]
+            known = [self.grams[g] for g in grams_of(word, order) if g in self.grams]
             if known:
-                return np.mean(known, axis=0)
+                return self.gram_logs[known].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
@@ -104,39 +107,27 @@ def count_grams(words: DataFrame) -> DataFrame:
     )
 
 
-def _most_frequent(counts: DataFrame, limit: int) -> list:
-    """The ``limit`` most frequent strings with their counts by language; ties go to the smaller string."""
+def _table(counts: DataFrame, limit: int, mass: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
+    """The ``limit`` most frequent strings (ties go to the smaller) and the log frequencies in each language."""
     by_word = counts.groupBy("word").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_lang")
+        F.sum("n").alias("total"),
+        *[F.sum(F.when(F.col("lang") == language, F.col("n")).otherwise(0)).alias(f"n{i}") for i, language in enumerate(mass)],
     )
-    return by_word.orderBy(F.desc("total"), "word").limit(limit).collect()
+    top = by_word.orderBy(F.desc("total"), "word").limit(limit).drop("total").toArrow()
+    found = np.column_stack([top.column(i + 1).to_numpy() for i in range(len(mass))])
+    logs = np.log((found + 0.05) / (np.array(list(mass.values())) + 1.0))
+    return {w: i for i, w in enumerate(top.column(0).to_pylist())}, logs.astype(np.float32)
 
 
 def fit_languages(docs: DataFrame, work: Workspace, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
     """Counts over all rows of ``docs`` (text, lang) with a language. The driver holds at most ``max_words`` words and
-    ``max_grams`` n-grams. Without any labelled row the model knows no language and answers ``und``."""
+    ``max_grams`` n-grams, a number per language each. Without any labelled row the model knows no language and answers
+    ``und``."""
     words = work.store(count_words(docs), "words")
-    totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(totals)
-    if not languages:
-        return LanguageModel([], {}, {})
-    place = {language: i for i, language in enumerate(languages)}
-    mass = np.array([totals[language] for language in languages], dtype=float)
-
-    def table(rows, scale: np.ndarray) -> dict[str, np.ndarray]:
-        logs = {}
-        for r in rows:
-            counts = np.zeros(len(languages))
-            for x in r["by_lang"]:
-                counts[place[x["lang"]]] = x["n"]
-            logs[r["word"]] = np.log((counts + 0.05) / (scale + 1.0))
-        return logs
-
-    known = table(_most_frequent(words, max_words), mass)
-    grams: dict[int, dict[str, np.ndarray]] = {order: {} for order in ORDERS}
-    for gram, scores in table(_most_frequent(count_grams(words), max_grams), mass).items():
-        grams[len(gram)][gram] = scores
-    return LanguageModel(languages, known, grams)
+    mass = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
+    if not mass:
+        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+    return LanguageModel(list(mass), *_table(words, max_words, mass), *_table(count_grams(words), max_grams, mass))
 
 
 class _Scorer:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staykit.llm import chat, decontaminate, jaccard, language, tokens, toxicity, urls
+from staykit.llm import chat, decontaminate, embeddings, jaccard, language, mixing, tokens, toxicity, urls
 from staykit.sources.tables import Workspace
 
 QUERIES = {}
@@ -115,3 +115,18 @@ def op4_jaccard_join(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     joined = jaccard.jaccard_join(docs, Workspace(spark), percent=75, size=5)
     return joined.documents.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op1_near_vectors(spark, sf_dir):
+    """Vectors of one label with cosine 0.93 or more, by a pivot-permutation index."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Workspace(spark), threshold=0.93)
+    return found.vectors.select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op2_mixing(spark, sf_dir):
+    """Half of the corpus' tokens, raked to flattened source, language and topic shares."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed, _ = mixing.mix(docs, Workspace(spark), kept=0.5)
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "rate", "copies")
