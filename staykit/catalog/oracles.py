@@ -8,8 +8,19 @@ from __future__ import annotations
 
 from staykit.catalog import views as v
 from staykit.catalog.settle import settle_sql
-from staykit.operators.changes import FLAGS
-from staykit.operators.viewing import BOOLEANS, DATES, DEVICES, EPOCHS, NUMBERS
+
+# Fixed values, spelled out here so that a column missing from an operator is missed.
+FLAGS = tuple("internet_package video_package other_package tv_stream_package stream_choice_package internet_price video_price "
+              "total_price".split())
+DEVICES = ("iphone", "androidphone", "uwp", "samsungtv", "androidtablet", "webbrowser", "ipad", "ipod touch", "xbox", "roku")
+NUMBERS = tuple("""rental_duration_hours content_runtime content_year stream_init_starts stream_noninit_failures
+ stream_init_failures stream_failures stream_stops tune_time_ms watch_time_ms bandwidth_consumed_mb bitrate_content_elapsed_ms
+ buffering_events buffering_stops buffering_duration_ms buffering_ratio buffering_score ad_breaks ad_events
+ last_ad_sequence_number last_ad_end_sequence_number avg_bitrate_mbps bitrate_upshifts bitrate_downshifts downshifts_score
+ last_stop_sequence_number level2_downshifts pibbe_ms pibd2_ms mos_score watch_time_on_net_ms watch_time_off_net_ms""".split())
+BOOLEANS = ("is_active", "has_playback_start")
+DATES = ("content_available_date", "content_expiration_date", "content_original_air_date")
+EPOCHS = ("start_timestamp", "end_timestamp", "last_stop_timestamp")
 
 _KEY = """CASE operator WHEN 'OP_A' THEN 'OP_A::' || billing_id WHEN 'OP_B' THEN 'OP_B::' || billing_id
  WHEN 'OP_C' THEN concat_ws('::', 'OP_C', {system}, billing_id) ELSE billing_id END AS account_guid"""
@@ -42,6 +53,11 @@ _CTES |= {
     "windowed": (
         f"SELECT * FROM sessions WHERE activity_date BETWEEN DATE '{v.FIRST}' AND DATE '{v.AS_OF}'", ("sessions",)
     ),
+    "windowed_minutes": (
+        "SELECT * REPLACE (CAST(floor(watch_time_ms / 60000) AS BIGINT) AS watch_time_ms) FROM windowed", ("windowed",)
+    ),
+    "minutes_literal": (f"SELECT * REPLACE ({_day_part(True)}) FROM windowed_minutes", ("windowed_minutes",)),
+    "training": (v.view_sql("training"), ()),
     "labels": (
         f"""SELECT *, CASE WHEN churn_date = '' THEN DATE '{v.AS_OF}' ELSE CAST(nullif(churn_date, '') AS DATE) END AS max_agg_date,
  CAST(CASE WHEN churn_date = '' THEN DATE '{v.AS_OF}' ELSE CAST(nullif(churn_date, '') AS DATE) END - {v.LABEL_DAYS} AS DATE) AS min_agg_date
@@ -127,12 +143,8 @@ def peer_doubles(grain: str) -> list[str]:
     return [f"mos_comp_{grain}_{m}" for m in _PEER_DOUBLES]
 
 
-def _mean(steps: str, rows: str = "mos_score") -> str:
-    return f"CAST(sum({steps}) AS DOUBLE) / nullif(count({rows}), 0)"
-
-
-_STEPS = "CAST(round(mos_score * 1000000) AS BIGINT)"
-_WSTEPS = f"CAST({_STEPS} AS HUGEINT) * watch_time_ms"
+# Scores have two decimals: means are plain averages, and whether one mean is above another is decided by whole hundredths.
+_STEPS = "CAST(CAST(round(mos_score * 100) AS BIGINT) AS HUGEINT)"
 _GRAINS = {
     # name: (peer keys, day count, weighted denominator, inclusive tails)
     "stream": (("stream_id", "activity_date"), "count(DISTINCT a.activity_date)", "count(a.stream_id)", False),
@@ -149,32 +161,25 @@ def _peers(grain: str, own: str = "windowed", everyone: str = "windowed", legacy
     low, high = ("points[2]", "points[3]") if legacy else ("points[1]", "points[2]")
     equal = "=" if inclusive else ""
     power = (lambda x: f"pow(2.0, {x})") if legacy else (lambda x: f"pow({x}, 2.0)")
-    gap, wgap = "(own_mean - peer_mean) / 1000000", "(own_wmean - peer_wmean) / 1000000"
+    gap, wgap = "own_mean - peer_mean", "own_wmean - peer_wmean"
     name = f"mos_comp_{grain}"
-    wdev = f"sqrt(sum({power(wgap)}) / nullif(count(peer_wmean), 0))"
-    if legacy:
-        wdev = f"(SELECT CASE WHEN x IS NULL THEN NULL WHEN x <= 0 THEN -2000.0 WHEN x > 1e300 THEN 2000.0 ELSE log2(x) END FROM (SELECT {wdev} AS x))"
-        wdev = wdev.replace(f"(SELECT {wdev} AS x)", "")
-    sql = f"""SELECT a.account_guid,
- {_ratio('sum(CASE WHEN own_mean > peer_mean THEN 1 ELSE 0 END)', days)} AS {name}_cnt_acct_bigger,
- {_ratio('sum(own_sum - peer_sum)', days)} / 1000000 AS {name}_avg_acct_bigger,
- sqrt(sum({power(gap)}) / nullif(count(own_mean), 0)) AS {name}_std_dev_acct,
- CAST(sum(CASE WHEN own_mean <{equal} {low} * 1000000 THEN 1 ELSE 0 END) AS BIGINT) AS {name}_avg_mos_bottom_10,
- CAST(sum(CASE WHEN own_mean >{equal} {high} * 1000000 THEN 1 ELSE 0 END) AS BIGINT) AS {name}_avg_mos_top_10,
- sum(own_wmean) / 1000000 / nullif({denominator}, 0) AS {name}_weighted_avg_mos_acct,
- {_ratio('sum(CASE WHEN own_wmean > peer_wmean THEN 1 ELSE 0 END)', days)} AS {name}_weighted_cnt_acct_bigger,
+    shown = (lambda x: f"log2({x})") if legacy else (lambda x: x)
+    return f"""SELECT a.account_guid,
+ {_ratio('sum(CASE WHEN own_sum * peer_n > peer_sum * own_n THEN 1 ELSE 0 END)', days)} AS {name}_cnt_acct_bigger,
+ {_ratio('sum(own_sum - peer_sum)', days)} / 100 AS {name}_avg_acct_bigger,
+ {shown(f"sqrt(sum({power(gap)}) / nullif(count(own_mean), 0))")} AS {name}_std_dev_acct,
+ CAST(sum(CASE WHEN own_mean <{equal} {low} THEN 1 ELSE 0 END) AS BIGINT) AS {name}_avg_mos_bottom_10,
+ CAST(sum(CASE WHEN own_mean >{equal} {high} THEN 1 ELSE 0 END) AS BIGINT) AS {name}_avg_mos_top_10,
+ sum(own_wmean) / nullif({denominator}, 0) AS {name}_weighted_avg_mos_acct,
+ {_ratio('sum(CASE WHEN own_wsum * peer_n > peer_wsum * own_n THEN 1 ELSE 0 END)', days)} AS {name}_weighted_cnt_acct_bigger,
  sum({wgap}) / nullif({days}, 0) AS {name}_weighted_avg_acct_bigger,
- sqrt(sum({power(wgap)}) / nullif(count(peer_wmean), 0)) AS {name}_weighted_std_dev_acct
- FROM (SELECT account_guid, {listed}, count(DISTINCT activity_date) AS active_days, sum({_STEPS}) AS own_sum, {_mean(_STEPS)} AS own_mean,
-  {_mean(_WSTEPS, 'mos_score * watch_time_ms')} AS own_wmean FROM {own} GROUP BY account_guid, {listed}) a
- LEFT JOIN (SELECT {listed}, sum({_STEPS}) AS peer_sum, {_mean(_STEPS)} AS peer_mean, {_mean(_WSTEPS, 'mos_score * watch_time_ms')} AS peer_wmean,
+ {shown(f"sqrt(sum({power(wgap)}) / nullif(count(peer_wmean), 0))")} AS {name}_weighted_std_dev_acct
+ FROM (SELECT account_guid, {listed}, count(DISTINCT activity_date) AS active_days, count(mos_score) AS own_n, sum({_STEPS}) AS own_sum,
+  sum({_STEPS} * watch_time_ms) AS own_wsum, avg(mos_score) AS own_mean, avg(mos_score * watch_time_ms) AS own_wmean FROM {own} GROUP BY account_guid, {listed}) a
+ LEFT JOIN (SELECT {listed}, count(mos_score) AS peer_n, sum({_STEPS}) AS peer_sum, sum({_STEPS} * watch_time_ms) AS peer_wsum,
+  avg(mos_score) AS peer_mean, avg(mos_score * watch_time_ms) AS peer_wmean,
   quantile_cont(CAST(round(mos_score) AS INTEGER), [0.1, 0.9]) AS points FROM {everyone} GROUP BY {listed}) p ON {on}
  GROUP BY a.account_guid"""
-    if legacy:
-        c = f"{name}_weighted_std_dev_acct"
-        sql = f"""SELECT * REPLACE (CASE WHEN {c} IS NULL THEN NULL WHEN {c} <= 0 THEN -2000.0 WHEN {c} > 1e300 THEN 2000.0
- ELSE log2({c}) END AS {c}) FROM ({sql})"""
-    return sql
 
 
 # Viewing
@@ -408,14 +413,22 @@ _layer("plain", "windowed", "windowed", v.FIRST_CHANGE, v.PERIOD_DAYS, f"call_da
 _add(
     "scored_sessions",
     """SELECT * FROM windowed WHERE account_guid IN (SELECT account_guid FROM active)
- AND account_guid NOT IN (SELECT account_guid FROM labels WHERE churn = 1)""", "windowed", "active", "labels",
+ AND account_guid NOT IN (SELECT account_guid FROM training)""", "windowed", "active", "training",
 )
 _add("search", _SEARCH, "pages")
 _add("identity", """SELECT account_guid, operator, account_number, billing_id, system FROM (SELECT *, row_number() OVER (PARTITION BY account_guid
  ORDER BY operator DESC, account_number DESC, billing_id DESC, system DESC NULLS LAST) AS rn FROM active_ever) WHERE rn = 1""", "active_ever")
 _add("identity_now", """SELECT account_guid, operator, account_number, billing_id, system FROM (SELECT *, row_number() OVER (PARTITION BY account_guid
  ORDER BY operator DESC, account_number DESC, billing_id DESC, system DESC NULLS LAST) AS rn FROM active) WHERE rn = 1""", "active")
-_FEATURES = ("quality", "viewing", "calls", "changes", "promo")
+
+
+def _chained(names) -> str:
+    """Each table full-joined on the key of the one before it, the key of the first."""
+    joins = " ".join(
+        f"FULL OUTER JOIN {n} ON {names[i]}.account_guid = {n}.account_guid" for i, n in enumerate(names[1:])
+    )
+    columns = ", ".join([f"{names[0]}.*", *[f"{n}.* EXCLUDE (account_guid)" for n in names[1:]]])
+    return f"SELECT {columns} FROM {names[0]} {joins}"
 
 
 def _left(spine: str, tables: list[str]) -> str:
@@ -428,10 +441,9 @@ MATRIX_DOUBLES = QUALITY_ALL + VIEWING_ALL + ["avg_call_date"] + CHANGE_DOUBLES
 
 # Sparse tables that each miss accounts, and the chain of matrix joins
 
-_NUMBER = "CAST(regexp_extract(account_guid, '([0-9]+)$', 1) AS INTEGER)"
-_add("sparse_a", f"SELECT account_guid, active_day_cnt FROM plain_q WHERE {_NUMBER} % 4 <> 0", "plain_q")
-_add("sparse_b", f"SELECT account_guid, sum_linear FROM plain_profile WHERE {_NUMBER} % 5 <> 0", "plain_profile")
-_add("sparse_c", f"SELECT account_guid, channel_watch_time FROM plain_top WHERE {_NUMBER} % 6 <> 0", "plain_top")
+_add("sparse_a", f"SELECT account_guid, total_calls FROM ({_calls(f'call_date <= DATE {chr(39)}{v.AS_OF}{chr(39)}')})", "calls", "history")
+_add("sparse_b", "SELECT account_guid, channel_watch_time FROM plain_top", "plain_top")
+_add("sparse_c", "SELECT account_guid, count(total_price) AS total_price_changes FROM changes GROUP BY account_guid", "changes")
 _add("train_now_calls", _calls("call_date < l.max_agg_date", labels=True), "calls", "history", "labels")
 _add("promo_since", _promo(_SINCE), "accounts")
 _LINKS = ("identity", "plain_q", "plain_profile", "train_now_calls", "train_changes", "promo_since")
@@ -475,7 +487,7 @@ def build() -> dict[str, str]:
  WHEN 'OP_A' THEN substr(account_number, 4) WHEN 'OP_C' THEN CASE WHEN length(account_number) < 9 THEN lpad(account_number, 9, '0')
  ELSE account_number END ELSE account_number END AS billing_id FROM history""", "history")
     put("active_accounts", "SELECT * FROM active", "active")
-    put("active_accounts_labelled", """SELECT * FROM active_ever WHERE account_guid IN (SELECT account_guid FROM labels WHERE churn = 1)""",
+    put("active_accounts_labelled", """SELECT * FROM active_ever WHERE account_guid IN (SELECT account_guid FROM labels)""",
         "active_ever", "labels")
     put("labelled_sessions", """SELECT l.account_guid, l.min_agg_date, l.max_agg_date, l.churn, l.tv_stream_tenure, l.customer_tenure,
  l.connect_date, l.convert_date, s.stream_id, s.activity_date, s.start_timestamp, s.mos_score, s.watch_time_ms
@@ -485,7 +497,7 @@ def build() -> dict[str, str]:
  max(activity_date) AS last_date, CAST(sum(watch_time_ms) AS BIGINT) AS watched FROM own_sessions GROUP BY ALL""", "own_sessions",
         dates=["min_agg_date", "max_agg_date", "first_date", "last_date"])
     put("exclude_training_accounts", _session_counts("""account_guid IN (SELECT account_guid FROM active)
- AND account_guid NOT IN (SELECT account_guid FROM labels WHERE churn = 1)"""), "sessions", "active", "labels")
+ AND account_guid NOT IN (SELECT account_guid FROM training)"""), "sessions", "active", "training")
     put("exclude_training_accounts_legacy", _session_counts("true"), "sessions")
     put("sessions_of_active", _session_counts("account_guid IN (SELECT account_guid FROM active)"), "sessions", "active")
     put("day_parts", _parts(_day_part(), "day_part"), "sessions_in")
@@ -500,13 +512,21 @@ def build() -> dict[str, str]:
     put("account_quality_labelled", _quality("own_sessions"), "own_sessions", doubles=QUALITY_DOUBLES)
     for grain in _GRAINS:
         put(f"peer_by_{grain}", _peers(grain), "windowed", doubles=peer_doubles(grain))
-        put(f"peer_by_{grain}_legacy", _peers(grain, legacy=True), "windowed", doubles=peer_doubles(grain))
+        put(f"peer_by_{grain}_legacy", _peers(grain, "windowed_minutes", "windowed_minutes", legacy=True), "windowed_minutes",
+            doubles=peer_doubles(grain))
     put("peer_by_channel_labelled", _peers("channel", "own_sessions", "label_sessions"), "own_sessions", "label_sessions",
         doubles=peer_doubles("channel"))
     put("quality_features", "SELECT * FROM plain_quality", "plain_quality", doubles=QUALITY_ALL)
+    _add("minutes_q", f"SELECT * REPLACE ({listed}) FROM ({_quality('windowed_minutes')})", "windowed_minutes")
+    for g in _GRAINS:
+        _add(f"minutes_{g}", _peers(g, "minutes_literal", "minutes_literal", legacy=True), "minutes_literal")
+    chained = ("minutes_stream", "minutes_q", "minutes_channel", "minutes_week_part", "minutes_day_part")
+    put("quality_features_legacy", _chained(chained), *chained, doubles=QUALITY_DOUBLES[:-2] + [d for g in _GRAINS for d in peer_doubles(g)])
+    put("viewing_features_legacy", f"SELECT *, CAST(NULL AS INTEGER) AS never_logged_in FROM ({_chained(('plain_profile', 'plain_top', 'plain_std'))})",
+        "plain_profile", "plain_top", "plain_std", doubles=VIEWING_ALL, dates=COUNT_DATES)
     sparse = ("sparse_a", "sparse_b", "sparse_c")
     put("union_of_sparse_tables", _full(list(sparse)), *sparse)
-    put("union_of_sparse_tables_legacy", """SELECT a.account_guid, active_day_cnt, sum_linear, channel_watch_time FROM sparse_a a
+    put("union_of_sparse_tables_legacy", """SELECT a.account_guid, total_calls, channel_watch_time, total_price_changes FROM sparse_a a
  FULL OUTER JOIN sparse_b b ON a.account_guid = b.account_guid FULL OUTER JOIN sparse_c c ON b.account_guid = c.account_guid""", *sparse)
 
     put("viewing_flags", _per_account(_FLAG_COLUMNS), "windowed", doubles=FLAG_DOUBLES)
@@ -539,13 +559,13 @@ def build() -> dict[str, str]:
         ("call_profile_before_churn_legacy", _calls(before_churn, legacy=True, labels=True)),
     ):
         put(name, text, "calls", "history", "labels", doubles=["avg_call_date"])
-    put("promo_profile", f"SELECT * FROM ({_promo(_SNAPSHOT)}) WHERE operator = 'OP_C'", "accounts")
+    put("promo_profile", _promo(_SNAPSHOT), "accounts")
     put("promo_profile_union", _promo(_SINCE), "accounts")
     put("promo_profile_legacy", _promo_legacy(_SINCE), "accounts", "history")
 
-    train = [f"train_{t}" for t in _FEATURES]
+    train = ["train_quality", "train_viewing", "search", "train_calls", "train_changes", "train_promo"]
     put("feature_matrix", _left("(SELECT account_guid, churn FROM labels)", ["identity", *train]), "labels", "identity", *train,
-        doubles=MATRIX_DOUBLES, dates=COUNT_DATES)
+        doubles=MATRIX_DOUBLES + SEARCH_DOUBLES, dates=COUNT_DATES)
     score = ["score_quality", "score_viewing", "search", "score_calls", "score_changes", "score_promo"]
     put("scoring_feature_matrix", _left("identity_now", score), "identity_now", *score, doubles=MATRIX_DOUBLES + SEARCH_DOUBLES,
         dates=COUNT_DATES)

@@ -59,6 +59,11 @@ class Source:
     def windowed(self) -> DataFrame:
         return pop.sessions_between(self.sessions, v.FIRST, v.AS_OF)
 
+    @property
+    def windowed_minutes(self) -> DataFrame:
+        """Watch time in minutes: two to the power of a difference of score x milliseconds is no double any more."""
+        return self.windowed.withColumn("watch_time_ms", v.in_minutes())
+
     @property
     def changes(self) -> DataFrame:
         return pop.with_account_guid(self.table("changes"), "system")
@@ -67,6 +72,11 @@ class Source:
     def labels(self) -> DataFrame:
         return pop.label_windows(self.table("labels"), v.AS_OF, v.LABEL_DAYS)
 
+    @property
+    def training_labels(self) -> DataFrame:
+        """All labels of an earlier training run: those with a window that had ended by then."""
+        return pop.label_windows(v.view(self.spark, self.sf_dir, "training"), v.AS_OF, v.LABEL_DAYS)
+
     @property
     def label_sessions(self) -> DataFrame:
         return pop.sessions_in_label_window(self.labels, self.sessions)
@@ -126,7 +136,7 @@ def active_accounts(spark, sf_dir):
 @query
 def active_accounts_labelled(spark, sf_dir):
     source = Source(spark, sf_dir)
-    return source.inputs().active(labels=source.labels.where("churn = 1"))
+    return source.inputs().active(labels=source.labels)
 
 
 @query
@@ -156,7 +166,7 @@ def _session_counts(sessions):
 
 def _excluded(spark, sf_dir, legacy):
     source = Source(spark, sf_dir)
-    active, training = source.inputs().active(as_of=v.AS_OF), source.labels.where("churn = 1")
+    active, training = source.inputs().active(as_of=v.AS_OF), source.training_labels
     return _session_counts(pop.exclude_accounts(source.sessions, active, training, legacy))
 
 
@@ -208,7 +218,11 @@ def account_quality(spark, sf_dir):
 
 @query
 def account_quality_legacy(spark, sf_dir):
-    rows = qu.account_quality(Source(spark, sf_dir).windowed, legacy=True)
+    return _arrays_shown(qu.account_quality(Source(spark, sf_dir).windowed, legacy=True))
+
+
+def _arrays_shown(rows):
+    """One-element percentile arrays as text."""
     arrays = ("mos_bottom_10_percentile", "mos_top_10_percentile")
     return rows.withColumns({c: F.concat(F.lit("["), F.element_at(c, 1).cast("decimal(12,2)").cast("string"), F.lit("]")) for c in arrays})
 
@@ -220,20 +234,15 @@ def account_quality_labelled(spark, sf_dir):
 
 
 def _peers(spark, sf_dir, grain, legacy=False):
-    parted = qu.with_day_and_week_part(Source(spark, sf_dir).windowed)
+    source = Source(spark, sf_dir)
+    parted = qu.with_day_and_week_part(source.windowed_minutes if legacy else source.windowed)
     return _logged(qu.peer_compare(parted, grain, legacy=legacy)) if legacy else qu.peer_compare(parted, grain)
 
 
 def _logged(df):
-    """Two to the power of a score-milliseconds difference spans the range of doubles: shown as its logarithm."""
-    columns = {}
-    for c in df.columns:
-        if c.endswith("_weighted_std_dev_acct"):
-            value = F.col(c)
-            columns[c] = (
-                F.when(value.isNull(), None).when(value <= 0, -2000.0).when(value > 1e300, 2000.0).otherwise(F.log2(value))
-            )
-    return df.withColumns(columns)
+    """Deviations made of two to the power of a difference, as logarithms to the base of two."""
+    powers = [c for c in df.columns if c.endswith("_std_dev_acct") and c.startswith("mos_comp")]
+    return df.withColumns({c: F.log2(c) for c in powers})
 
 
 @query
@@ -289,14 +298,18 @@ def quality_features(spark, sf_dir):
     return quality_plan(Source(spark, sf_dir).windowed)
 
 
+@query
+def quality_features_legacy(spark, sf_dir):
+    return _logged(_arrays_shown(quality_plan(Source(spark, sf_dir).windowed_minutes, legacy=True)))
+
+
 def _sparse(spark, sf_dir, legacy):
-    """Three tables that each miss some accounts."""
-    sessions = Source(spark, sf_dir).windowed
-    number = F.regexp_extract("account_guid", "([0-9]+)$", 1).cast("int")
+    """Three tables that each miss some accounts: callers, viewers of linear channels, accounts with changes."""
+    source = Source(spark, sf_dir)
     tables = [
-        qu.account_quality(sessions).where(number % 4 != 0).select("account_guid", "active_day_cnt"),
-        vi.viewing_counts(sessions).where(number % 5 != 0).select("account_guid", "sum_linear"),
-        vi.top_channel(sessions).where(number % 6 != 0).select("account_guid", "channel_watch_time"),
+        source.inputs().call_profile(as_of=v.AS_OF).select("account_guid", "total_calls"),
+        vi.top_channel(source.windowed).select("account_guid", "channel_watch_time"),
+        ch.change_counts(source.changes).select("account_guid", "total_price_changes"),
     ]
     return union_features(tables, legacy)
 
@@ -380,6 +393,14 @@ def viewing_features(spark, sf_dir):
     return viewing_plan(source.windowed, source.table("usage"), source.changes, v.FIRST_CHANGE, v.AS_OF, v.PERIOD_DAYS)
 
 
+@query
+def viewing_features_legacy(spark, sf_dir):
+    source = Source(spark, sf_dir)
+    return viewing_plan(
+        source.windowed, source.table("usage"), source.changes, v.FIRST_CHANGE, v.AS_OF, v.PERIOD_DAYS, legacy=True
+    )
+
+
 # Changes, calls, promotions
 
 
@@ -434,13 +455,8 @@ def call_profile_before_churn_legacy(spark, sf_dir):
 
 @query
 def promo_profile(spark, sf_dir):
-    """One operator, the ``as_of`` snapshot."""
-    inputs = Source(spark, sf_dir).inputs()
-    return Inputs.promo(_only(inputs, "OP_C"), as_of=v.AS_OF)
-
-
-def _only(inputs, name):
-    return Inputs(None, [h for h in inputs.histories if h.operator.name == name], None, None, None)
+    """All operators, the ``as_of`` snapshot."""
+    return Source(spark, sf_dir).inputs().promo(as_of=v.AS_OF)
 
 
 @query
@@ -468,7 +484,7 @@ def feature_matrix(spark, sf_dir):
 def scoring_feature_matrix(spark, sf_dir):
     source = Source(spark, sf_dir)
     return scoring_matrix(
-        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.labels.where("churn = 1"),
+        source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.training_labels,
         layers=Workspace(spark),
     )
 

@@ -1,23 +1,16 @@
 """Rounding shared by queries and checks.
 
-Sums of doubles differ in their last digits with the order of the rows. Results are rounded after a small shift, because
-means of values with few decimals often lie exactly on a rounding tie.
+Sums of doubles differ in their last digits with the order of the rows. Results are rounded by their size, after a small
+shift, because means of values with few decimals often lie exactly on a rounding tie.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-_COARSE = ("weighted", "_ms", "time", "watch", "std_channel")
-
-
-def step(column: str) -> tuple[str, int]:
-    """Shift and digits for a double column, by the size its name implies."""
-    if "timestamp" in column:
-        return "0.1", 0
-    if any(token in column for token in _COARSE) and "_cnt_" not in column:
-        return "0.00001", 3
-    return "0.000000001", 6
+# (below this size, shift, digits); larger values are rounded to whole numbers.
+STEPS = ((1e3, 1e-9, 6), (1e9, 1e-5, 3))
+WHOLE_SHIFT = 0.1
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -26,16 +19,22 @@ def settle(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         value = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
-            shift, digits = step(f.name)
-            value = F.round(value + F.lit(float(shift)), digits)
+            rounded = F
+            for below, shift, digits in STEPS:
+                rounded = rounded.when(F.abs(value) < below, F.round(value + shift, digits))
+            value = rounded.otherwise(F.round(value + WHOLE_SHIFT, 0))
         elif isinstance(f.dataType, T.DateType):
             value = value.cast("string")
         columns.append(value.alias(f.name))
     return df.select(*columns)
 
 
+def _rounded_sql(c: str) -> str:
+    whens = " ".join(f"WHEN abs({c}) < {below:.0f} THEN round({c} + CAST({shift:.9f} AS DOUBLE), {digits})" for below, shift, digits in STEPS)
+    return f"CASE {whens} ELSE round({c} + CAST({WHOLE_SHIFT} AS DOUBLE), 0) END AS {c}"
+
+
 def settle_sql(sql: str, doubles=(), dates=()) -> str:
     """The same on a query text."""
-    changes = [f"round({c} + CAST({step(c)[0]} AS DOUBLE), {step(c)[1]}) AS {c}" for c in doubles]
-    changes += [f"CAST({c} AS VARCHAR) AS {c}" for c in dates]
+    changes = [_rounded_sql(c) for c in doubles] + [f"CAST({c} AS VARCHAR) AS {c}" for c in dates]
     return f"SELECT * REPLACE ({', '.join(changes)}) FROM ({sql})" if changes else sql

@@ -6,7 +6,7 @@ decides how an account is keyed; the first operator has no billing system.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staykit.operators.viewing import DATES, NUMBERS
 
@@ -93,6 +93,8 @@ VIEWS = {
  CASE WHEN c_acctbal < 1000 THEN '2024-01-20' ELSE '' END AS churn_date, CAST(c_custkey % 30 AS INT) AS tv_stream_tenure,
  CAST(c_custkey % 90 AS INT) AS customer_tenure, CAST(DATE '2020-01-01' + CAST(c_custkey % 365 AS INT) AS DATE) AS connect_date,
  CAST(DATE '2021-01-01' + CAST(c_custkey % 365 AS INT) AS DATE) AS convert_date FROM {{customer}}""",
+    "training": f"""SELECT {guid('c_custkey')} AS account_guid, CASE WHEN c_acctbal < 1000 THEN 1 ELSE 0 END AS churn,
+ CASE WHEN c_acctbal < 1000 THEN '2024-01-02' ELSE '' END AS churn_date FROM {{customer}} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
     "changes": f"""SELECT {_billing('o_custkey')} AS billing_id, {_operator('o_custkey')} AS operator,
  {_system('o_custkey')} AS system, {_number('o_custkey')} AS account_number,
  CAST(DATE '2024-01-31' - CAST(o_orderkey % 400 AS INT) AS DATE) AS change_event_date,
@@ -142,6 +144,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+def in_minutes():
+    """Watch time in whole minutes, as a Column."""
+    return F.floor(F.col("watch_time_ms") / 60000)
+
+
 def view_sql(name: str) -> str:
     """The same view for the checking engine."""
     return _spell(VIEWS[name], DUCKDB).format(events="events", customer="customer", orders="orders")

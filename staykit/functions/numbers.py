@@ -42,6 +42,21 @@ def wide(value: Column) -> Column:
     return value.cast("decimal(20,0)")
 
 
+# A whole number in two parts, so that sums of either part stay in a bigint for 10**12 rows and more.
+_PART = 10**7
+
+
+def whole_parts(value: Column) -> tuple[Column, Column]:
+    """A bigint as (multiples of 10**7, rest); sum the parts, then put them together with ``joined_parts``."""
+    high = F.floor(value / _PART)
+    return high, value - high * _PART
+
+
+def joined_parts(high: Column, low: Column) -> Column:
+    """The exact sum from the sums of its parts."""
+    return high.cast("decimal(28,0)") * _PART + low
+
+
 def decile_band(value: Column, points: Column, first: int = 0) -> Column:
     """Band of ``value`` among ten percentile points. Bands share their edges and the lowest matching one wins.
 

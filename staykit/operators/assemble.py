@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 KEY = "account_guid"
 
@@ -12,8 +12,9 @@ KEY = "account_guid"
 def union_features(tables: list[DataFrame], legacy: bool = False) -> DataFrame:
     """All features of every account that is in any of the tables, one row per account.
 
-    The tables have the key and no other column in common, and each has one row per account. They are laid over each other
-    and folded by the key, which is a full outer join on the coalesced key with one shuffle instead of one per table.
+    The tables have the key and no other column in common; two rows of one table for an account are an error. They are laid
+    over each other and folded by the key, which is a full outer join on the coalesced key with one shuffle instead of one
+    per table. Only numbers and dates are folded, which hashing can do; texts join the folded rows where they lie.
     ``legacy`` joins each table on the key of the one before it and reports the first table's key only, so an account
     missing from one table falls apart.
     """
@@ -21,8 +22,20 @@ def union_features(tables: list[DataFrame], legacy: bool = False) -> DataFrame:
         return _chain(tables, "full")
     known = [t.where(F.col(KEY).isNotNull()) for t in tables]
     names = [c for t in known for c in t.columns if c != KEY]
-    laid = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known)
-    return laid.groupBy(KEY).agg(*[F.max(c).alias(c) for c in names])
+    texts = {i: [f.name for f in t.schema.fields if f.name != KEY and isinstance(f.dataType, T.StringType)] for i, t in enumerate(known)}
+    flat = [t.drop(*texts[i]).withColumn(f"_rows{i}", F.lit(1)) for i, t in enumerate(known)]
+    laid = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), flat)
+    folded = laid.groupBy(KEY).agg(
+        *[F.max(c).alias(c) for c in laid.columns if c != KEY and not c.startswith("_rows")],
+        *[F.sum(f"_rows{i}").alias(f"_rows{i}") for i in range(len(known))],
+    )
+    most = F.greatest(F.lit(0), *[F.coalesce(f"_rows{i}", F.lit(0)) for i in range(len(known))])
+    repeated = F.raise_error(F.concat(F.lit("more than one row of a table for account "), F.col(KEY))).cast("string")
+    folded = folded.withColumn(KEY, F.when(most > 1, repeated).otherwise(F.col(KEY)))
+    for i, table in enumerate(known):
+        if texts[i]:
+            folded = folded.join(table.select(KEY, *texts[i]), KEY, "left")
+    return folded.select(KEY, *names)
 
 
 def attach(spine: DataFrame, tables: list[DataFrame], legacy: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staykit.functions.numbers import BAND_POINTS, count_where, decile_band, ratio
 from staykit.functions.timeparts import as_date
@@ -15,13 +15,15 @@ ACCOUNT_KEYS = ["billing_id", "operator", "system", "account_number"]
 CHANGED = "change_event_date"
 
 
-def _latest() -> Column:
-    """The newest event of a group; on one date the larger flag, in the order of FLAGS, decides (NULL is smallest)."""
-    return F.max(F.struct(CHANGED, *FLAGS)).alias("_latest")
+def _newest(changes: DataFrame) -> DataFrame:
+    """The newest event of each account; on one date the larger flag, in the order of FLAGS, decides (NULL is smallest).
 
-
-def _latest_columns() -> list[Column]:
-    return [F.col(f"_latest.{flag}").alias(f"most_recent_{flag}_change") for flag in FLAGS]
+    The rank is limited to the first row before the shuffle, so a task passes on one narrow row per account."""
+    order = Window.partitionBy("account_guid").orderBy(*[F.desc_nulls_last(c) for c in (CHANGED, *FLAGS)])
+    ranked = changes.select("account_guid", CHANGED, *FLAGS).withColumn("_rank", F.row_number().over(order))
+    return ranked.where("_rank = 1").select(
+        "account_guid", F.col(CHANGED).alias("most_recent_change_date"), *[F.col(f).alias(f"most_recent_{f}_change") for f in FLAGS]
+    )
 
 
 def _counts() -> list[Column]:
@@ -44,9 +46,7 @@ def _change_ratio() -> Column:
 
 def change_latest(changes: DataFrame) -> DataFrame:
     """The newest value of each flag per account, from one scan instead of a self-join on the newest date."""
-    return changes.groupBy("account_guid").agg(_latest()).select(
-        "account_guid", F.col(f"_latest.{CHANGED}").alias("most_recent_change_date"), *_latest_columns()
-    )
+    return _newest(changes)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
@@ -87,10 +87,8 @@ def change_profile(changes: DataFrame, as_of, legacy: bool = False) -> DataFrame
         profile = newest.join(totals, [*ACCOUNT_KEYS, CHANGED]).drop(*ACCOUNT_KEYS, CHANGED)
         points = change_deciles(changes, as_of, ACCOUNT_KEYS)
     else:
-        per_account = changes.groupBy("account_guid").agg(
-            _latest(), *_counts(), (_change_ratio() * 100).alias("total_count_int")
-        )
-        profile = per_account.select("*", *_latest_columns()).drop("_latest")
+        totals = changes.groupBy("account_guid").agg(*_counts(), (_change_ratio() * 100).alias("total_count_int"))
+        profile = totals.join(_newest(changes), "account_guid")
         points = change_deciles(changes, as_of)
     band = decile_band(F.col("total_count_int"), points.select("points").scalar(), first=1 if legacy else 0)
     profile = profile.select(

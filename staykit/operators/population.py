@@ -7,13 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from staykit.functions.keys import OPERATORS, AccountCipher, Operator, account_guid, billing_id
 from staykit.functions.text import mentions
 from staykit.functions.timeparts import as_date, within
-from staykit.operators.spread import ROWS_PER_PART, spread_join
 
 ACCOUNT_COLUMNS = ["account_guid", "operator", "account_number", "billing_id", "system"]
 LABEL_COLUMNS = [
     "min_agg_date", "max_agg_date", "churn", "tv_stream_tenure", "customer_tenure", "connect_date", "convert_date",
 ]
-SESSION_SPREAD = ("stream_id", "activity_date", "start_timestamp")
 
 
 def label_windows(labels: DataFrame, as_of, days: int = 90) -> DataFrame:
@@ -27,9 +25,11 @@ def with_account_guid(df: DataFrame, division: str = "division", operators=OPERA
     return df.withColumn("account_guid", account_guid(F.col("operator"), F.col(division), F.col("billing_id"), operators))
 
 
-def eligible_streaming(test_token: str) -> Column:
-    """Streaming customers by flag, without the accounts whose holder's name marks them as test accounts."""
-    return ~mentions(F.col("customer_name"), test_token) & (F.col("stream_flag") | F.col("choice_flag"))
+def eligible_streaming(test_token: str, cipher: AccountCipher | None = None) -> Column:
+    """Streaming customers by flag, without the accounts whose holder's name marks them as test accounts. Encrypted names
+    are read with ``cipher``, which has a key of its own."""
+    name = cipher.decrypt(F.col("customer_name")) if cipher else F.col("customer_name")
+    return ~mentions(name, test_token) & (F.col("stream_flag") | F.col("choice_flag"))
 
 
 def eligible_by_package(packages, excluded_types=("employee", "test"), pairs=None) -> Column:
@@ -72,11 +72,7 @@ def active_accounts(histories, cipher: AccountCipher | None = None, as_of=None,
     return found
 
 
-def _spread(sessions: DataFrame) -> list[Column]:
-    return [F.col(c) for c in SESSION_SPREAD if c in sessions.columns]
-
-
-def sessions_in_label_window(labels: DataFrame, sessions: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def sessions_in_label_window(labels: DataFrame, sessions: DataFrame) -> DataFrame:
     """Sessions on or after the start of their account's window, with the window, label and tenure columns.
 
     This is what every training feature reads: the account's own features also need ``activity_date <= max_agg_date``,
@@ -85,35 +81,35 @@ def sessions_in_label_window(labels: DataFrame, sessions: DataFrame, rows_per_pa
     bounds = labels.agg(F.min("min_agg_date").alias("first")).scalar()
     carried = ["account_guid"] + [c for c in LABEL_COLUMNS if c in labels.columns]
     recent = sessions.where(F.col("activity_date") >= bounds)
-    joined = spread_join(recent, labels.select(*carried), ["account_guid"], "inner", _spread(sessions), rows_per_part=rows_per_part)
+    joined = recent.join(labels.select(*carried), "account_guid")
     return joined.where(F.col("activity_date") >= F.col("min_agg_date"))
 
 
-def labelled_sessions(labels: DataFrame, sessions: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def labelled_sessions(labels: DataFrame, sessions: DataFrame) -> DataFrame:
     """Labels left join sessions: all sessions of labelled accounts, and one empty row per label without any."""
     carried = ["account_guid"] + [c for c in LABEL_COLUMNS if c in labels.columns]
     labels = labels.select(*carried)
-    matched = spread_join(sessions, labels, ["account_guid"], "inner", _spread(sessions), rows_per_part=rows_per_part)
+    matched = sessions.join(labels, "account_guid")
     seen = sessions.select("account_guid").distinct()
     unmatched = labels.join(seen, "account_guid", "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 
 def exclude_accounts(
-    sessions: DataFrame, active: DataFrame, training: DataFrame, legacy: bool = False, rows_per_part: int = ROWS_PER_PART
+    sessions: DataFrame, active: DataFrame, training: DataFrame, legacy: bool = False
 ) -> DataFrame:
     """Sessions of active accounts that are not training accounts. ``legacy`` keeps every session, as the literal
     outer-join formulation does."""
     if legacy:
         return sessions
     keep = active.select("account_guid").join(training.select("account_guid"), "account_guid", "left_anti")
-    return sessions_of(sessions, keep, rows_per_part)
+    return sessions_of(sessions, keep)
 
 
-def sessions_of(sessions: DataFrame, accounts: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+def sessions_of(sessions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Sessions whose account is in ``accounts``."""
     keys = accounts.select("account_guid").distinct()
-    return spread_join(sessions, keys, ["account_guid"], "left_semi", _spread(sessions), rows_per_part=rows_per_part)
+    return sessions.join(keys, "account_guid", "left_semi")
 
 
 def sessions_between(sessions: DataFrame, first, last) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staykit.functions.keys import AccountCipher, Operator, billing_id
 from staykit.functions.numbers import count_where
@@ -31,8 +31,8 @@ def promo_profile(
     detail rows, and dwelling and promotion flag of its newest eligible row.
 
     Eligible rows are taken from ``since`` on, or from the ``as_of`` snapshot; detail rows are those whose promotion is
-    known and not ``exclude_promo`` (spelled as in the data). An account without detail rows has no profile. One scan: the
-    newest row is a maximum over (date, number, dwelling, promotion), so every account has one. ``legacy`` groups by
+    known and not ``exclude_promo`` (spelled as in the data). An account without detail rows has no profile. The newest row
+    is the first by (date, number, dwelling, promotion), so every account has one; tasks pass on one candidate each. ``legacy`` groups by
     account number, takes all rows of the newest date, eligible or not, and repeats the totals for each distinct state.
     """
     rows = history.where(eligible)
@@ -73,8 +73,13 @@ def promo_profile(
         totals = prepared.groupBy("account_guid", "account_number", "operator").agg(*measures).join(states, "account_number")
         number = F.col("account_number")
     else:
-        newest = F.struct("snapshot_date", "account_number", "dwelling", "_flag")
-        totals = prepared.groupBy("account_guid", "operator").agg(*measures, F.max(newest).alias("_newest"))
+        order = Window.partitionBy("account_guid", "operator").orderBy(
+            *[F.desc_nulls_last(c) for c in ("snapshot_date", "account_number", "dwelling", "_flag")]
+        )
+        newest = prepared.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(
+            "account_guid", "operator", F.struct("snapshot_date", "account_number", "dwelling", "_flag").alias("_newest")
+        )
+        totals = prepared.groupBy("account_guid", "operator").agg(*measures).join(newest, ["account_guid", "operator"])
         number = F.col("_newest.account_number")
     return totals.where("_details > 0").select(
         "account_guid", number.alias("account_number"), "operator",

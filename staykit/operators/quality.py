@@ -6,9 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staykit.functions.numbers import count_where, fixed_point, or_zero, ratio, wide
+from staykit.functions.numbers import count_where, fixed_point, joined_parts, or_zero, ratio, whole_parts, wide
 from staykit.functions.timeparts import DAY_PARTS, DAY_PARTS_LEGACY, day_part, moment, week_part
-from staykit.operators.spread import ROWS_PER_PART, hot_keys, spread_join
 
 SCORE, WATCHED, DAY = "mos_score", "watch_time_ms", "activity_date"
 SCORE_STEPS = 1_000_000
@@ -68,6 +67,8 @@ BY_STREAM = Grain("stream", ("stream_id", DAY), "stream_id", inclusive=False)
 BY_CHANNEL = Grain("channel", ("channel_number", DAY), "channel_number")
 BY_WEEK_PART = Grain("week_part", ("week_part", "day_part"), "week_part", distinct_days=False, small=True)
 BY_DAY_PART = Grain("day_part", (DAY, "day_part"), "days", distinct_days=False)
+# Grains made of these share one aggregation of the sessions, whose shuffle is written once and read by each of them.
+PARTS = (DAY, "week_part", "day_part")
 GRAINS = (BY_STREAM, BY_CHANNEL, BY_WEEK_PART, BY_DAY_PART)
 
 
@@ -80,13 +81,22 @@ def with_day_and_week_part(
     return sessions.withColumns({"day_part": day_part(F.hour(when), bands), "week_part": week_part(when)})
 
 
+def _sums(score: Column) -> list[Column]:
+    """Counts and exact sums of score steps and of score steps x watch time."""
+    watched = score * F.col(WATCHED)
+    high, low = whole_parts(watched)
+    return [
+        F.count(score).alias("_n"), F.sum(score).alias("_sum"), F.count(watched).alias("_wn"),
+        F.sum(high).alias("_whigh"), F.sum(low).alias("_wlow"),
+    ]
+
+
 def peer_compare(
     sessions: DataFrame,
     grain: Grain,
     own: Column | None = None,
     legacy: bool = False,
     score_steps: int = SCORE_STEPS,
-    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """Nine features per account from its mean score in each group of ``grain`` against all sessions of that group.
 
@@ -96,38 +106,32 @@ def peer_compare(
     instead of its square, and tail points one place too far right, where the upper one does not exist.
 
     Both sides are reduced where the sessions lie: to account x group, and to group x whole score, whose counts feed the
-    percentiles. Only the first is large when shuffled, and it is dealt over copies of the peers where a group is hot.
+    percentiles. Only the first is large when shuffled; where a group is hot, adaptive execution splits it, as nothing after
+    the join needs its partitioning.
     """
     keys = list(grain.keys)
+    fine = list(PARTS) if set(keys) <= set(PARTS) else keys
     score = fixed_point(F.col(SCORE), score_steps)
-    watched = wide(score * F.col(WATCHED))
     mine = sessions if own is None else sessions.where(own)
-    accounts = mine.groupBy("account_guid", *keys).agg(
-        (F.lit(1) if DAY in keys else F.count_distinct(DAY)).alias("_days"),
-        F.sum(score).alias("_own_sum"),
-        ratio(F.sum(score), F.count(score)).alias("_own_mean"),
-        ratio(F.sum(watched), F.count(watched)).alias("_own_wmean"),
+    accounts = mine.groupBy("account_guid", *fine).agg(*_sums(score)).groupBy("account_guid", *keys).agg(
+        # The finer groups of one account and part differ by day.
+        (F.lit(1) if DAY in keys else F.count(DAY)).alias("_days"),
+        F.sum("_sum").alias("_own_sum"),
+        ratio(F.sum("_sum"), F.sum("_n")).alias("_own_mean"),
+        ratio(joined_parts(F.sum("_whigh"), F.sum("_wlow")), F.sum("_wn")).alias("_own_wmean"),
     )
-    peers = (
-        sessions.groupBy(*keys, F.round(SCORE).cast("int").alias("_whole"))
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count(score).alias("_n"), F.sum(score).alias("_sum"),
-            F.count(watched).alias("_wn"), F.sum(watched).alias("_wsum"),
-        )
-        .groupBy(*keys)
-        .agg(
-            F.sum("_sum").alias("_peer_sum"),
-            ratio(F.sum("_sum"), F.sum("_n")).alias("_peer_mean"),
-            ratio(F.sum("_wsum"), F.sum("_wn")).alias("_peer_wmean"),
-            F.percentile("_whole", F.array(F.lit(0.1), F.lit(0.9)), F.col("_rows")).alias("_points"),
-        )
+    peers = sessions.groupBy(*fine, F.round(SCORE).cast("int").alias("_whole")).agg(
+        F.count(F.lit(1)).alias("_rows"), *_sums(score)
+    ).groupBy(*keys).agg(
+        F.sum("_sum").alias("_peer_sum"),
+        ratio(F.sum("_sum"), F.sum("_n")).alias("_peer_mean"),
+        ratio(joined_parts(F.sum("_whigh"), F.sum("_wlow")), F.sum("_wn")).alias("_peer_wmean"),
+        F.percentile("_whole", F.array(F.lit(0.1), F.lit(0.9)), F.col("_rows")).alias("_points"),
     )
     if grain.small:
         both = accounts.join(F.broadcast(peers), keys, "left")
     else:
-        hot = hot_keys(mine, keys, rows_per_part)
-        both = spread_join(accounts, peers, keys, "left", [F.col("account_guid")], hot=hot)
+        both = accounts.join(peers, keys, "left")
 
     day_count = F.count_distinct(DAY) if grain.distinct_days else F.sum("_days")
     weighted_by = F.count_distinct(DAY) if grain.weighted_by == "days" else F.count(grain.weighted_by)

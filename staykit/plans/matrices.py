@@ -18,6 +18,7 @@ from staykit.operators.promo import promo_profile, promo_profile_union
 from staykit.operators.quality import GRAINS, account_quality, peer_compare, with_day_and_week_part
 from staykit.operators.search import search_features
 from staykit.operators.viewing import channel_variability, never_logged_in, top_channel, viewing_profile
+from staykit.functions.timeparts import as_date
 from staykit.sources.tables import Workspace, together
 
 # The literal training job divides active days by this, whatever its window.
@@ -109,10 +110,21 @@ def _tables(from_sessions, others: dict[str, DataFrame], layers: Workspace | Non
     return {**first, **second}
 
 
+def _search(inputs: Inputs, first, last) -> dict[str, DataFrame]:
+    """Search features of the page events of a period, if there are any."""
+    if inputs.pages is None:
+        return {}
+    pages = with_account_guid(inputs.pages, "division", [h.operator for h in inputs.histories])
+    return {"search": search_features(pages, first, last)}
+
+
 def training_matrix(
-    inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layers: Workspace | None = None, legacy: bool = False
+    inputs: Inputs, as_of, first_change, days: int = 90, promo_since=None, layers: Workspace | None = None,
+    legacy: bool = False, week_number: str | None = None,
 ) -> DataFrame:
-    """One row per labelled account.
+    """One row per labelled account; the columns of the scoring matrix, and ``churn`` in the place of the spine's.
+
+    Search features cover the ``days`` before ``as_of``. ``week_number`` adds a constant column of that name.
 
     With ``layers`` the sessions in their label windows, which every session feature reads, and each per-account table
     are written to that workspace, which the caller clears when the matrix has been read; without it everything stays one
@@ -140,13 +152,14 @@ def training_matrix(
         "promo": inputs.promo(since=promo_since, legacy=legacy),
         "identity": identity if legacy else one_per_account(identity),
     }
+    others |= _search(inputs, F.date_sub(as_date(as_of), days), as_of)
     tables = _tables(from_sessions, others, layers)
-    return feature_matrix(labels.select("account_guid", "churn"), **tables, legacy=legacy)
+    return feature_matrix(labels.select("account_guid", "churn"), **tables, week_number=week_number, legacy=legacy)
 
 
 def scoring_matrix(
     inputs: Inputs, first, as_of, period_days: int, training: DataFrame | None = None, layers: Workspace | None = None,
-    legacy: bool = False,
+    legacy: bool = False, week_number: str | None = None,
 ) -> DataFrame:
     """One row per account active on ``as_of``, from sessions between ``first`` and ``as_of``.
 
@@ -174,8 +187,6 @@ def scoring_matrix(
         "changes": change_profile(changes, as_of, legacy),
         "promo": inputs.promo(as_of=as_of, legacy=legacy),
     }
-    if inputs.pages is not None:
-        pages = with_account_guid(inputs.pages, "division", [h.operator for h in inputs.histories])
-        others["search"] = search_features(pages, first, as_of)
+    others |= _search(inputs, first, as_of)
     tables = _tables(from_sessions, others, layers)
-    return feature_matrix(**tables, legacy=legacy)
+    return feature_matrix(**tables, week_number=week_number, legacy=legacy)
