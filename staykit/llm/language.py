@@ -165,20 +165,25 @@ class _Scorer:
         return self.scores[places].sum(axis=0) if places else np.zeros(self.scores.shape[1])
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``lang_pred`` and ``score`` (0 to 1); columns of these names give way.
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (0 to 1), without its text unless ``keep_text``; equal names give way.
 
     Only the text is looked at. A NULL text and a text without letters are ``und`` with score 0; repeated rows are scored
     each; ties go to the first language in alphabetical order. Documents are mapped, not shuffled.
     """
     others = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
+    shape += f"`{text}` string, " if keep_text else ""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches):
         scorer = _Scorer(shared.value)
         for batch in batches:
-            names, scores = scorer([t or "" for t in batch.column(len(others)).to_pylist()])
-            yield {**{c: batch.column(i) for i, c in enumerate(others)}, "lang_pred": names, "score": scores}
+            texts = batch.column(len(others))
+            names, scores = scorer([t or "" for t in texts.to_pylist()])
+            yield {
+                **{c: batch.column(i) for i, c in enumerate(others)}, **({text: texts} if keep_text else {}),
+                "lang_pred": names, "score": scores,
+            }
 
     return map_arrow(docs.select(*others, text), step, f"{shape}lang_pred string, score double")

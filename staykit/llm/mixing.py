@@ -135,14 +135,15 @@ def mix(
         targets = {m: flattened_targets(cells, m, temperature) for m in MARGINS}
     mixture = rake(cells, targets, work)
     rates = work.store(calibrate(mixture, kept), "rates").select(
-        *[F.col(m).alias(f"_{m}") for m in MARGINS], "rate", (F.col("weight") / F.greatest("tokens", F.lit(1))).alias("weight")
+        *[F.col(m).alias(f"_{m}") for m in MARGINS], F.col("rate").alias("_rate"),
+        (F.col("weight") / F.greatest("tokens", F.lit(1))).alias("_weight"),
     )
     joined = rows.join(rates, ["_source", "_lang", "_topic"])
-    rate = F.when(F.col("_tokens") > 0, F.col("rate")).otherwise(0.0)
+    rate = F.when(F.col("_tokens") > 0, F.col("_rate")).otherwise(0.0)
     whole = F.floor(rate)
     copies = whole + (draw(F.col(key), seed) < rate - whole).cast("long")
     mixed = joined.select(
-        *own, F.col("_tokens").alias("n_tokens"), F.col("_topic").alias("topic"), "weight", rate.alias("rate"),
+        *own, F.col("_tokens").alias("n_tokens"), F.col("_topic").alias("topic"), F.col("_weight").alias("weight"), rate.alias("rate"),
         copies.alias("copies"),
     )
     return mixed, mixture

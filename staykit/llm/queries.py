@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staykit.llm import chat, decontaminate, embeddings, jaccard, language, mixing, tokens, toxicity, urls
+from staykit.llm import chat, decontaminate, embeddings, jaccard, language, mixing, quality, tokens, toxicity, urls
 from staykit.sources.tables import Workspace
 
 QUERIES = {}
@@ -130,3 +130,21 @@ def op2_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     mixed, _ = mixing.mix(docs, Workspace(spark), kept=0.5)
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "rate", "copies")
+
+
+@query
+def op6_quality(spark, sf_dir):
+    """Co-trained content and metadata views, learned from the documents whose crc32 modulo 5 is not 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    held_out = id_remainder(5) == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = quality.score_quality(docs, quality.fit_quality(docs, labels, Workspace(spark)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

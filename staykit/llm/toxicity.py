@@ -222,28 +222,28 @@ class _Scorer:
         return float(-np.expm1(calm))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); columns of these names give way.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), without its text unless ``keep_text``; equal
+    names give way.
 
     Whole texts are scored; a NULL or empty text has the leak's score. Repeated rows are scored each. Nothing is shuffled.
     """
-    others = [c for c in docs.columns if c not in ("score", "predicted")]
-    kept = [c for c in others if c != text]
+    others = [c for c in docs.columns if c not in (text, "score", "predicted")]
+    shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
+    shape += f"`{text}` string, " if keep_text else ""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
 
     def step(batches):
         scorer = _Scorer(shared.value)
         for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
-            scores = np.array([scorer.score(t or "") for t in texts])
+            texts = batch.column(len(others))
+            scores = np.array([scorer.score(t or "") for t in texts.to_pylist()])
             yield {
-                **{c: batch.column(i) for i, c in enumerate(kept)}, text: batch.column(len(kept)), "score": scores,
-                "predicted": (scores >= 0.5).astype(np.int32),
+                **{c: batch.column(i) for i, c in enumerate(others)}, **({text: texts} if keep_text else {}),
+                "score": scores, "predicted": (scores >= 0.5).astype(np.int32),
             }
 
-    scored = map_arrow(docs.select(*kept, text), step, f"{shape}`{text}` string, score double, predicted int")
-    return scored.select(*others, "score", "predicted")
+    return map_arrow(docs.select(*others, text), step, f"{shape}score double, predicted int")
 
 
 def locate_offences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text: str = "text", key: str = "doc_id") -> DataFrame:
