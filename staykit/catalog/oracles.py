@@ -103,6 +103,8 @@ def _with(sql: str, *needs: str) -> str:
 
     for name in needs:
         visit(name)
+    if not order:
+        return sql
     return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][0]})" for n in order) + "\n" + sql
 
 
@@ -487,6 +489,7 @@ def build() -> dict[str, str]:
  WHEN 'OP_A' THEN substr(account_number, 4) WHEN 'OP_C' THEN CASE WHEN length(account_number) < 9 THEN lpad(account_number, 9, '0')
  ELSE account_number END ELSE account_number END AS billing_id FROM history""", "history")
     put("active_accounts", "SELECT * FROM active", "active")
+    put("active_accounts_encrypted", "SELECT operator, account_number, billing_id, system FROM active", "active")
     put("active_accounts_labelled", """SELECT * FROM active_ever WHERE account_guid IN (SELECT account_guid FROM labels)""",
         "active_ever", "labels")
     put("labelled_sessions", """SELECT l.account_guid, l.min_agg_date, l.max_agg_date, l.churn, l.tv_stream_tenure, l.customer_tenure,
@@ -598,4 +601,24 @@ def build() -> dict[str, str]:
         for i, a in enumerate(_MODEL) for b in _MODEL[i + 1:]
     )
     put("correlations", pairs, "numeric", doubles=["correlation"])
+    # Models: what SQL can tell of them.
+    place0 = place.replace("'7:'", "'0:'")
+    put("boruta_selection", "SELECT unnest(['internet_package_changes', 'total_price_adds']) AS feature, true AS accepted")
+    for name, points in (("forest_grid", 8), ("boosted_grid", 4)):
+        put(name, f"SELECT CAST(i AS INTEGER) AS place, true AS in_order, {points} AS points FROM range({points}) t(i)")
+    features = ("internet_package_changes", "video_package_changes", "other_package_adds", "total_price_adds", "total_price_drop",
+                "change_ratio", "noise")
+    put("forest_importance", f"SELECT unnest([{', '.join(repr(f) for f in features)}]) AS feature, true AS sensible, CAST(1.0 AS DOUBLE) AS total",
+        doubles=["total"])
+    put("boosted_fit", f"""SELECT CAST(signal AS DOUBLE) AS label, count(*) AS rows FROM (SELECT account_guid,
+ CASE WHEN sum(CASE WHEN total_price = 1 THEN 1 ELSE 0 END) + count(internet_package) > 10 THEN 1 ELSE 0 END AS signal FROM changes
+ GROUP BY account_guid) WHERE {place0} >= 0.8 AND {place0} < 0.9 GROUP BY signal""", "changes", doubles=["label"])
+    put("model_chain", f"""SELECT CAST(churn AS DOUBLE) AS label, count(*) AS rows FROM labels WHERE {place} >= 0.9 GROUP BY churn""", "labels",
+        doubles=["label"])
+    put("rebuilt_table", "SELECT * FROM labels", "labels", dates=label_dates)
+    put("parameter_query", f"SELECT operator, count(*) AS sessions FROM sessions_in WHERE activity_date = DATE '{v.AS_OF}' GROUP BY operator",
+        "sessions_in")
+    put("delimited_file", """SELECT account_guid AS account, CAST(churn AS VARCHAR) AS left_us, CAST(tv_stream_tenure AS VARCHAR) AS tenure
+ FROM labels_in""", "labels_in")
+    put("names_file", " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS accounts FROM model_input" for c in _MODEL), "model_input")
     return sql

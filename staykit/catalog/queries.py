@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,7 +20,9 @@ from staykit.operators.search import search_features as search_job
 from staykit.plans.matrices import (
     History, Inputs, quality_features as quality_plan, scoring_matrix, training_matrix, viewing_features as viewing_plan,
 )
-from staykit.sources.tables import Workspace, read_tsv, write_tsv
+from staykit.sources.tables import (
+    Workspace, read_delimited, read_names, read_tsv, rebuild_table, run_sql, write_names, write_tsv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +101,13 @@ class Source:
         )
 
 
+def cipher_from(spark, purpose: str) -> AccountCipher:
+    """A cipher whose key is in the session's setting ``spark.staykit.cipher.<purpose>``. It enters as a scalar subquery,
+    so no plan shows it. Sessions without the setting, as in checks, use a key made from its name."""
+    key = spark.conf.get(f"spark.staykit.cipher.{purpose}", None) or hashlib.sha256(purpose.encode()).hexdigest()[:16]
+    return AccountCipher(spark.createDataFrame([(key,)], "key string").scalar())
+
+
 # Windows, keys and population
 
 
@@ -116,7 +126,7 @@ def session_account_key(spark, sf_dir):
 @query
 def account_cipher(spark, sf_dir):
     """Encrypted numbers, their decryption, and the billing id derived under the cipher."""
-    cipher = AccountCipher(F.lit("0123456789abcdef"))
+    cipher = cipher_from(spark, "account")
     numbers = Source(spark, sf_dir).table("history").select("account_number", "operator").distinct()
     secret = cipher.encrypt(F.col("account_number"))
     by_operator = F
@@ -139,6 +149,23 @@ def active_accounts_labelled(spark, sf_dir):
     return source.inputs().active(labels=source.labels)
 
 
+@query
+def active_accounts_encrypted(spark, sf_dir):
+    """The same accounts from encrypted numbers and holders' names, each under its own key, shown decrypted."""
+    source = Source(spark, sf_dir)
+    numbers, names = cipher_from(spark, "account"), cipher_from(spark, "name")
+    history = source.table("history").withColumns({
+        "account_number": numbers.encrypt(F.col("account_number")), "customer_name": names.encrypt(F.col("customer_name")),
+    })
+    streaming = pop.eligible_streaming(TEST_TOKEN, names)
+    eligible = {"OP_A": streaming, "OP_B": pop.eligible_by_package(PACKAGES), "OP_C": streaming}
+    histories = [(o, history.where(F.col("operator") == o.name), eligible[o.name]) for o in OPERATORS]
+    active = pop.active_accounts(histories, numbers, as_of=v.AS_OF)
+    return active.select(
+        "operator", *[numbers.decrypt(F.col(c)).alias(c) for c in ("account_number", "billing_id")], "system"
+    )
+
+
 @query
 def labelled_sessions(spark, sf_dir):
     source = Source(spark, sf_dir)
@@ -590,31 +617,113 @@ def _model_frames(spark, sf_dir):
     return [rows.where(F.col("split") == part).drop("split") for part in ("train", "valid")]
 
 
+SIGNALS = ("internet_package_changes", "total_price_adds")
+
+
 @query
 def boruta_selection(spark, sf_dir):
-    chosen = boruta_select(_planted(spark, sf_dir), PLANTED_FEATURES, max_rounds=8, trees=20)
-    rows = [(f, chosen.hits[f], f in chosen.accepted) for f in PLANTED_FEATURES]
-    return spark.createDataFrame(rows, "feature string, hits long, accepted boolean")
+    """Whether each feature that the label was made from is accepted."""
+    chosen = boruta_select(_planted(spark, sf_dir), PLANTED_FEATURES, max_rounds=20, trees=20)
+    return spark.createDataFrame([(f, f in chosen.accepted) for f in SIGNALS], "feature string, accepted boolean")
+
+
+def _ranked(spark, found, points):
+    """Place of each model and whether the places follow the accuracy; the number of grid points."""
+    order = [e["accuracy"] for e in found]
+    rows = [(i, i == 0 or order[i - 1] >= x, points) for i, x in enumerate(order)]
+    return spark.createDataFrame(rows, "place int, in_order boolean, points int")
 
 
 @query
 def forest_grid(spark, sf_dir):
+    """A whole grid of forests, ranked."""
     train, valid = _model_frames(spark, sf_dir)
     grid = {"numTrees": [5, 10], "maxDepth": [3, 5], "featureSubsetStrategy": ["2", "4"]}
-    found = forests.search_forest(train, valid, grid, max_models=3)
-    rows = [(i, str(e["params"]), e["auc"], e["accuracy"]) for i, e in enumerate(found)]
-    return spark.createDataFrame(rows, "place int, params string, auc double, accuracy double")
+    with Workspace(spark) as work:
+        found = forests.search_forest(train, valid, work.new_path("models"), grid, stopping_rounds=9)
+    return _ranked(spark, found, len(forests.grid_points(grid)))
+
+
+@query
+def boosted_grid(spark, sf_dir):
+    """A whole grid of boosted models, ranked."""
+    train, valid = _model_frames(spark, sf_dir)
+    grid = {"maxIter": [2, 4], "maxDepth": [2, 3]}
+    with Workspace(spark) as work:
+        found = forests.search_boosted(train, valid, work.new_path("models"), grid, stopping_rounds=9)
+    return _ranked(spark, found, len(forests.grid_points(grid)))
 
 
 @query
 def forest_importance(spark, sf_dir):
+    """Every feature once, with importances that sum to one; which of them a useful model keeps."""
     train, _ = _model_frames(spark, sf_dir)
-    model = forests.fit_forest(train, trees=20)
-    return spark.createDataFrame(forests.importances(model, PLANTED_FEATURES), "feature string, importance double")
+    found = forests.importances(forests.fit_forest(train), PLANTED_FEATURES)
+    total = sum(value for _, value in found)
+    return spark.createDataFrame([(f, value >= 0, total) for f, value in found], "feature string, sensible boolean, total double")
 
 
 @query
 def boosted_fit(spark, sf_dir):
+    """Rows per actual class, over the predictions of one boosted model."""
     train, valid = _model_frames(spark, sf_dir)
-    model = forests.fit_boosted(train, rounds=5, depth=3)
-    return forests.confusion_matrix(model.transform(valid))
+    matrix = forests.confusion_matrix(forests.fit_boosted(train, rounds=20, depth=5).transform(valid))
+    return matrix.groupBy("label").agg(F.sum("rows").alias("rows"))
+
+
+@query
+def model_chain(spark, sf_dir):
+    """Matrix, coercion, selection, split, forest saved and loaded, confusion matrix: test rows per actual class."""
+    work = Workspace(spark)
+    matrix = training_matrix(
+        Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE, layers=work
+    )
+    numeric = work.store(frame.coerce_numeric(matrix, ["account_guid"]), "numeric")
+    features = frame.feature_names(numeric, ["account_guid", "churn"])
+    chosen = boruta_select(numeric, features, max_rounds=6, trees=30)
+    names_path, model_path = work.new_path("names"), work.new_path("model")
+    write_names(spark, chosen.accepted + chosen.tentative or features, names_path)
+    rows = frame.model_frame(frame.hash_split(numeric, "account_guid", seed=7), read_names(spark, names_path), keep=["split"])
+    forests.save_model(forests.fit_forest(rows.where("split = 'train'"), trees=20), model_path)
+    scored = forests.load_forest(model_path).transform(rows.where("split = 'test'"))
+    return forests.confusion_matrix(scored).groupBy("label").agg(F.sum("rows").alias("rows"))
+
+
+# Sources
+
+
+@query
+def rebuilt_table(spark, sf_dir):
+    """The labels written over an older table and read back."""
+    path = Workspace(spark).new_path("labels")
+    labels = Source(spark, sf_dir).labels
+    rebuild_table(labels.select("account_guid"), path)
+    rebuild_table(labels, path)
+    return spark.read.parquet(path)
+
+
+@query
+def parameter_query(spark, sf_dir):
+    """A query text with a parameter for the day."""
+    sessions = Source(spark, sf_dir).table("sessions")
+    text = "SELECT operator, count(*) AS sessions FROM {sessions} WHERE activity_date = CAST(:day AS DATE) GROUP BY operator"
+    return run_sql(spark, text, {"day": v.AS_OF}, sessions=sessions)
+
+
+@query
+def delimited_file(spark, sf_dir):
+    """Labels as text with bars between the columns, read back under new names."""
+    path = Workspace(spark).new_path("delimited")
+    labels = Source(spark, sf_dir).table("labels").select("account_guid", "churn", "tv_stream_tenure")
+    labels.write.option("sep", "|").option("header", True).csv(path)
+    return read_delimited(spark, path, ["account", "left_us", "tenure"])
+
+
+@query
+def names_file(spark, sf_dir):
+    """The matrix' numeric model columns through a file of names, and how many accounts each has a value for."""
+    path = Workspace(spark).new_path("names")
+    write_names(spark, MODEL_COLUMNS, path)
+    names, rows = read_names(spark, path), _model_input(spark, sf_dir)
+    counts = rows.agg(*[F.count(c).alias(c) for c in names])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("accounts")) for c in names])))

@@ -16,6 +16,8 @@ from staykit.models.frame import bucket
 from staykit.sources.tables import Workspace
 
 MIN_SHADOWS = 5
+# Rows over which shadow values are mixed; the number of partitions follows from it.
+BLOCK_ROWS = 10_000
 
 
 @dataclass
@@ -59,17 +61,31 @@ def with_shadows(frame: DataFrame, width: int, columns: list[int], shadows: list
 
     def permute(batches):
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            values = batch.column("values").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+        for number, (labels, values) in enumerate(_blocks(batches, width)):
             mixed = np.random.default_rng([seed, part, number]).permuted(values[:, shadows], axis=0)
             both = np.hstack([values[:, columns], mixed])
-            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * both.shape[1])
+            ends = pa.array(np.arange(len(labels) + 1, dtype=np.int32) * both.shape[1])
             lists = pa.ListArray.from_arrays(ends, pa.array(both.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), lists], names=["label", "values"])
+            yield pa.RecordBatch.from_arrays([pa.array(labels), lists], names=["label", "values"])
 
     return frame.mapInArrow(permute, "label double, values array<double>")
 
 
+def _blocks(batches, width: int, size: int = BLOCK_ROWS):
+    """The rows in blocks of ``size``, the last one of up to twice as many: whatever size Arrow batches have, shadows are
+    mixed over the same rows, and never over a few left-over ones."""
+    labels, values = np.zeros(0), np.zeros((0, width))
+    for batch in batches:
+        labels = np.concatenate([labels, batch.column("label").to_numpy(zero_copy_only=False)])
+        own = batch.column("values").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+        values = np.concatenate([values, own])
+        while len(labels) >= 2 * size:
+            yield labels[:size], values[:size]
+            labels, values = labels[size:], values[size:]
+    if len(labels):
+        yield labels, values
+
+
 def boruta_select(
     df: DataFrame,
     features: list[str],
@@ -93,7 +109,8 @@ def boruta_select(
     rows = df.select(F.col(label).cast("double").alias("label"), values.alias("values"), place.alias("_place"))
     work = Workspace(df.sparkSession)
     frame = work.store(
-        rows.repartition("_place").sortWithinPartitions("_place").select("label", "values"), "selection"
+        rows.repartition(max(1, rows.count() // BLOCK_ROWS), "_place").sortWithinPartitions("_place").select("label", "values"),
+        "selection",
     )
     hits = np.zeros(len(features), dtype=int)
     state = np.zeros(len(features), dtype=int)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from itertools import product
 import random
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from staykit.functions.numbers import ratio
@@ -25,13 +26,24 @@ BOOSTED_GRID = {"maxIter": [10, 30, 50, 70, 90, 110, 130], "maxDepth": [3, 4, 6,
 BOOSTED_GRID_DEEP = {"maxIter": [130, 150, 170], "maxDepth": [8, 10, 18]}
 
 
-def grid_points(grid: dict[str, list]) -> list[dict]:
-    """All combinations, with depths cut to what MLlib accepts and duplicates removed."""
+def supported(grid: dict[str, list], width: int | None = None) -> dict[str, list]:
+    """The grid without values that MLlib cannot take: depths above 30, and subsets of more columns than there are."""
+    kept = dict(grid)
+    if "maxDepth" in kept:
+        kept["maxDepth"] = [d for d in kept["maxDepth"] if d <= MAX_DEPTH]
+    if width and "featureSubsetStrategy" in kept:
+        kept["featureSubsetStrategy"] = [s for s in kept["featureSubsetStrategy"] if not s.isdigit() or int(s) <= width]
+    return kept
+
+
+def grid_points(grid: dict[str, list], width: int | None = None) -> list[dict]:
+    """All different combinations. Values that MLlib cannot take are an error; ``supported`` leaves them out."""
+    for name, values in supported(grid, width).items():
+        if len(values) < len(grid[name]):
+            raise ValueError(f"{name}: MLlib cannot take {sorted(set(grid[name]) - set(values))}")
     points = []
     for values in product(*grid.values()):
         point = dict(zip(grid, values))
-        if "maxDepth" in point:
-            point["maxDepth"] = min(point["maxDepth"], MAX_DEPTH)
         if point not in points:
             points.append(point)
     return points
@@ -51,30 +63,29 @@ def random_search(
     grid: dict[str, list],
     train: DataFrame,
     valid: DataFrame,
+    folder: str,
     max_models: int = 100,
     seed: int = 12345,
     stopping_rounds: int = 5,
     tolerance: float = 1e-4,
     rank_by: str = "accuracy",
 ) -> list[dict]:
-    """Fits a random sample of the grid and returns the models, best first.
+    """Fits a random sample of the grid, writes each model below ``folder``, and returns the entries, best first.
 
-    Stops early once ``stopping_rounds`` models in a row failed to improve the best validation AUC by ``tolerance``. Each
-    entry has ``params``, ``model``, ``auc`` and ``accuracy``; ``rank_by`` names the metric to sort by.
+    An entry has ``params``, ``path``, ``auc`` and ``accuracy``; ``rank_by`` names the metric to sort by, and only the model
+    at hand is in the driver's memory. Stops early once ``stopping_rounds`` different points in a row failed to improve the
+    best validation AUC by ``tolerance``.
     """
-    points = grid_points(grid)
+    points = grid_points(grid, _width(train))
     random.Random(seed).shuffle(points)
-    width = train.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
     train, valid = train.persist(), valid.persist()
     found, best, stale = [], float("-inf"), 0
     try:
-        for point in points[:max_models]:
-            params = dict(point)
-            if width and params.get("featureSubsetStrategy", "").isdigit():
-                params["featureSubsetStrategy"] = str(min(int(params["featureSubsetStrategy"]), width))
+        for number, params in enumerate(points[:max_models]):
             model = estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(train)
-            auc = area_under_roc(model, valid)
-            found.append({"params": params, "model": model, "auc": auc, "accuracy": accuracy(model, valid)})
+            auc, path = area_under_roc(model, valid), f"{folder}/model-{number}"
+            found.append({"params": params, "path": path, "auc": auc, "accuracy": accuracy(model, valid)})
+            save_model(model, path)
             best, stale = (auc, 0) if auc > best + tolerance else (best, stale + 1)
             if stale >= stopping_rounds:
                 break
@@ -84,12 +95,20 @@ def random_search(
     return sorted(found, key=lambda entry: entry[rank_by], reverse=True)
 
 
-def search_forest(train: DataFrame, valid: DataFrame, grid=None, seed: int = 12345, **options) -> list[dict]:
-    return random_search(RandomForestClassifier(seed=seed), grid or FOREST_GRID, train, valid, seed=seed, **options)
+def _width(frame: DataFrame) -> int | None:
+    return frame.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
+
+
+def search_forest(train: DataFrame, valid: DataFrame, folder: str, grid=None, seed: int = 12345, **options) -> list[dict]:
+    """By default the part of FOREST_GRID that MLlib and the number of columns allow."""
+    grid = grid or supported(FOREST_GRID, _width(train))
+    return random_search(RandomForestClassifier(seed=seed), grid, train, valid, folder, seed=seed, **options)
 
 
-def search_boosted(train: DataFrame, valid: DataFrame, grid=None, seed: int = 12345, **options) -> list[dict]:
-    return random_search(GBTClassifier(seed=seed), grid or BOOSTED_GRID, train, valid, seed=seed, **options)
+def search_boosted(train: DataFrame, valid: DataFrame, folder: str, grid=None, seed: int = 12345, **options) -> list[dict]:
+    """Boosted trees; BOOSTED_GRID by default, BOOSTED_GRID_DEEP for a second, deeper search."""
+    grid = grid or supported(BOOSTED_GRID, _width(train))
+    return random_search(GBTClassifier(seed=seed), grid, train, valid, folder, seed=seed, **options)
 
 
 def fit_forest(train: DataFrame, trees: int = 200, seed: int = 12345, **params):
@@ -131,5 +150,16 @@ def useful_features(model, features: list[str]) -> list[str]:
     return [f for f in features if f in used]
 
 
+def log_loss(scored: DataFrame, label: str = "label", probability: str = "probability") -> float:
+    """Mean negative log likelihood of the actual class; probabilities are kept 1e-15 away from 0 and 1."""
+    chance = F.get(vector_to_array(probability), F.lit(1))
+    own = F.when(F.col(label) == 1, chance).otherwise(1 - chance)
+    return scored.agg(F.avg(-F.log(F.greatest(F.least(own, F.lit(1 - 1e-15)), F.lit(1e-15))))).first()[0]
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def load_forest(path: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(path)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 import pytest
 
 from staykit.models import forests, frame
-from staykit.models.boruta import binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
+from staykit.models.boruta import _blocks, binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
 from staykit.sources.tables import read_names, write_names
 
 FEATURES = ["signal", "other", "noise_a", "noise_b"]
@@ -64,10 +65,27 @@ def test_statistics():
     assert tree_count(100, 5) == 282
 
 
-def test_grid_points_respect_the_depth_limit():
-    points = forests.grid_points(forests.FOREST_GRID)
-    assert max(p["maxDepth"] for p in points) == 30
-    assert len(points) == 4 * 4 * 5 * 5 * 5
+def test_grid_points_refuse_what_mllib_cannot_take():
+    with pytest.raises(ValueError, match="maxDepth"):
+        forests.grid_points(forests.FOREST_GRID)
+    kept = forests.supported(forests.FOREST_GRID, width=35)
+    assert max(kept["maxDepth"]) == 30 and kept["featureSubsetStrategy"] == ["10", "20", "30"]
+    assert len(forests.grid_points(kept, 35)) == 4 * 4 * 5 * 5 * 3
+    with pytest.raises(ValueError, match="featureSubsetStrategy"):
+        forests.grid_points({"featureSubsetStrategy": ["10", "20"]}, 15)
+    assert len(forests.grid_points({"maxDepth": [3, 3, 4]})) == 2
+
+
+def test_shadow_blocks_do_not_follow_arrow_batches():
+    def batches(sizes):
+        values = iter(range(10**6))
+        for n in sizes:
+            own = [float(next(values)) for _ in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([[x, -x] for x in own])], names=["label", "values"])
+
+    for sizes in ([1] * 95, [95], [40, 55], [10, 0, 85]):
+        found = [labels.tolist() for labels, _ in _blocks(batches(sizes), 2, size=20)]
+        assert [len(x) for x in found] == [20, 20, 20, 35] and sum(found, []) == [float(i) for i in range(95)]
 
 
 @pytest.fixture(scope="module")
@@ -76,12 +94,15 @@ def frames(planted):
     return [rows.where(F.col("split") == part).drop("split").cache() for part in ("train", "valid", "test")]
 
 
-def test_forest_search_stops_early_and_ranks(frames):
+def test_forest_search_stops_early_and_ranks(frames, tmp_path):
     train, valid, _ = frames
-    grid = {"numTrees": [3, 4, 5, 6], "maxDepth": [4], "featureSubsetStrategy": ["3", "70"]}
-    found = forests.search_forest(train, valid, grid, max_models=8, stopping_rounds=1, tolerance=1.0, rank_by="auc")
+    grid = {"numTrees": [3, 4, 5, 6], "maxDepth": [4], "featureSubsetStrategy": ["2", "3"]}
+    found = forests.search_forest(train, valid, str(tmp_path), grid, max_models=8, stopping_rounds=1, tolerance=1.0, rank_by="auc")
     assert len(found) == 2  # the first model, and one without a gain of 1
     assert found[0]["auc"] >= found[1]["auc"] > 0.8
+    best = forests.load_forest(found[0]["path"])
+    assert forests.area_under_roc(best, valid) == pytest.approx(found[0]["auc"])
+    assert 0 < forests.log_loss(best.transform(valid)) < 0.7
 
 
 def test_single_models(frames, tmp_path):
@@ -100,9 +121,9 @@ def test_single_models(frames, tmp_path):
     assert RandomForestClassificationModel.load(str(tmp_path / "forest")).getNumTrees == 20
 
 
-def test_boosted_search(frames):
+def test_boosted_search(frames, tmp_path):
     train, valid, _ = frames
-    found = forests.search_boosted(train, valid, {"maxIter": [2, 3], "maxDepth": [2]})
+    found = forests.search_boosted(train, valid, str(tmp_path), {"maxIter": [2, 3], "maxDepth": [2]})
     assert len(found) == 2 and found[0]["accuracy"] >= found[1]["accuracy"]
 
 
