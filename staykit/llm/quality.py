@@ -24,7 +24,7 @@ from staykit.sources.tables import Workspace
 FIT_ROWS = 20_000
 POOL_ROWS = 20_000
 CONTENT_WIDTH = 512
-ROUNDS = 3
+ROUNDS = 2
 # What counts as confident, and the share of the pool that a view may label in a round, per class as common as the class.
 CONFIDENT = 0.95
 SHARE = 0.1
@@ -117,7 +117,7 @@ def _fit(rows: DataFrame, view: str):
     total = sum(counts.values())
     weight = F.when(F.col("label") == 1, total / (2 * counts[1])).otherwise(total / (2 * counts[0]))
     frame = rows.select("label", weight.alias("weight"), array_to_vector(view).alias("features"))
-    return LogisticRegression(labelCol="label", weightCol="weight", regParam=1e-4, maxIter=60).fit(frame)
+    return LogisticRegression(labelCol="label", weightCol="weight", regParam=1e-4, maxIter=30).fit(frame)
 
 
 def _logit(model, view: str):
@@ -198,7 +198,7 @@ def _platt(rows: DataFrame, columns: list[str]) -> tuple[float, ...]:
     counts against its own direction."""
     features = array_to_vector(F.array(*[F.least(F.greatest(F.col(c), F.lit(-30.0)), F.lit(30.0)) for c in columns]))
     frame = rows.select(F.col("label").cast("double").alias("label"), features.alias("features"))
-    model = LogisticRegression(regParam=1e-3, maxIter=60, standardization=False).fit(frame)
+    model = LogisticRegression(regParam=1e-3, maxIter=30, standardization=False).fit(frame)
     return (*np.maximum(model.coefficients.toArray(), 0.0).tolist(), float(model.intercept))
 
 
