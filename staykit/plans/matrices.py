@@ -80,7 +80,9 @@ class Inputs:
 def quality_features(sessions: DataFrame, own: Column | None = None, legacy: bool = False) -> DataFrame:
     """An account's own quality and its comparison with peers by stream, channel, week part and day part."""
     mine = sessions if own is None else sessions.where(own)
-    parted = with_day_and_week_part(sessions, legacy=legacy)
+    # Windowed sessions have a date. Saying so keeps the shared aggregations of two grains equal, and so read only once.
+    dated = sessions.where(F.col("activity_date").isNotNull())
+    parted = with_day_and_week_part(dated, legacy=legacy)
     by_grain = [peer_compare(parted, grain, own, legacy) for grain in GRAINS]
     return union_features([by_grain[0], account_quality(mine, legacy), *by_grain[1:]], legacy)
 

@@ -9,8 +9,9 @@ from staykit.catalog import views as v
 from staykit.catalog.queries import Source
 from staykit.catalog.settle import settle
 from staykit.functions.keys import AccountCipher
-from staykit.sources.tables import Workspace
+from staykit.operators.assemble import union_features
 from staykit.plans.matrices import scoring_matrix, training_matrix
+from staykit.sources.tables import Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 FEATURES = 4 * 9 + 7 + 73 + 2 + 1 + 1 + 6 + 43 + 5  # quality, viewing, top channel, variability, never, calls, changes, promo
@@ -22,11 +23,27 @@ def training(spark, **options):
 
 def test_training_matrix(spark):
     matrix = training(spark)
-    assert len(matrix.columns) == len(set(matrix.columns)) == 1 + 1 + 4 + FEATURES
+    assert len(matrix.columns) == len(set(matrix.columns)) == 1 + 1 + 4 + 8 + FEATURES
     counts = matrix.agg(F.count("account_guid").alias("n"), F.count_distinct("account_guid").alias("d")).first()
     assert counts["n"] == counts["d"] == Source(spark, SF_DIR).labels.count()
 
 
+def test_training_is_scoring_with_churn_and_week_number(spark):
+    source = Source(spark, SF_DIR)
+    scored = scoring_matrix(source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, week_number="4")
+    matrix = training(spark, week_number="4")
+    assert set(matrix.columns) - set(scored.columns) == {"churn"} and not set(scored.columns) - set(matrix.columns)
+    assert {r[0] for r in matrix.select("week_number").distinct().collect()} == {"4"}
+
+
+def test_two_rows_of_an_account_are_an_error(spark):
+    one = spark.createDataFrame([("a", 1, "x"), ("b", 2, None)], "account_guid string, n int, t string")
+    two = spark.createDataFrame([("a", 1.5), ("c", 2.5)], "account_guid string, m double")
+    assert {tuple(r) for r in union_features([one, two]).collect()} == {("a", 1, "x", 1.5), ("b", 2, None, None), ("c", None, None, 2.5)}
+    with pytest.raises(Exception, match="more than one row"):
+        union_features([one, two.unionByName(two)]).collect()
+
+
 def test_lazy_equals_layered(spark):
     layered = training(spark, layers=Workspace(spark))
     assert sorted(map(str, settle(training(spark)).collect())) == sorted(map(str, settle(layered).collect()))

@@ -49,10 +49,9 @@ def test_label_windows(spark):
 def test_labelled_sessions_keep_labels_without_sessions(spark):
     labels = label_windows(table(spark, schemas.LABELS, {"account_guid": "OP_B::1", "churn_date": ""}, {"account_guid": "OP_B::2", "churn_date": ""}), "2024-01-31")
     rows = sessions(spark, *[{"billing_id": "1", "stream_id": str(i)} for i in range(5)], {"billing_id": "3"})
-    for rows_per_part in (1, 10**9):
-        joined = labelled_sessions(labels, rows, rows_per_part)
-        assert sorted((r["account_guid"], r["activity_date"]) for r in joined.collect()) == [("OP_B::1", DAY)] * 5 + [("OP_B::2", None)]
-        assert sessions_in_label_window(labels, rows, rows_per_part).count() == 5
+    joined = labelled_sessions(labels, rows)
+    assert sorted((r["account_guid"], r["activity_date"]) for r in joined.collect()) == [("OP_B::1", DAY)] * 5 + [("OP_B::2", None)]
+    assert sessions_in_label_window(labels, rows).count() == 5
 
 
 def test_excluded_accounts(spark):
@@ -146,8 +145,7 @@ def brute_peers(rows, key, inclusive, legacy):
 
 @pytest.mark.parametrize("grain, key", [(qu.BY_STREAM, "stream_id"), (qu.BY_CHANNEL, "channel_number")])
 @pytest.mark.parametrize("legacy", [False, True])
-@pytest.mark.parametrize("rows_per_part", [1, 10**9])
-def test_peer_compare_against_brute_force(spark, grain, key, legacy, rows_per_part):
+def test_peer_compare_against_brute_force(spark, grain, key, legacy):
     """A third of the rows sit in one group on one day."""
     raw = []
     for i in range(240):
@@ -159,7 +157,7 @@ def test_peer_compare_against_brute_force(spark, grain, key, legacy, rows_per_pa
     rows = sessions(spark, *[
         {"billing_id": a[6:], key: g, "activity_date": d, "mos_score": s, "watch_time_ms": w} for a, g, d, s, w in raw
     ])
-    found = by_account(qu.peer_compare(rows, grain, legacy=legacy, rows_per_part=rows_per_part))
+    found = by_account(qu.peer_compare(rows, grain, legacy=legacy))
     names = ["cnt_acct_bigger", "avg_acct_bigger", "std_dev_acct", "avg_mos_bottom_10", "avg_mos_top_10"]
     for account, values in brute_peers(raw, key, grain.inclusive, legacy).items():
         mine = [found[account][f"mos_comp_{grain.name}_{n}"] for n in names]

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 
 from staykit.catalog.queries import Source
-from staykit.operators import quality as qu, viewing as vi
+from staykit.operators import changes as ch, quality as qu, viewing as vi
+from staykit.plans.matrices import quality_features as quality_plan, viewing_features as vi_plan
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -37,3 +38,22 @@ def test_code_generation_covers_the_wide_aggregates(spark):
     text = plan(vi.viewing_profile(Source(spark, SF_DIR).windowed, 15))
     aggregates = re.findall(r"^.*HashAggregate\(.*$", text, re.M)
     assert aggregates and not [a for a in aggregates if "ObjectHash" in a or "Sort" in a]
+
+
+def scans(text):
+    return len(re.findall(r"FileScan parquet", text))
+
+
+def test_no_sort_aggregation_of_features(spark):
+    source = Source(spark, SF_DIR)
+    viewing = vi_plan(source.windowed, source.table("usage"), source.changes, "2023-11-01", "2024-01-25", 15)
+    for df in (viewing, ch.change_profile(source.changes, "2024-01-25"), ch.change_latest(source.changes)):
+        assert "SortAggregate" not in plan(df)
+
+
+def test_quality_reads_the_sessions_eight_times(spark):
+    """Counted in the plan that ran, where equal shuffles are read again instead of made again."""
+    df = quality_plan(Source(spark, SF_DIR).windowed)
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    assert scans(text) <= 8
