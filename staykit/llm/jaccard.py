@@ -29,14 +29,12 @@ SKETCH = 2**17
 # Bits of the map that says which classes' sets are needed. A false hit costs a set that is joined away.
 NEED_BITS = 2**24
 REMEMBERED_WORDS = 300_000
-# Odd constants of the shingle hash, one for each place of a word; places beyond the table use it again.
-_ODD = [
-    0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
-]
-
-
-def _odd(place: int) -> np.uint64:
-    return np.uint64(_ODD[place % len(_ODD)] * (2 * place + 1) % 2**64)
+# Postings of one list that are compared at once in one task.
+LONG_LIST = 2_000
+# Odd constants of the shingle hash.
+_BASE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+# Texts that are shingled at once, for bounded memory whatever the size of an Arrow batch.
+TEXTS_AT_ONCE = 500
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -46,30 +44,59 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > REMEMBERED_WORDS:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Sets of shingle hashes of texts (UTF-8 bytes). Words are runs of anything but ASCII white space, A-Z lower-cased."""
 
     def __init__(self, size: int = SHINGLE):
         self.size = size
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        """Sorted distinct hashes; one for the whole sequence if it is shorter than a shingle; none without words."""
-        words = text.lower().split()
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        known = self.known
-        if len(known) > REMEMBERED_WORDS:
-            known.clear()
-        for new in set(words).difference(known):
-            known[new] = xxhash.xxh3_64_intdigest(new)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        size = min(self.size, len(words))
-        count = len(words) - size + 1
-        total = np.full(count, size, dtype=np.uint64)
-        for i in range(size):
-            total += mixed(hashes[i:i + count] + _odd(i)) * _odd(i + 1)
-        return np.unique(mixed(total))
+        self.known = _WordHashes()
+
+    def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Per text the sorted distinct hashes; one for the whole sequence if it is shorter than a shingle; none without
+        words. All texts are hashed in one go."""
+        words = [t.lower().split() for t in texts]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        total, size, known = int(counts.sum()), self.size, self.known.__getitem__
+        hashes = np.fromiter((h for own in words for h in map(known, own)), np.uint64, total)
+        rolled = np.zeros(max(0, total - size + 1), dtype=np.uint64)
+        for i in range(size if len(rolled) else 0):
+            rolled = rolled * _BASE + hashes[i:i + len(rolled)]
+        rolled = mixed(rolled)
+        ends, sets = np.cumsum(counts), []
+        for end, n in zip(ends.tolist(), counts.tolist()):
+            if n >= size:
+                sets.append(_distinct(rolled[end - n:end - size + 1]))
+            elif n:
+                whole = np.array([n], dtype=np.uint64)
+                for h in hashes[end - n:end]:
+                    whole = whole * _OTHER + h
+                sets.append(mixed(whole))
+            else:
+                sets.append(np.zeros(0, dtype=np.uint64))
+        return sets
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    keep = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=keep[1:])
+    return values[keep]
+
+
+def _in_parts(batches, column: int):
+    """(batch, offset, texts) in parts of bounded length."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            part = batch.slice(at, TEXTS_AT_ONCE)
+            yield part, part.column(column).to_pylist()
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -88,10 +115,9 @@ def _signatures(rows: DataFrame, kind: str, size: int) -> DataFrame:
 
     def step(batches):
         shingler, counters, seen = Shingler(size), np.zeros(SKETCH, dtype=np.int64), set()
-        for batch in batches:
+        for batch, texts in _in_parts(batches, 1):
             sizes, classes = [], []
-            for text in batch.column(1).to_pylist():
-                shingles = shingler(text)
+            for shingles in shingler(texts):
                 name = class_of(shingles)
                 sizes.append(len(shingles))
                 classes.append(name)
@@ -135,10 +161,9 @@ def _postings(rows: DataFrame, sketch: np.ndarray, boundary: int, percent: int,
 
     def step(batches):
         shingler, counts, seen = Shingler(size), shared.value, set()
-        for batch in batches:
+        for _, texts in _in_parts(batches, 0):
             keys, classes, sizes, places = [], [], [], []
-            for text in batch.column(0).to_pylist():
-                shingles = shingler(text)
+            for shingles in shingler(texts):
                 n, name = len(shingles), class_of(shingles)
                 if not n or name in seen:
                     continue
@@ -149,7 +174,7 @@ def _postings(rows: DataFrame, sketch: np.ndarray, boundary: int, percent: int,
                 if n <= boundary and n > 1:
                     prefix = ordered[:over + 2]
                     i, j = np.triu_indices(len(prefix), 1)
-                    pairs = mixed(np.minimum(prefix[i], prefix[j]) * _odd(0) + np.maximum(prefix[i], prefix[j]) * _odd(1))
+                    pairs = mixed(np.minimum(prefix[i], prefix[j]) * _BASE + np.maximum(prefix[i], prefix[j]) * _OTHER)
                     keys.append(pairs)
                     places.append(np.full(len(pairs), -1, np.int32))
                     classes.append(np.full(len(pairs), name, np.int64))
@@ -169,29 +194,59 @@ def _postings(rows: DataFrame, sketch: np.ndarray, boundary: int, percent: int,
     return map_arrow(rows.select("_text"), step, "key long, cls long, n int, pos int")
 
 
-def _shared_lists(postings: DataFrame) -> DataFrame:
-    """The postings whose key another class has as well. Rows come sorted by key, so only the last one waits for the next."""
+def _shared_lists(postings: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """The postings that could link with another one of their list. Rows come sorted by key; the last list of a batch waits
+    for the next batch, and of a list longer than ``LONG_LIST`` all are kept as they come."""
     ordered = postings.repartition("key").sortWithinPartitions("key", "cls")
     names = ("key", "cls", "n", "pos")
 
     def step(batches):
-        waiting, waiting_kept = None, False
+        waiting, long_key = [np.zeros(0, dtype=np.int64) for _ in names], None
         for batch in batches:
-            rows = [numpy_of(batch.column(i)) for i in range(4)]
-            if waiting is not None:
-                rows = [np.concatenate([w, r]) for w, r in zip(waiting, rows)]
+            rows = [np.concatenate([w, numpy_of(batch.column(i))]) for i, w in enumerate(waiting)]
+            # The same class from several tasks counts once.
             first = np.ones(len(rows[0]), dtype=bool)
             first[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
             rows = [r[first] for r in rows]
-            same = rows[0][1:] == rows[0][:-1]
-            kept = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            kept[0] |= waiting_kept
-            waiting, waiting_kept = [r[-1:] for r in rows], bool(kept[-1])
-            yield dict(zip(names, (r[:-1][kept[:-1]] for r in rows)))
-        if waiting_kept:
-            yield dict(zip(names, waiting))
-
-    return map_arrow(ordered, step, "key long, cls long, n int, pos int")
+            begins = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
+            last = int(begins[-1])
+            if len(rows[0]) - last > LONG_LIST:
+                yield dict(zip(names, (r[_partnered(rows, begins, percent, boundary, long_key, rows[0][last])] for r in rows)))
+                # One row stays behind, so that a repetition of it is noticed.
+                waiting, long_key = [r[-1:] for r in rows], rows[0][last]
+                continue
+            done = [r[:last] for r in rows]
+            if last:
+                kept = _partnered(done, begins[:-1], percent, boundary, long_key, None)
+                yield dict(zip(names, (r[kept] for r in done)))
+            waiting = [r[last:] for r in rows]
+        if len(waiting[0]):
+            kept = _partnered(waiting, np.zeros(1, dtype=np.int64), percent, boundary, long_key, None)
+            yield dict(zip(names, (r[kept] for r in waiting)))
+
+    return map_arrow(ordered, step, "key long, cls long, n int, pos int").distinct()
+
+
+def _partnered(rows, begins, percent: int, boundary: int, *long_keys) -> np.ndarray:
+    """Which postings, sorted by key and with the places where lists begin, could link with another one of their list; all
+    those of the ``long_keys``."""
+    keys, _, n, pos = rows
+    kept = np.isin(keys, [k for k in long_keys if k is not None])
+    sizes = np.diff(np.append(begins, len(keys)))
+    for begin, size in zip(begins[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+        own = slice(begin, begin + size)
+        if kept[begin]:
+            continue
+        a, b = n[own, None], n[None, own]
+        small, large = np.minimum(a, b), np.maximum(a, b)
+        fits = 100 * small >= percent * large
+        if pos[begin] >= 0:
+            needed = -(-percent * (a + b) // (100 + percent))
+            left = np.minimum(a - pos[own, None], b - pos[None, own])
+            fits &= (left >= needed) & (large > boundary)
+        np.fill_diagonal(fits, False)
+        kept[own] = fits.any(axis=1)
+    return kept
 
 
 def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
@@ -207,10 +262,9 @@ def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
 
     def step(batches):
         shingler, marked, seen = Shingler(size), shared.value, set()
-        for batch in batches:
+        for _, texts in _in_parts(batches, 0):
             classes, sets = [], []
-            for text in batch.column(0).to_pylist():
-                shingles = shingler(text)
+            for shingles in shingler(texts):
                 name = class_of(shingles)
                 at = name % NEED_BITS
                 if name not in seen and marked[at >> 3] >> (at & 7) & 1:
@@ -320,7 +374,7 @@ def jaccard_join(
     classes = own.where("n > 0").groupBy("cls", "n").agg(F.min("key").alias("first"))
     boundary = choose_boundary(classes, _scan_cost(sketch), percent)
 
-    lists = work.store(_shared_lists(_postings(rows, sketch, boundary, percent, size)), "lists")
+    lists = work.store(_shared_lists(_postings(rows, sketch, boundary, percent, size), percent, boundary), "lists")
     sets = work.store(_needed_sets(rows, lists, size), "sets")
     links = work.store(_links(lists, sets, percent, boundary, work), "links")
     roots = components(links, work).select(F.col("node").alias("cls"), "root")
