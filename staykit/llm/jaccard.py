@@ -195,11 +195,17 @@ def _postings(rows: DataFrame, sketch: np.ndarray, boundary: int, percent: int,
 
 
 def _shared_lists(postings: DataFrame, percent: int, boundary: int) -> DataFrame:
-    """The postings that could link with another one of their list. Rows come sorted by key; the last list of a batch waits
+    """The postings whose key another class has as well, with ``least`` (see ``_least_shared``). Rows come sorted by key; the last list of a batch waits
     for the next batch, and of a list longer than ``LONG_LIST`` all are kept as they come."""
     ordered = postings.repartition("key").sortWithinPartitions("key", "cls")
     names = ("key", "cls", "n", "pos")
 
+    def kept_of(rows, begins, *long_keys):
+        least = _least_shared(rows, begins, percent, boundary, *long_keys)
+        lone = np.diff(np.append(begins, len(rows[0]))) == 1
+        kept = (~np.repeat(lone, np.diff(np.append(begins, len(rows[0]))))) | (least > 0)
+        return {**dict(zip(names, (r[kept] for r in rows))), "least": least[kept]}
+
     def step(batches):
         waiting, long_key = [np.zeros(0, dtype=np.int64) for _ in names], None
         for batch in batches:
@@ -211,42 +217,59 @@ def _shared_lists(postings: DataFrame, percent: int, boundary: int) -> DataFrame
             begins = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
             last = int(begins[-1])
             if len(rows[0]) - last > LONG_LIST:
-                yield dict(zip(names, (r[_partnered(rows, begins, percent, boundary, long_key, rows[0][last])] for r in rows)))
+                yield kept_of(rows, begins, long_key, rows[0][last])
                 # One row stays behind, so that a repetition of it is noticed.
                 waiting, long_key = [r[-1:] for r in rows], rows[0][last]
                 continue
             done = [r[:last] for r in rows]
             if last:
-                kept = _partnered(done, begins[:-1], percent, boundary, long_key, None)
-                yield dict(zip(names, (r[kept] for r in done)))
+                yield kept_of(done, begins[:-1], long_key)
             waiting = [r[last:] for r in rows]
         if len(waiting[0]):
-            kept = _partnered(waiting, np.zeros(1, dtype=np.int64), percent, boundary, long_key, None)
-            yield dict(zip(names, (r[kept] for r in waiting)))
+            yield kept_of(waiting, np.zeros(1, dtype=np.int64), long_key)
+
+    found = map_arrow(ordered, step, "key long, cls long, n int, pos int, least int")
+    return found.groupBy("key", "cls", "n", "pos").agg(F.min("least").alias("least"))
+
+
+def _often_enough(lists: DataFrame) -> DataFrame:
+    """The postings that could link, of classes that are in as many lists as the easiest partner there asks for. A class
+    that shares a shingle with another one by chance is in few lists, while two that link share much of their prefixes."""
+    counts = lists.groupBy("cls").agg(F.count(F.lit(1)).alias("lists"))
+    kept = lists.where("least > 0").join(counts, "cls").where(F.col("least") <= F.col("lists"))
+    return kept.select("key", "cls", "n", "pos")
 
-    return map_arrow(ordered, step, "key long, cls long, n int, pos int").distinct()
 
+_NO_PARTNER = 2**30
 
-def _partnered(rows, begins, percent: int, boundary: int, *long_keys) -> np.ndarray:
-    """Which postings, sorted by key and with the places where lists begin, could link with another one of their list; all
-    those of the ``long_keys``."""
+
+def _least_shared(rows, begins, percent: int, boundary: int, *long_keys) -> np.ndarray:
+    """Per posting, sorted by key and with the places where lists begin, 0 if it could link with no other one of its list,
+    else how many keys it must share with the easiest partner it could link with there.
+
+    Of two sets, the one whose prefix ends first in the common order shares only what both prefixes share, and what is
+    behind its prefix: fewer than ``least_overlap`` shingles. So the prefixes share at least the rest of the overlap needed.
+    Lists of pairs of shingles, and the ``long_keys``, ask for one.
+    """
     keys, _, n, pos = rows
-    kept = np.isin(keys, [k for k in long_keys if k is not None])
+    least = np.isin(keys, [k for k in long_keys if k is not None]).astype(np.int32)
     sizes = np.diff(np.append(begins, len(keys)))
     for begin, size in zip(begins[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
         own = slice(begin, begin + size)
-        if kept[begin]:
+        if least[begin]:
             continue
         a, b = n[own, None], n[None, own]
         small, large = np.minimum(a, b), np.maximum(a, b)
-        fits = 100 * small >= percent * large
+        fits, asked = 100 * small >= percent * large, np.ones((size, size), dtype=np.int64)
         if pos[begin] >= 0:
             needed = -(-percent * (a + b) // (100 + percent))
             left = np.minimum(a - pos[own, None], b - pos[None, own])
             fits &= (left >= needed) & (large > boundary)
+            asked = np.maximum(1, needed - -(-percent * large // 100) + 1)
         np.fill_diagonal(fits, False)
-        kept[own] = fits.any(axis=1)
-    return kept
+        easiest = np.where(fits, asked, _NO_PARTNER).min(axis=1)
+        least[own] = np.where(easiest < _NO_PARTNER, easiest, 0)
+    return least
 
 
 def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
@@ -374,7 +397,8 @@ def jaccard_join(
     classes = own.where("n > 0").groupBy("cls", "n").agg(F.min("key").alias("first"))
     boundary = choose_boundary(classes, _scan_cost(sketch), percent)
 
-    lists = work.store(_shared_lists(_postings(rows, sketch, boundary, percent, size), percent, boundary), "lists")
+    postings = _postings(rows, sketch, boundary, percent, size)
+    lists = work.store(_often_enough(work.store(_shared_lists(postings, percent, boundary), "shared")), "lists")
     sets = work.store(_needed_sets(rows, lists, size), "sets")
     links = work.store(_links(lists, sets, percent, boundary, work), "links")
     roots = components(links, work).select(F.col("node").alias("cls"), "root")
