@@ -154,8 +154,9 @@ class _Scorer:
         if len(words) > REMEMBERED_WORDS:
             half = len(words) // 2
             return self._sum(words[:half]) + self._sum(words[half:])
-        get, places = self.places.get, [self.places.get(w) for w in words]
-        for i, place in enumerate(places):
+        get, places = self.places.get, list(map(self.places.get, words))
+        # Most texts have only words that were met before; then there is nothing to look at one by one.
+        for i, place in enumerate(places) if None in places else ():
             if place is None:
                 place = get(words[i])
                 if place is None:
