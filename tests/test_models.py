@@ -81,7 +81,9 @@ def test_shadow_blocks_do_not_follow_arrow_batches():
         values = iter(range(10**6))
         for n in sizes:
             own = [float(next(values)) for _ in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([[x, -x] for x in own])], names=["label", "values"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.float64()), pa.array([[x, -x] for x in own], pa.list_(pa.float64()))], names=["label", "values"]
+            )
 
     for sizes in ([1] * 95, [95], [40, 55], [10, 0, 85]):
         found = [labels.tolist() for labels, _ in _blocks(batches(sizes), 2, size=20)]
