@@ -1,8 +1,9 @@
 """Near-duplicate vectors by a pivot-permutation index (Chavez, Figueroa and Navarro, 2008).
 
-Reference points (pivots) are drawn from the vectors. A vector is described by its nearest pivots; vectors that are close to
-each other have nearly the same ones. Inverted lists by pairs of pivots bring together all vectors of one label that share
-at least two of them; each such pair of vectors is verified by its cosine, once.
+Reference points (pivots) that lie apart are drawn from the vectors. A vector is described by its nearest pivots; vectors that
+are close to each other have nearly the same ones. Inverted lists by pairs of pivots bring together all vectors of one label
+that share at least two of them; each such pair of vectors is verified by its cosine, once. How many pivots there are and how
+many describe a vector follows from the share of links found on a sample.
 """
 
 from __future__ import annotations
@@ -20,9 +21,14 @@ from staykit.llm.components import components
 from staykit.sources.tables import Workspace
 
 THRESHOLD = 0.93
-# Nearest pivots that describe a vector, and how many of them two vectors must share to be compared.
+# Nearest pivots that describe a vector, at least, and how many of them two vectors must share to be compared.
 NEAREST = 6
 SHARED = 2
+# More nearest pivots are tried up to so many, then fewer pivots, until this share of a sample's links is found.
+MOST_NEAREST = 10
+RECALL = 0.97
+# Cosine that two pivots have at most; a higher one is tried only while there are too few pivots.
+APART = (0.5, 0.6, 0.7, 0.8)
 # Vectors the pivots are drawn from, at most; the number of pivots grows with the root of the number of vectors.
 PIVOT_SAMPLE = 50_000
 # Vectors of one list that are compared in one task at once; a longer list is cut into blocks that meet in pairs.
@@ -41,14 +47,91 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda x: x != 0)
 
 
-def choose_pivots(vectors: DataFrame, count: int, sample: int = PIVOT_SAMPLE) -> np.ndarray:
-    """``ceil(sqrt(count))`` vectors, at least 32: those with the smallest hashes of at most ``sample`` vectors that a hash
-    draws from all. Few enough to hold: a billion vectors have 32 thousand pivots."""
+def _draw(vectors: DataFrame, count: int, wanted: int, sample: int = PIVOT_SAMPLE) -> np.ndarray:
+    """The ``wanted`` vectors with the smallest hashes of at most ``sample`` vectors that a hash draws from all."""
     share = min(1.0, sample / max(1, count))
     drawn = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(2**20)) <= F.lit(int(share * 2**20)))
+    rows = drawn.orderBy(F.xxhash64("vec_id", F.lit(12)), "vec_id").limit(wanted).select("_unit").toArrow()
+    return _unit_vectors(rows.column(0).combine_chunks())
+
+
+def spread(points: np.ndarray, wanted: int, bound: float) -> np.ndarray:
+    """The first ``wanted`` of ``points`` whose cosine to each one taken before is at most ``bound``."""
+    taken = points[:0]
+    for start in range(0, len(points), 512):
+        block = points[start:start + 512]
+        block = block[(block @ taken.T <= bound).all(axis=1)]
+        near, keep = block @ block.T > bound, []
+        free = np.ones(len(block), dtype=bool)
+        for i in range(len(block)):
+            if free[i]:
+                keep.append(i)
+                free &= ~near[i]
+        taken = np.concatenate([taken, block[keep]])
+        if len(taken) >= wanted:
+            break
+    return taken[:wanted]
+
+
+def _sample_links(points: np.ndarray, threshold: float, most: int = 5_000) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs to try an index on: links among ``points`` that are no exact copies, and pairs at exactly ``threshold`` that are
+    made by moving a point along the difference of two others."""
+    random, found = np.random.default_rng(13), []
+    for start in range(0, min(len(points), 2_048), 512):
+        cosines = points[start:start + 512] @ points.T
+        a, b = np.nonzero((cosines >= threshold) & (cosines < 1 - 1e-9))
+        a += start
+        found.append(np.stack([a[a < b], b[a < b]]))
+    a, b = np.hstack(found)
+    chosen = random.permutation(len(a))[:most]
+    own, one, other = random.integers(len(points), size=(3, min(most, 4 * len(points))))
+    way = points[one] - points[other]
+    way -= (way * points[own]).sum(axis=1, keepdims=True) * points[own]
+    length = np.sqrt((way**2).sum(axis=1))
+    own, way, length = own[length > 1e-6], way[length > 1e-6], length[length > 1e-6, None]
+    moved = threshold * points[own] + sqrt(max(0.0, 1 - threshold**2)) * way / length
+    return [pair for pair in ((points[a[chosen]], points[b[chosen]]), (points[own], moved)) if len(pair[0])]
+
+
+def _nearest_pivots(units: np.ndarray, pivots: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of the ``width`` nearest pivots, the nearest first. Cosine is the measure: they have the largest products."""
+    return np.argsort(-(units @ pivots.T), axis=1, kind="stable")[:, :width]
+
+
+def choose_pivots(
+    vectors: DataFrame, count: int, threshold: float = THRESHOLD, nearest: int = NEAREST, shared: int = SHARED,
+    recall: float = RECALL,
+) -> tuple[np.ndarray, int]:
+    """Pivots, and how many nearest ones describe a vector.
+
+    Pivots are ``ceil(sqrt(count))`` drawn vectors, at least 32, that lie apart: a group of near copies has one of them and
+    not its share, as the order of pivots inside a group is noise to its members. Few enough to hold: a billion vectors have
+    32 thousand. Of ``nearest`` to ``MOST_NEAREST`` the least number is taken that finds the share ``recall`` of a sample's
+    links; where none does, the pivots are halved. Two pivots are shared by all vectors and find every link.
+    """
     wanted = max(32, ceil(sqrt(count)))
-    rows = drawn.orderBy(F.xxhash64("vec_id", F.lit(12)), "vec_id").limit(wanted).select("_unit").collect()
-    return np.array([r[0] for r in rows], dtype=float)
+    points = _draw(vectors, count, 4 * wanted)
+    for bound in APART:
+        pivots = spread(points, wanted, bound)
+        if len(pivots) >= wanted:
+            break
+    tried = _sample_links(points, threshold)
+    while len(pivots) > nearest:
+        most = max(nearest, min(MOST_NEAREST, len(pivots) - 1))
+        orders = [[_nearest_by_part(side, pivots, most) for side in pair] for pair in tried]
+        for width in range(nearest, most + 1):
+            if all(_share_found(a[:, :width], b[:, :width], shared) >= recall for a, b in orders):
+                return pivots, width
+        pivots = pivots[:len(pivots) // 2]
+    return pivots[:shared], shared
+
+
+def _nearest_by_part(units: np.ndarray, pivots: np.ndarray, width: int) -> np.ndarray:
+    return np.concatenate([_nearest_pivots(units[i:i + 500], pivots, width) for i in range(0, len(units), 500)])
+
+
+def _share_found(a: np.ndarray, b: np.ndarray, shared: int) -> float:
+    return float(((a[:, :, None] == b[:, None, :]).sum(axis=(1, 2)) >= shared).mean())
 
 
 def _unit_vectors(column: pa.Array) -> np.ndarray:
@@ -77,7 +160,7 @@ def _units(vectors: DataFrame) -> DataFrame:
 
 def _postings(vectors: DataFrame, pivots: np.ndarray, nearest: int, shared: int) -> DataFrame:
     """One row per vector and pair of its nearest pivots: label, list, vec_id, the nearest pivots in order of their number,
-    and the vector. Cosine is the measure, so the nearest pivots have the largest products."""
+    and the vector."""
     known = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def step(batches):
@@ -87,7 +170,7 @@ def _postings(vectors: DataFrame, pivots: np.ndarray, nearest: int, shared: int)
         weights = (len(points) + 1) ** np.arange(choices.shape[1])
         for batch in batches:
             units = _unit_vectors(batch.column(2))
-            near = np.argsort(-(units @ points.T), axis=1, kind="stable")[:, :width]
+            near = _nearest_pivots(units, points, width)
             near.sort(axis=1)
             lists = (near[:, choices] * weights).sum(axis=2)
             times, rows = lists.shape[1], np.repeat(np.arange(len(units)), lists.shape[1])
@@ -205,7 +288,7 @@ def near_duplicates(
     are NULL, empty or zero, hold NULL or non-finite components or have no label link with nothing, nor do vectors of
     another length than most; rows with a NULL vec_id have no links and a NULL component, and are not kept. An empty table
     gives no rows. Whatever is linked has been verified; a link is missed when the two vectors share fewer than ``shared``
-    of their ``nearest`` pivots.
+    of their nearest pivots, of which each has ``nearest`` or more.
     """
     named = vectors.where(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(
         F.min(F.struct("label", F.col("embedding").cast("array<double>").alias("v"))).alias("one")
@@ -218,7 +301,7 @@ def near_duplicates(
         found = every.withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id")})
     else:
         good, count = good.where(F.size("_unit") == width["width"]), width["count"]
-        pivots = choose_pivots(good, count)
+        pivots, nearest = choose_pivots(good, count, threshold, nearest, shared)
         shared = min(shared, nearest, len(pivots))
         blocks = _blocks(_postings(good, pivots, nearest, shared), block)
         compared = work.store(_compare(blocks, threshold, shared, nearest, len(pivots)), "compared")

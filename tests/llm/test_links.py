@@ -166,6 +166,20 @@ def test_vector_recall_on_the_test_table(spark, work):
     assert 0.9 * expected <= sum(found.values()) <= expected
 
 
+@pytest.mark.parametrize("count", [1_500, 6_000])
+def test_vector_recall_in_a_group_of_near_copies(spark, work, count):
+    """A third of all vectors are near copies of one, at cosines of 0.93 to 0.97."""
+    random_ = np.random.default_rng(count)
+    points = random_.normal(size=(count, 32))
+    centre = points[0] / np.linalg.norm(points[0])
+    points[::3] = centre + random_.normal(size=points[::3].shape) * np.sqrt(0.05 / 32)
+    frame = spark.createDataFrame([(i, p.tolist(), 1) for i, p in enumerate(points)], "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in embeddings.near_duplicates(frame, work).vectors.collect())
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    expected = int((points @ points.T >= 0.93).sum()) - count
+    assert expected > count * count / 20 and 0.9 * expected <= found <= expected
+
+
 def test_vectors_odd_keys(spark, work):
     schema = "vec_id long, embedding array<float>, label int"
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (None, [1.0, 0.0], 1)]
