@@ -3,6 +3,9 @@
 A known word scores its log frequency in each language. A word that was never seen falls back to the character n-grams of
 the word with its borders marked: the longest order of which any is known decides, shorter ones are tried in turn. A text is
 the language with the highest sum; its score is that language's share of the likelihood.
+
+All counted words and n-grams stay in tables. Tasks hold the most common words only to be fast: the other words of a text are
+joined with the tables, each distinct one scored once.
 """
 
 from __future__ import annotations
@@ -12,20 +15,19 @@ from dataclasses import dataclass
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staykit.llm.arrow import map_arrow
 from staykit.sources.tables import Workspace
 
 ORDERS = (5, 4, 3, 2, 1)
-# Size of the model: the most frequent words and n-grams of the training texts. What is not held backs off.
-MAX_WORDS = 60_000
-MAX_GRAMS = 40_000
+# Most frequent words of the training texts that each task holds. Others have the same scores, by a join.
+COMMON_WORDS = 60_000
 UNKNOWN = "und"
 # No word speaks against a language by more than this log frequency, so a few telling words do not outvote a long text.
 MAX_VOTE = 4.0
-# Words whose scores one Python worker remembers; forgotten all at once when full.
-REMEMBERED_WORDS = 200_000
+# Log frequencies are whole numbers of this step, so that sums do not depend on row order.
+_STEP = 2.0**-30
 _WORDS = re.compile(r"[^\W\d_]+")
 _FLUSH = 200_000
 
@@ -42,27 +44,20 @@ def grams_of(word: str, order: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """``words`` and ``grams`` give the row of a string in ``word_logs`` and ``gram_logs``: its log frequency per language."""
+    """``words`` holds word and votes, ``grams`` gram and logs: a log frequency per language, in steps. ``common`` gives the row
+    of a common word in ``common_votes``. Tables made while texts are scored go to ``work``."""
 
     languages: list[str]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
+    words: DataFrame | None
+    grams: DataFrame | None
+    common: dict[str, int]
+    common_votes: np.ndarray
+    work: Workspace
 
     def word_scores(self, word: str) -> np.ndarray:
-        scores = self._frequency(word)
-        return np.maximum(scores, scores.max() - MAX_VOTE)
-
-    def _frequency(self, word: str) -> np.ndarray:
-        row = self.words.get(word)
-        if row is not None:
-            return self.word_logs[row]
-        for order in ORDERS:
-            known = [self.grams[g] for g in grams_of(word, order) if g in self.grams]
-            if known:
-                return self.gram_logs[known].mean(axis=0)
-        return np.zeros(len(self.languages))
+        """The scores of a single word, by a Spark job."""
+        row = score_words(self.work.spark.createDataFrame([(word,)], "word string"), self).first()
+        return np.array(row["votes"]) * _STEP
 
 
 def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -107,84 +102,117 @@ def count_grams(words: DataFrame) -> DataFrame:
     )
 
 
-def _table(counts: DataFrame, limit: int, mass: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-    """The ``limit`` most frequent strings (ties go to the smaller) and the log frequencies in each language."""
-    by_word = counts.groupBy("word").agg(
-        F.sum("n").alias("total"),
-        *[F.sum(F.when(F.col("lang") == language, F.col("n")).otherwise(0)).alias(f"n{i}") for i, language in enumerate(mass)],
-    )
-    top = by_word.orderBy(F.desc("total"), "word").limit(limit).drop("total").toArrow()
-    found = np.column_stack([top.column(i + 1).to_numpy() for i in range(len(mass))])
-    logs = np.log((found + 0.05) / (np.array(list(mass.values())) + 1.0))
-    return {w: i for i, w in enumerate(top.column(0).to_pylist())}, logs.astype(np.float32)
-
-
-def fit_languages(docs: DataFrame, work: Workspace, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """Counts over all rows of ``docs`` (text, lang) with a language. The driver holds at most ``max_words`` words and
-    ``max_grams`` n-grams, a number per language each. Without any labelled row the model knows no language and answers
-    ``und``."""
-    words = work.store(count_words(docs), "words")
-    mass = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
+def _by_language(counts: DataFrame, mass: dict[str, int]) -> DataFrame:
+    """word, total, logs: how often over all languages, and the log frequency in each. What a language never had counts as
+    less than what any had once: the same for all, so that a small language does not draw the rare words of a large one."""
+    of = [F.sum(F.when(F.col("lang") == language, F.col("n")).otherwise(0)) for language in mass]
+    never = F.lit(0.05 / (max(mass.values()) + 1.0))
+    logs = F.array(*[F.log(F.when(n > 0, (n + 0.05) / F.lit(m + 1.0)).otherwise(never)) for n, m in zip(of, mass.values())])
+    return counts.groupBy("word").agg(F.sum("n").alias("total"), logs.alias("logs"))
+
+
+def _steps(logs: Column) -> Column:
+    return F.transform(logs, lambda x: F.round(x / _STEP).cast("long"))
+
+
+def _votes(logs: Column) -> Column:
+    """Log frequencies of a word, none further below the highest than ``MAX_VOTE``; in steps."""
+    return _steps(F.transform(logs, lambda x: F.greatest(x, F.array_max(logs) - MAX_VOTE)))
+
+
+def fit_languages(docs: DataFrame, work: Workspace, common: int = COMMON_WORDS) -> LanguageModel:
+    """Counts over all rows of ``docs`` (text, lang) with a language, as tables in ``work``. The driver holds at most ``common``
+    words, a number per language each; what is recognised does not depend on it. Without any labelled row the model knows no
+    language and answers ``und``."""
+    counts = work.store(count_words(docs), "words")
+    mass = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     if not mass:
-        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    return LanguageModel(list(mass), *_table(words, max_words, mass), *_table(count_grams(words), max_grams, mass))
-
-
-class _Scorer:
-    def __init__(self, model: LanguageModel):
-        self.model, self.scores, self.places = model, np.zeros((REMEMBERED_WORDS, max(1, len(model.languages)))), {}
-
-    def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        model = self.model
-        split = [words_of(t) for t in texts]
-        if not model.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        sums = np.array([self._sum(words) for words in split]).reshape(len(texts), -1)
-        top = sums.max(axis=1, keepdims=True)
-        share = np.exp(sums - top)
-        share /= share.sum(axis=1, keepdims=True)
-        best = sums.argmax(axis=1)
-        lettered = np.array([any(map(str.isalpha, "".join(words))) for words in split], dtype=bool)
-        names = [model.languages[b] if has else UNKNOWN for b, has in zip(best, lettered)]
-        return names, np.where(lettered, share[np.arange(len(texts)), best], 0.0)
-
-    def _sum(self, words: list[str]) -> np.ndarray:
-        if len(self.places) + len(words) > REMEMBERED_WORDS:
-            self.places.clear()
-        if len(words) > REMEMBERED_WORDS:
-            half = len(words) // 2
-            return self._sum(words[:half]) + self._sum(words[half:])
-        get, places = self.places.get, list(map(self.places.get, words))
-        # Most texts have only words that were met before; then there is nothing to look at one by one.
-        for i, place in enumerate(places) if None in places else ():
-            if place is None:
-                place = get(words[i])
-                if place is None:
-                    place = self.places[words[i]] = len(self.places)
-                    self.scores[place] = self.model.word_scores(words[i])
-                places[i] = place
-        return self.scores[places].sum(axis=0) if places else np.zeros(self.scores.shape[1])
+        return LanguageModel([], None, None, {}, np.zeros((0, 0), dtype=np.int64), work)
+    words = work.store(_by_language(counts, mass).select("word", "total", _votes(F.col("logs")).alias("votes")), "votes")
+    grams = work.store(_by_language(count_grams(counts), mass).select(F.col("word").alias("gram"), _steps(F.col("logs")).alias("logs")), "grams")
+    top = words.orderBy(F.desc("total"), "word").limit(common).select("word", "votes").toArrow().combine_chunks()
+    votes = top.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False) if top.num_rows else np.zeros(0, dtype=np.int64)
+    places = {w: i for i, w in enumerate(top.column(0).to_pylist())}
+    return LanguageModel(list(mass), words.drop("total"), grams, places, votes.reshape(-1, len(mass)), work)
+
+
+def score_words(words: DataFrame, model: LanguageModel) -> DataFrame:
+    """word, votes of distinct words: by the table of words, and by the n-grams where a word is not in it."""
+    looked_up = words.join(model.words, "word", "left")
+    known = looked_up.where(F.col("votes").isNotNull())
+
+    def step(batches):
+        for batch in batches:
+            found = [
+                (word, order, gram, n) for word in batch.column(0).to_pylist() for order in ORDERS
+                for gram, n in Counter(grams_of(word, order)).items()
+            ]
+            yield dict(zip(("word", "order", "gram", "n"), map(list, zip(*found)))) if found else {"word": [], "order": [], "gram": [], "n": []}
+
+    new = looked_up.where(F.col("votes").isNull()).select("word")
+    pieces = map_arrow(new, step, "word string, order int, gram string, n long")
+    every = range(len(model.languages))
+    sums = pieces.join(model.grams, "gram").groupBy("word", "order").agg(
+        F.sum("n").alias("n"), F.array(*[F.sum(F.col("n") * F.col("logs")[i]) for i in every]).alias("sums")
+    )
+    longest = sums.groupBy("word").agg(F.max_by(F.struct("n", "sums"), "order").alias("best"))
+    mean = longest.select("word", F.transform("best.sums", lambda x: x * _STEP / F.col("best.n")).alias("logs"))
+    backed = new.join(mean.select("word", _votes(F.col("logs")).alias("votes")), "word", "left")
+    nothing = F.array(*[F.lit(0).cast("long") for _ in every])
+    return known.unionByName(backed.withColumn("votes", F.coalesce("votes", nothing)))
+
+
+def _common_votes(texts: list[str], places: dict[str, int], votes: np.ndarray):
+    """Of each text the sum of its common words' votes, its other words, how often each occurs, and whether it has letters."""
+    for text in texts:
+        words = words_of(text)
+        rows = list(map(places.get, words))
+        others = Counter()
+        if None in rows:
+            others = Counter(w for w, row in zip(words, rows) if row is None)
+            rows = [row for row in rows if row is not None]
+        sums = votes[rows].sum(axis=0) if rows else np.zeros(votes.shape[1], dtype=np.int64)
+        yield sums.tolist(), list(others), list(others.values()), any(any(map(str.isalpha, w)) for w in words)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), without its text unless ``keep_text``; equal names give way.
 
     Only the text is looked at. A NULL text and a text without letters are ``und`` with score 0; repeated rows are scored
-    each; ties go to the first language in alphabetical order. Documents are mapped, not shuffled.
+    each; ties go to the first language in alphabetical order. Texts are read once; what is shuffled are the words that are
+    not common, one row per document and word.
     """
     others = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
-    shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
-    shape += f"`{text}` string, " if keep_text else ""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [*others, text] if keep_text else others
+    if not model.languages:
+        return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    names = [f"c{i}" for i in range(len(kept))]
+    shape = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for n, c in zip(names, kept))
+    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.common_votes))
 
     def step(batches):
-        scorer = _Scorer(shared.value)
         for batch in batches:
-            texts = batch.column(len(others))
-            names, scores = scorer([t or "" for t in texts.to_pylist()])
+            found = list(_common_votes([t or "" for t in batch.column(len(others)).to_pylist()], *shared.value))
             yield {
-                **{c: batch.column(i) for i, c in enumerate(others)}, **({text: texts} if keep_text else {}),
-                "lang_pred": names, "score": scores,
+                **{n: batch.column(i) for i, n in enumerate(names)}, "row": batch.column(len(others) + 1),
+                **{n: [f[i] for f in found] for i, n in enumerate(("sums", "rest", "times", "lettered"))},
             }
 
-    return map_arrow(docs.select(*others, text), step, f"{shape}lang_pred string, score double")
+    rows = docs.select(*[F.col(f"`{c}`") for c in (*others, text)], F.monotonically_increasing_id().alias("_row_of_text"))
+    marked = model.work.store(
+        map_arrow(rows, step, f"{shape}row long, sums array<long>, rest array<string>, times array<long>, lettered boolean"), "marked"
+    )
+    rest = marked.where(F.size("rest") > 0).select("row", F.inline(F.arrays_zip(F.col("rest").alias("word"), F.col("times").alias("n"))))
+    rest = rest.toDF("row", "word", "n")
+    scored = model.work.store(score_words(rest.select("word").distinct(), model), "scored")
+    every = range(len(model.languages))
+    added = rest.join(scored, "word").groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.col("votes")[i]) for i in every]).alias("added"))
+    total = F.when(F.col("added").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "added", lambda a, b: a + b))
+    judged = marked.drop("rest", "times").join(added, "row", "left").withColumn("total", total).withColumn("top", F.array_max("total"))
+    best = F.get(F.array(*map(F.lit, model.languages)), (F.array_position("total", F.col("top")) - 1).cast("int"))
+    share = 1 / F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp((x - F.col("top")) * _STEP))
+    return judged.select(
+        *[F.col(n).alias(c) for n, c in zip(names, kept)],
+        F.when(F.col("lettered"), best).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("lettered"), share).otherwise(0.0).alias("score"),
+    )

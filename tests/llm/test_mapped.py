@@ -94,6 +94,31 @@ def test_language_odd_rows(spark, work):
     assert language.identify(odd.limit(0), empty).count() == 0
 
 
+def test_language_of_rare_words_beside_a_large_language(spark, work):
+    """70,000 words of one language, each twice, and 3,000 of another, each once, all of the same letters."""
+    def word(n, salt):
+        return F.substring(F.translate(F.md5(F.concat(n.cast("string"), F.lit(salt))), "0123456789", "ghijklmnop"), 1, 6)
+
+    large = spark.range(70_000).select(F.concat_ws(" ", word(F.col("id"), "l"), word(F.col("id"), "l")).alias("text"), F.lit("large").alias("lang"))
+    small = spark.range(1_000).select(
+        F.concat_ws(" ", *[word(F.col("id") * 3 + i, "s") for i in range(3)]).alias("text"), F.lit("small").alias("lang")
+    )
+    both = large.unionByName(small)
+    single = both.select(F.explode(F.split("text", " ")).alias("text"), "lang")
+    found = language.identify(single, language.fit_languages(both, work)).groupBy("lang").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")
+    )
+    assert all(r.right > 0.98 for r in found.collect()) and found.count() == 2
+
+
+def test_language_does_not_depend_on_the_words_held(spark, work):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    train, test = docs.where("doc_id % 4 > 0"), docs.where("doc_id % 4 = 0")
+    few, many = (language.identify(test, language.fit_languages(train, work, common=n), keep_text=True) for n in (20, 60_000))
+    assert few.columns == [*[c for c in docs.columns if c != "text"], "text", "lang_pred", "score"]
+    assert few.exceptAll(many).isEmpty() and few.count() == many.count() == test.count()
+
+
 # Toxicity
 
 
