@@ -680,7 +680,7 @@ def model_chain(spark, sf_dir):
     )
     numeric = work.store(frame.coerce_numeric(matrix, ["account_guid"]), "numeric")
     features = frame.feature_names(numeric, ["account_guid", "churn"])
-    chosen = boruta_select(numeric, features, max_rounds=6, trees=30)
+    chosen = boruta_select(numeric, features, trees=30)
     names_path, model_path = work.new_path("names"), work.new_path("model")
     write_names(spark, chosen.accepted + chosen.tentative or features, names_path)
     rows = frame.model_frame(frame.hash_split(numeric, "account_guid", seed=7), read_names(spark, names_path), keep=["split"])

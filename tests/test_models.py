@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import inspect
+
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 import pytest
 
+from staykit.catalog import queries
 from staykit.models import forests, frame
 from staykit.models.boruta import _blocks, binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
 from staykit.sources.tables import read_names, write_names
@@ -47,6 +50,21 @@ def test_boruta_keeps_signal_and_drops_noise(planted, spark, tmp_path):
     assert read_names(spark, str(tmp_path / "keep")) == ["churn", *chosen.accepted]
 
 
+def test_model_chain_has_rounds_enough_to_decide(planted, monkeypatch, spark):
+    """With all hits or none the selection's test passes for the least favoured of several features."""
+    def caught(*args, **named):
+        call = inspect.signature(boruta_select).bind(*args, **named)
+        call.apply_defaults()
+        raise StopIteration(call.arguments["max_rounds"], len(call.arguments["features"]))
+
+    monkeypatch.setattr(queries, "training_matrix", lambda *_, **__: planted)
+    monkeypatch.setattr(queries, "boruta_select", caught)
+    with pytest.raises(StopIteration) as stopped:
+        queries.model_chain(spark, "/root/testdata/sf0.001")
+    rounds, features = stopped.value.args
+    assert binomial_tail(rounds, rounds) <= 0.05 / max(rounds, features)
+
+
 def test_shadows_hold_the_same_values_in_another_order(spark):
     rows = spark.range(500).select(F.col("id").cast("double").alias("label"), F.array(*[(F.col("id") * k).cast("double") for k in (1, 2)]).alias("values")).coalesce(1)
     both = with_shadows(rows, 2, [0, 1], [0, 1], 5).collect()
