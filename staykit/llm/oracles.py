@@ -77,7 +77,65 @@ FROM v LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING
  LEFT JOIN (SELECT a AS vec_id, min(b) AS m FROM reach GROUP BY a) USING (vec_id)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes, four bits at a time: the low half of each byte, then the high one."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    digits = f"hex(encode({text}))"
+    halves = (f"list_transform(range(1, length({digits}) + 1), lambda i: CAST(instr('0123456789ABCDEF', "
+              f"substr({digits}, CAST(i + CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END AS BIGINT), 1)) - 1 AS BIGINT))")
+    step = f"lambda c, d: xor(c >> 4, list_extract(CAST({table} AS BIGINT[]), (xor(c, d) & 15) + 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {halves}), {step}), 4294967295)"
+
+
+_SPELLING = rf"""
+WITH RECURSIVE t AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]+')) AS run
+ FROM documents WHERE text IS NOT NULL),
+r AS (SELECT name, run, count(*) AS n FROM t WHERE length(run) >= 6 GROUP BY ALL),
+h AS (SELECT run, n, {_crc32("name || ':' || run")} AS h FROM r),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+  THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+ WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+pair AS (
+ SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+ UNION SELECT c.word, w.word, w.n FROM cut c JOIN w ON w.word = c.head || c.tail
+ UNION SELECT w.word, c.word, c.n FROM cut c JOIN w ON w.word = c.head || c.tail),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near,
+  row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place FROM pair),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+  CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n FROM w LEFT JOIN best ON best.word = w.word AND place = 1),
+chase(word, spot) AS (SELECT word, word FROM f UNION ALL SELECT chase.word, f.form FROM chase JOIN f ON f.word = chase.spot WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, f.n, f.n_near, f.form_n, chase.spot AS root
+FROM f JOIN chase USING (word) JOIN f AS e ON e.word = chase.spot WHERE e.form IS NULL
+"""
+
+_RESAMPLING = rf"""
+WITH texts AS (SELECT doc_id AS id, true AS doc, text FROM documents UNION ALL SELECT NULL, false, text FROM benchmark),
+x AS (SELECT row_number() OVER () AS row, id, doc, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+grams AS (
+ SELECT row, doc, unnest(words) AS gram FROM x
+ UNION ALL SELECT row, doc, words[i] || ' ' || words[i + 1] FROM x, unnest(range(1, len(words))) AS u(i)),
+bucket AS (SELECT gram, {_crc32("gram")} % 10000 AS bucket FROM (SELECT DISTINCT gram FROM grams)),
+g AS (SELECT row, doc, bucket FROM grams JOIN bucket USING (gram)),
+total AS (SELECT count(*) FILTER (doc) AS s, count(*) FILTER (NOT doc) AS t FROM g),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(count(*) FILTER (NOT doc) + 1 AS DOUBLE) * (any_value(s) + 10000)
+  / (CAST(count(*) FILTER (doc) + 1 AS DOUBLE) * (any_value(t) + 10000)))) AS BIGINT) AS gain FROM g, (SELECT s, t FROM total) GROUP BY bucket),
+d AS (SELECT row, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM g JOIN gain USING (bucket) WHERE doc GROUP BY row),
+sc AS (SELECT id, len(words) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  CAST('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM x LEFT JOIN d USING (row) WHERE doc),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM sc),
+z AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, id) AS place, count(*) FILTER (able) OVER () AS n FROM y)
+SELECT id AS doc_id, n_features, weight, score, CASE WHEN able AND place <= 25 * n // 100 THEN place END AS rank FROM z
+"""
+
 ORACLES = {
     "op1_near_vectors": _VECTORS,
     "op4_jaccard_join": _JACCARD, "op7_chat_format": _CHAT, "op8_decontaminate": _DECONTAMINATE, "op10_url_filter": _URLS,
+    "op11_spelling": _SPELLING, "op12_resampling": _RESAMPLING,
 }

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staykit.llm import chat, decontaminate, embeddings, jaccard, language, mixing, quality, tokens, toxicity, urls
+from staykit.llm import (
+    chat, decontaminate, embeddings, jaccard, language, mixing, packing, quality, resampling, spelling, tokens, toxicity, urls,
+)
 from staykit.sources.tables import Workspace
 
 QUERIES = {}
@@ -142,6 +144,29 @@ def op6_quality(spark, sf_dir):
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_spelling(spark, sf_dir):
+    """Words one edit apart, by variable-length grams, and the form each goes back to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = spelling.group_spellings(docs, Workspace(spark), least_length=6, least_count=5, ratio=5, one_in=199)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_resampling(spark, sf_dir):
+    """A quarter of the documents of 20 words, drawn towards the words and word pairs of the benchmark."""
+    docs, benchmark = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    drawn = resampling.resample(docs, benchmark, Workspace(spark), percent=25, longest=2, buckets=10_000, least_words=20, seed=7)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_packing(spark, sf_dir):
+    """Documents in windows of 256 to 2,048 tokens, longest tier first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary_path(), Workspace(spark), tiers=(256, 512, 1024, 2048), end_id=1)
+
+
 @query
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline."""
