@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from staykit.functions.keys import AccountCipher, Operator
-from staykit.operators.assemble import feature_matrix, one_per_account, union_features
+from staykit.operators.assemble import KEY, feature_matrix, one_per_account, union_features
 from staykit.operators.calls import call_profile
 from staykit.operators.changes import change_profile
 from staykit.operators.population import (
@@ -103,11 +103,11 @@ def viewing_features(
 
 
 def _tables(from_sessions, others: dict[str, DataFrame], layers: Workspace | None) -> dict[str, DataFrame]:
-    """The per-account tables, written to the workspace if there is one. Those that do not read sessions are built while
-    the sessions are being windowed."""
+    """The per-account tables, written to the workspace if there is one, clustered by account, so that they are joined
+    where they lie. Those that do not read sessions are built while the sessions are being windowed."""
     if layers is None:
         return {**from_sessions(), **others}
-    jobs = [lambda: layers.store_all(from_sessions()), lambda: layers.store_all(others)]
+    jobs = [lambda: layers.store_all_clustered(from_sessions(), KEY), lambda: layers.store_all_clustered(others, KEY)]
     first, second = together(layers.spark, jobs)
     return {**first, **second}
 
@@ -129,8 +129,8 @@ def training_matrix(
     Search features cover the ``days`` before ``as_of``. ``week_number`` adds a constant column of that name.
 
     With ``layers`` the sessions in their label windows, which every session feature reads, and each per-account table
-    are written to that workspace, which the caller clears when the matrix has been read; without it everything stays one
-    lazy plan.
+    (clustered by account) are written to that workspace, which the caller clears when the matrix has been read; without it
+    everything stays one lazy plan.
     """
     labels = label_windows(inputs.labels, as_of, days)
     identity = inputs.active(labels=labels)
@@ -149,6 +149,7 @@ def training_matrix(
         }
 
     others = {
+        "spine": labels.select("account_guid", "churn"),
         "calls": inputs.call_profile(labels=labels, legacy=legacy),
         "changes": change_profile(changes, as_of, legacy),
         "promo": inputs.promo(since=promo_since, legacy=legacy),
@@ -156,7 +157,7 @@ def training_matrix(
     }
     others |= _search(inputs, F.date_sub(as_date(as_of), days), as_of)
     tables = _tables(from_sessions, others, layers)
-    return feature_matrix(labels.select("account_guid", "churn"), **tables, week_number=week_number, legacy=legacy)
+    return feature_matrix(**tables, week_number=week_number, legacy=legacy)
 
 
 def scoring_matrix(

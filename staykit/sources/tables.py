@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from threading import Lock
 import uuid
 
 from pyspark import inheritable_thread_target
@@ -14,8 +15,12 @@ from staykit.functions.timeparts import as_date
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A catalog table, or a Parquet path when the name holds a slash."""
-    return spark.read.parquet(name) if "/" in name else spark.table(name)
+    """A catalog table, or a Parquet path when the name holds a slash. A path whose rebuild was cut short between its two
+    renames is put back first."""
+    if "/" not in name:
+        return spark.table(name)
+    recover_path(spark, name)
+    return spark.read.parquet(name)
 
 
 def on_date(table: DataFrame, column: str, day: date | str) -> DataFrame:
@@ -28,12 +33,108 @@ def since_date(table: DataFrame, column: str, day: date | str) -> DataFrame:
     return table.where(F.col(column) >= as_date(day))
 
 
+_ASIDE, _OLD = ".new-", ".old-"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, place = _file_system(spark, old)
+    if not fs.rename(place, _file_system(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def recover_path(spark: SparkSession, path: str) -> None:
+    """Puts the older folder back where a rebuild ended between moving it away and moving the new one in."""
+    path = path.rstrip("/")
+    if _exists(spark, path):
+        return
+    fs, pattern = _file_system(spark, f"{path}{_OLD}*")
+    kept = fs.globStatus(pattern) or []
+    if kept:
+        newest = max(kept, key=lambda status: status.getModificationTime())
+        _rename(spark, newest.getPath().toString(), path)
+
+
 def rebuild_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
-    """Replaces a catalog table or, for a name with a slash, a Parquet folder."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(name) if "/" in name else writer.saveAsTable(name)
+    """Replaces a catalog table or, for a name with a slash, a Parquet folder.
+
+    The rows are written aside and swapped in by renames once all of them are there, so a job that fails leaves the older
+    table as it was, and ``df`` may read the table that it replaces. A rebuild that is cut short between the two renames
+    is mended by the next ``read_table`` or ``rebuild_table``.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    if "/" not in name:
+        _rebuild_catalog_table(spark, writer, name, mark)
+        return
+    name = name.rstrip("/")
+    aside, old = f"{name}{_ASIDE}{mark}", f"{name}{_OLD}{mark}"
+    recover_path(spark, name)
+    try:
+        writer.parquet(aside)
+    except BaseException:
+        _remove(spark, aside)
+        raise
+    if _exists(spark, name):
+        _rename(spark, name, old)
+    _rename(spark, aside, name)
+    _remove(spark, old)
+    spark.catalog.refreshByPath(name)
+
+
+def _rebuild_catalog_table(spark: SparkSession, writer, name: str, mark: str) -> None:
+    aside, old = f"{name}_new_{mark}", f"{name}_old_{mark}"
+    try:
+        writer.saveAsTable(aside)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        raise
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def write_by_day(df: DataFrame, path: str, column: str = "activity_date") -> None:
+    """A Parquet folder with one partition per day, replacing what is there (``rebuild_table``).
+
+    Rows are gathered by day before they are written, so a day has few files; adaptive execution splits a large day over
+    several tasks.
+    """
+    rebuild_table(df.hint("rebalance", column), path, partition_by=column)
+
+
+def replace_days(df: DataFrame, path: str, days: list[date | str], column: str = "activity_date") -> None:
+    """Replaces the partitions of ``days`` in a folder of ``write_by_day`` by the rows of ``df``; other days stay untouched.
+
+    A row of any other day is an error and leaves everything as it was: partitions are moved in when the job commits. A day
+    without rows is emptied. NULL days cannot be replaced.
+    """
+    spark, wanted = df.sparkSession, sorted({d if isinstance(d, date) else date.fromisoformat(d) for d in days})
+    off = F.raise_error(F.concat(F.lit("a row of a day that is not replaced: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))
+    inside = F.coalesce(F.col(column).isin(wanted), F.lit(False))
+    checked = df.withColumn(column, F.when(inside, F.col(column)).otherwise(off.cast("date")))
+    writer = checked.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)
+    stored = {r[0] for r in df.select(column).distinct().collect()}  # no more than ``days``
+    for day in wanted:
+        if day not in stored:
+            _remove(spark, f"{path.rstrip('/')}/{column}={day.isoformat()}")
+    spark.catalog.refreshByPath(path)
 
 
 def run_sql(spark: SparkSession, text: str, parameters: dict | None = None, **tables: DataFrame) -> DataFrame:
@@ -70,21 +171,30 @@ def read_names(spark: SparkSession, path: str) -> list[str]:
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``, the checkpoint folder set on the
-    context, or else a folder in the warehouse, which executors and driver share as well."""
+    context, or else a folder in the warehouse, which executors and driver share as well. The default warehouse is a folder
+    of the driver's machine, so it only serves a session without other executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    if not alone and spark.sparkContext.getConf().get("spark.sql.warehouse.dir") is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 class Workspace:
     """A folder of its own below the shared work folder, for the tables that one job writes and reads again.
 
-    Reading back a written table ends the lineage, so a lost executor costs a re-read and not a recomputation. ``clear``
-    removes all of them, once nothing that was built on them will be read any more; a ``with`` block does so at its end.
+    Reading back a written table ends the lineage, so a lost executor costs a re-read and not a recomputation. ``drop``
+    removes one table, ``clear`` all of them, once nothing that was built on them will be read any more; a ``with`` block
+    clears at its end.
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.path = f"{work_folder(spark)}/staykit-{uuid.uuid4().hex}"
+        self.spark, self._name = spark, f"staykit-{uuid.uuid4().hex}"
+        self.path = f"{work_folder(spark)}/{self._name}"
+        self._database, self._made = self._name.replace("-", "_"), False
+        self._lock = Lock()
 
     def new_path(self, name: str = "table") -> str:
         return f"{self.path}/{name}-{uuid.uuid4().hex[:12]}"
@@ -100,9 +210,38 @@ class Workspace:
         jobs = [lambda df=df, name=name: self.store(df, name) for name, df in tables.items()]
         return dict(zip(tables, together(self.spark, jobs)))
 
+    def store_clustered(self, df: DataFrame, key: str, name: str = "table", buckets: int | None = None) -> DataFrame:
+        """Writes the rows bucketed and sorted by ``key`` and reads them back.
+
+        Tables with the same number of buckets (as many as shuffle partitions, unless given) are joined and aggregated by
+        the key where they lie, without another shuffle. Each bucket is one file, because the rows are shuffled to their
+        buckets before they are written. They are tables of a database of this workspace, whose files are in its folder.
+        """
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        with self._lock:
+            if not self._made:
+                self.spark.sql(f"CREATE DATABASE {self._database} LOCATION '{self.path}/clustered'")
+                self._made = True
+        table = f"{self._database}.{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+        return self.spark.table(table)
+
+    def store_all_clustered(self, tables: dict[str, DataFrame], key: str, buckets: int | None = None) -> dict[str, DataFrame]:
+        """``store_clustered`` for several tables side by side."""
+        jobs = [lambda df=df, name=name: self.store_clustered(df, key, name, buckets) for name, df in tables.items()]
+        return dict(zip(tables, together(self.spark, jobs)))
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Removes tables that ``store`` made; a table without rows stays until ``clear``."""
+        for folder in {file.rsplit("/", 1)[0] for df in tables for file in df.inputFiles()}:
+            if self._name in folder:
+                _remove(self.spark, folder)
+
     def clear(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if self._made:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self._database} CASCADE")
+            self._made = False
+        _remove(self.spark, self.path)
 
     def __enter__(self) -> Workspace:
         return self

@@ -6,7 +6,9 @@ import re
 
 from staykit.catalog.queries import Source
 from staykit.operators import changes as ch, quality as qu, viewing as vi
-from staykit.plans.matrices import quality_features as quality_plan, viewing_features as vi_plan
+from staykit.catalog import views as v
+from staykit.plans.matrices import quality_features as quality_plan, scoring_matrix, training_matrix, viewing_features as vi_plan
+from staykit.sources.tables import Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -57,3 +59,19 @@ def test_quality_reads_the_sessions_eight_times(spark):
     df.collect()
     text = plan(df).split("== Initial Plan ==")[0]
     assert scans(text) <= 8
+
+
+def test_links_of_the_matrices_do_not_shuffle(spark):
+    """The layers are clustered by account, so the chain of joins reads them where they lie."""
+    inputs, limit = Source(spark, SF_DIR).inputs(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with Workspace(spark) as work:
+            training = training_matrix(inputs, v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE, layers=work)
+            scoring = scoring_matrix(inputs, v.FIRST, v.AS_OF, v.PERIOD_DAYS, layers=work)
+            for matrix in (training, scoring):
+                rows = matrix.count()
+                text = plan(matrix)
+                assert rows and text.count("SortMergeJoin") >= 5 and "Exchange" not in text, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
