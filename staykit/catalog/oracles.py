@@ -519,6 +519,14 @@ def build() -> dict[str, str]:
             doubles=peer_doubles(grain))
     put("peer_by_channel_labelled", _peers("channel", "own_sessions", "label_sessions"), "own_sessions", "label_sessions",
         doubles=peer_doubles("channel"))
+    for name in ("account_quality_by_days", "account_quality_slid"):
+        put(name, _quality("windowed", _NORM), "windowed", doubles=[*QUALITY_DOUBLES, "weighted_mean_norm"])
+    put("account_quality_labelled_by_days", _quality("own_sessions"), "own_sessions", doubles=QUALITY_DOUBLES)
+    put("peer_by_channel_labelled_by_days", _peers("channel", "own_sessions", "label_sessions"), "own_sessions", "label_sessions",
+        doubles=peer_doubles("channel"))
+    for grain in _GRAINS:
+        put(f"peer_by_{grain}_by_days", _peers(grain), "windowed", doubles=peer_doubles(grain))
+    put("quality_features_by_days", "SELECT * FROM plain_quality", "plain_quality", doubles=QUALITY_ALL)
     put("quality_features", "SELECT * FROM plain_quality", "plain_quality", doubles=QUALITY_ALL)
     _add("minutes_q", f"SELECT * REPLACE ({listed}) FROM ({_quality('windowed_minutes')})", "windowed_minutes")
     for g in _GRAINS:
@@ -616,6 +624,11 @@ def build() -> dict[str, str]:
     put("model_chain", f"""SELECT CAST(churn AS DOUBLE) AS label, count(*) AS rows FROM labels WHERE {place} >= 0.9 GROUP BY churn""", "labels",
         doubles=["label"])
     put("rebuilt_table", "SELECT * FROM labels", "labels", dates=label_dates)
+    put("replaced_day", f"""SELECT call_date, days_since_install + CAST(call_date = DATE '{v.AS_OF}' AS INTEGER) AS days_since_install,
+ company_code, subaccount FROM calls WHERE call_date <> DATE '{v.FIRST}'""", "calls", dates=["call_date"])
+    sql["label_window_sessions_by_day"] = sql["label_window_sessions"]
+    put("sessions_of_active_by_day", _session_counts(f"""account_guid IN (SELECT account_guid FROM active)
+ AND activity_date BETWEEN DATE '{v.FIRST}' AND DATE '{v.AS_OF}'"""), "sessions", "active")
     put("parameter_query", f"SELECT operator, count(*) AS sessions FROM sessions_in WHERE activity_date = DATE '{v.AS_OF}' GROUP BY operator",
         "sessions_in")
     put("delimited_file", """SELECT account_guid AS account, CAST(churn AS VARCHAR) AS left_us, CAST(tv_stream_tenure AS VARCHAR) AS tenure

@@ -14,14 +14,15 @@ from staykit.functions.text import promo_pattern
 from staykit.functions.timeparts import epoch_ms
 from staykit.models import forests, frame
 from staykit.models.boruta import boruta_select
-from staykit.operators import changes as ch, population as pop, quality as qu, viewing as vi
+from staykit.operators import changes as ch, distinct, partials, population as pop, quality as qu, viewing as vi
 from staykit.operators.assemble import attach, one_per_account, union_features
 from staykit.operators.search import search_features as search_job
 from staykit.plans.matrices import (
     History, Inputs, quality_features as quality_plan, scoring_matrix, training_matrix, viewing_features as viewing_plan,
 )
 from staykit.sources.tables import (
-    Workspace, read_delimited, read_names, read_tsv, rebuild_table, run_sql, write_names, write_tsv,
+    Workspace, read_delimited, read_names, read_table, read_tsv, rebuild_table, replace_days, run_sql, write_by_day, write_names,
+    write_tsv,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,8 +178,11 @@ def labelled_sessions(spark, sf_dir):
 
 @query
 def label_window_sessions(spark, sf_dir):
-    source = Source(spark, sf_dir)
-    rows = pop.sessions_between(source.label_sessions, F.col("min_agg_date"), F.col("max_agg_date"))
+    return _label_window_counts(Source(spark, sf_dir).label_sessions)
+
+
+def _label_window_counts(label_sessions):
+    rows = pop.sessions_between(label_sessions, F.col("min_agg_date"), F.col("max_agg_date"))
     return rows.groupBy("account_guid", "churn", "min_agg_date", "max_agg_date").agg(
         F.count(F.lit(1)).alias("sessions"), F.min("activity_date").alias("first_date"),
         F.max("activity_date").alias("last_date"), F.sum("watch_time_ms").alias("watched"),
@@ -320,6 +324,86 @@ def peer_by_channel_labelled(spark, sf_dir):
     )
 
 
+# Quality from sums per account and day
+
+
+def _day_store(spark, sessions):
+    store = partials.DayStore(spark, Workspace(spark).new_path("days"))
+    store.build(sessions)
+    return store
+
+
+@query
+def account_quality_by_days(spark, sf_dir):
+    """From a store of all days, of which the window's partitions are read."""
+    days = _day_store(spark, Source(spark, sf_dir).sessions).between(v.FIRST, v.AS_OF)
+    return partials.account_quality_days(days["account"], normalised=True)
+
+
+@query
+def account_quality_slid(spark, sf_dir):
+    """The window of a day earlier, one day added and one taken off."""
+    work, accounts = Workspace(spark), _day_store(spark, Source(spark, sf_dir).sessions).tables()["account"]
+    earlier = {
+        "sums": (partials.account_sums, ["account_guid"]), "scores": (partials.account_scores, ["account_guid", "_score"]),
+    }
+    windows = {}
+    for name, (reduced, keys) in earlier.items():
+        before = work.store(reduced(pop.sessions_between(accounts, v.DAY_BEFORE_FIRST, v.DAY_BEFORE_LAST)), name)
+        entering = reduced(pop.sessions_between(accounts, v.AS_OF, v.AS_OF))
+        leaving = reduced(pop.sessions_between(accounts, v.DAY_BEFORE_FIRST, v.DAY_BEFORE_FIRST))
+        windows[name] = partials.moved(before, entering, leaving, keys)
+    return partials.account_quality_of(windows["sums"], windows["scores"], normalised=True)
+
+
+@query
+def account_quality_labelled_by_days(spark, sf_dir):
+    source = Source(spark, sf_dir)
+    days = _day_store(spark, source.sessions).in_label_windows(source.labels)["account"]
+    return partials.account_quality_days(pop.sessions_between(days, F.col("min_agg_date"), F.col("max_agg_date")))
+
+
+@query
+def peer_by_channel_labelled_by_days(spark, sf_dir):
+    source = Source(spark, sf_dir)
+    days = _day_store(spark, source.sessions).in_label_windows(source.labels)["channel"]
+    return partials.peer_compare_days(days, qu.BY_CHANNEL, F.col("activity_date") <= F.col("max_agg_date"))
+
+
+def _peers_by_days(spark, sf_dir, grain):
+    days = _day_store(spark, Source(spark, sf_dir).sessions).between(v.FIRST, v.AS_OF)
+    return partials.peer_compare_days(days[partials.TABLE_OF[grain]], grain)
+
+
+@query
+def peer_by_stream_by_days(spark, sf_dir):
+    return _peers_by_days(spark, sf_dir, qu.BY_STREAM)
+
+
+@query
+def peer_by_channel_by_days(spark, sf_dir):
+    return _peers_by_days(spark, sf_dir, qu.BY_CHANNEL)
+
+
+@query
+def peer_by_week_part_by_days(spark, sf_dir):
+    return _peers_by_days(spark, sf_dir, qu.BY_WEEK_PART)
+
+
+@query
+def peer_by_day_part_by_days(spark, sf_dir):
+    return _peers_by_days(spark, sf_dir, qu.BY_DAY_PART)
+
+
+@query
+def quality_features_by_days(spark, sf_dir):
+    """Own quality and all four peer comparisons; one day was replaced in the store after it was built."""
+    sessions = Source(spark, sf_dir).sessions
+    store = _day_store(spark, sessions.where(F.col("activity_date") != F.lit(v.AS_OF).cast("date")))
+    store.add_days(sessions, [v.AS_OF])
+    return partials.quality_features_days(store.between(v.FIRST, v.AS_OF))
+
+
 @query
 def quality_features(spark, sf_dir):
     return quality_plan(Source(spark, sf_dir).windowed)
@@ -376,7 +460,11 @@ def viewing_counts(spark, sf_dir):
 
 @query
 def viewing_distinct(spark, sf_dir):
-    return vi.viewing_distinct(Source(spark, sf_dir).windowed, v.PERIOD_DAYS)
+    """Counted as bitmaps over a dictionary of the sessions' values."""
+    windowed, work = Source(spark, sf_dir).windowed, Workspace(spark)
+    dictionary = distinct.Dictionary(spark, work.new_path("dictionary"))
+    dictionary.extend(windowed, ["activity_date", *vi.DISTINCTS], work)
+    return vi.viewing_distinct(windowed, v.PERIOD_DAYS, dictionary)
 
 
 @query
@@ -702,6 +790,36 @@ def rebuilt_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def replaced_day(spark, sf_dir):
+    """Calls by day, of which the last day is replaced by calls a day later after installing; a day without rows is emptied."""
+    path, calls = Workspace(spark).new_path("calls"), Source(spark, sf_dir).table("calls")
+    write_by_day(calls, path, "call_date")
+    late = calls.where(F.col("call_date") == F.lit(v.AS_OF).cast("date")).withColumn("days_since_install", F.col("days_since_install") + 1)
+    replace_days(late, path, [v.AS_OF, v.FIRST], "call_date")
+    return read_table(spark, path)
+
+
+@query
+def label_window_sessions_by_day(spark, sf_dir):
+    """Sessions that lie partitioned by day: the labels' window decides, at run time, which partitions are read."""
+    return _label_window_counts(pop.sessions_in_label_window(Source(spark, sf_dir).labels, _sessions_by_day(spark, sf_dir)))
+
+
+@query
+def sessions_of_active_by_day(spark, sf_dir):
+    """The scoring window on the same layout."""
+    source = Source(spark, sf_dir)
+    window = pop.sessions_between(_sessions_by_day(spark, sf_dir), v.FIRST, v.AS_OF)
+    return _session_counts(pop.sessions_of(window, source.inputs().active(as_of=v.AS_OF)))
+
+
+def _sessions_by_day(spark, sf_dir):
+    path = Workspace(spark).new_path("sessions")
+    write_by_day(Source(spark, sf_dir).sessions, path)
+    return read_table(spark, path)
+
+
 @query
 def parameter_query(spark, sf_dir):
     """A query text with a parameter for the day."""

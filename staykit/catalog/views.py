@@ -14,6 +14,8 @@ SPARK = {"<epoch>": "timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01', CAST(ts A
 DUCKDB = {"<epoch>": "CAST(floor(epoch(ts)) AS BIGINT)", "<array>": "list_value"}
 
 AS_OF, FIRST, LABEL_DAYS = "2024-01-25", "2024-01-11", 14
+# The window of a day earlier.
+DAY_BEFORE_FIRST, DAY_BEFORE_LAST = "2024-01-10", "2024-01-24"
 PERIOD_DAYS = 15
 PROMO_SINCE = "2024-01-05"
 FIRST_CHANGE = "2023-11-01"

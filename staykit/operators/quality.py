@@ -81,7 +81,7 @@ def with_day_and_week_part(
     return sessions.withColumns({"day_part": day_part(F.hour(when), bands), "week_part": week_part(when)})
 
 
-def _sums(score: Column) -> list[Column]:
+def score_sums(score: Column) -> list[Column]:
     """Counts and exact sums of score steps and of score steps x watch time."""
     watched = score * F.col(WATCHED)
     high, low = whole_parts(watched)
@@ -113,16 +113,27 @@ def peer_compare(
     fine = list(PARTS) if set(keys) <= set(PARTS) else keys
     score = fixed_point(F.col(SCORE), score_steps)
     mine = sessions if own is None else sessions.where(own)
-    accounts = mine.groupBy("account_guid", *fine).agg(*_sums(score)).groupBy("account_guid", *keys).agg(
+    accounts = mine.groupBy("account_guid", *fine).agg(*score_sums(score))
+    peers = sessions.groupBy(*fine, F.round(SCORE).cast("int").alias("_whole")).agg(
+        F.count(F.lit(1)).alias("_rows"), *score_sums(score)
+    )
+    return compare_groups(accounts, peers, grain, legacy, score_steps)
+
+
+def compare_groups(
+    accounts: DataFrame, peers: DataFrame, grain: Grain, legacy: bool = False, score_steps: int = SCORE_STEPS
+) -> DataFrame:
+    """``peer_compare`` from sums (``score_sums``) per account and group, and per group and whole score (``_whole``, with
+    ``_rows``). Groups are the grain's or, for grains made of ``PARTS``, all of them."""
+    keys = list(grain.keys)
+    accounts = accounts.groupBy("account_guid", *keys).agg(
         # The finer groups of one account and part differ by day.
         (F.lit(1) if DAY in keys else F.count(DAY)).alias("_days"),
         F.sum("_sum").alias("_own_sum"),
         ratio(F.sum("_sum"), F.sum("_n")).alias("_own_mean"),
         ratio(joined_parts(F.sum("_whigh"), F.sum("_wlow")), F.sum("_wn")).alias("_own_wmean"),
     )
-    peers = sessions.groupBy(*fine, F.round(SCORE).cast("int").alias("_whole")).agg(
-        F.count(F.lit(1)).alias("_rows"), *_sums(score)
-    ).groupBy(*keys).agg(
+    peers = peers.groupBy(*keys).agg(
         F.sum("_sum").alias("_peer_sum"),
         ratio(F.sum("_sum"), F.sum("_n")).alias("_peer_mean"),
         ratio(joined_parts(F.sum("_whigh"), F.sum("_wlow")), F.sum("_wn")).alias("_peer_wmean"),

@@ -8,6 +8,7 @@ from staykit.functions.numbers import count_where, ratio, share_where, sum_where
 from staykit.functions.text import finds, taller_than
 from staykit.functions.timeparts import epoch_ms, within
 from staykit.operators.changes import CHANGED
+from staykit.operators.distinct import Dictionary, distinct_counts
 
 # What makes a session sports, premium or HD, and the devices watch time is split by.
 SPORTS_GENRES = "football|basketball|baseball|soccer"
@@ -83,8 +84,15 @@ def count_columns() -> list[Column]:
     ]
 
 
-def viewing_distinct(sessions: DataFrame, period_days: int) -> DataFrame:
-    """Share of days active and the distinct channels, networks, categories and devices."""
+def viewing_distinct(sessions: DataFrame, period_days: int, dictionary: Dictionary | None = None) -> DataFrame:
+    """Share of days active and the distinct channels, networks, categories and devices.
+
+    With a ``dictionary`` of these columns (``DISTINCTS`` and the day) they are counted as bitmaps, in one pass; without,
+    each row is expanded once per counted column.
+    """
+    if dictionary:
+        counted = distinct_counts(sessions, ["account_guid"], {"activity_date": "_days", **DISTINCTS}, dictionary)
+        return counted.select("account_guid", (F.col("_days") / period_days).alias("dist_date_percent"), *DISTINCTS.values())
     return sessions.groupBy("account_guid").agg(
         (F.count_distinct("activity_date") / period_days).alias("dist_date_percent"),
         *[F.count_distinct(column).alias(name) for column, name in DISTINCTS.items()],
@@ -107,7 +115,7 @@ def viewing_counts(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("account_guid").agg(*count_columns())
 
 
-def viewing_profile(sessions: DataFrame, period_days: int) -> DataFrame:
+def viewing_profile(sessions: DataFrame, period_days: int, dictionary: Dictionary | None = None) -> DataFrame:
     """All 73 aggregates per account.
 
     Three aggregations over disjoint columns, joined where they already lie: the means alone keep 80 buffers, and more
@@ -116,7 +124,7 @@ def viewing_profile(sessions: DataFrame, period_days: int) -> DataFrame:
     """
     sums = sessions.groupBy("account_guid").agg(*flag_columns(), *device_columns(), *count_columns())
     return sums.join(viewing_means(sessions), "account_guid").join(
-        viewing_distinct(sessions, period_days), "account_guid"
+        viewing_distinct(sessions, period_days, dictionary), "account_guid"
     )
 
 
