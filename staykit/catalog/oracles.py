@@ -446,11 +446,45 @@ MATRIX_DOUBLES = QUALITY_ALL + VIEWING_ALL + ["avg_call_date"] + CHANGE_DOUBLES
 _add("sparse_a", f"SELECT account_guid, total_calls FROM ({_calls(f'call_date <= DATE {chr(39)}{v.AS_OF}{chr(39)}')})", "calls", "history")
 _add("sparse_b", "SELECT account_guid, channel_watch_time FROM plain_top", "plain_top")
 _add("sparse_c", "SELECT account_guid, count(total_price) AS total_price_changes FROM changes GROUP BY account_guid", "changes")
-_add("train_now_calls", _calls("call_date < l.max_agg_date", labels=True), "calls", "history", "labels")
-_add("promo_since", _promo(_SINCE), "accounts")
-_LINKS = ("identity", "plain_q", "plain_profile", "train_now_calls", "train_changes", "promo_since")
-_LINK_COLUMNS = """f.account_guid, churn, g.operator, g.billing_id, active_day_cnt, sum_linear, total_calls, internet_package_changes,
- count_zip_code_changes"""
+
+# The literal matrices: watch time in minutes, literal day parts, each table joined to the one before it.
+
+
+def _literal(prefix: str, own: str, everyone: str, period: int, calls: str, labels: bool, promo: str) -> tuple[str, ...]:
+    """Registers the tables of one literal matrix; their names in the order of the joins."""
+    listed = ", ".join(f"'[' || CAST(CAST({c} AS DECIMAL(12, 2)) AS VARCHAR) || ']' AS {c}" for c in QUALITY_DOUBLES[-2:])
+    _add(f"{prefix}_q", f"SELECT * REPLACE ({listed}) FROM ({_quality(own)})", own)
+    for g in _GRAINS:
+        _add(f"{prefix}_{g}", _peers(g, own, everyone, legacy=True), own, everyone)
+    quality = tuple(f"{prefix}_{t}" for t in ("stream", "q", "channel", "week_part", "day_part"))
+    _add(f"{prefix}_quality", _chained(quality), *quality)
+    for table, text in (("profile", _profile(own, period)), ("top", _top_channel(own)), ("std", _variability(own))):
+        _add(f"{prefix}_{table}", text, own)
+    viewing = tuple(f"{prefix}_{t}" for t in ("profile", "top", "std"))
+    _add(f"{prefix}_viewing", f"SELECT *, CAST(NULL AS INTEGER) AS never_logged_in FROM ({_chained(viewing)})", *viewing)
+    _add(f"{prefix}_calls", _calls(calls, legacy=True, labels=labels), "calls", "history", "labels")
+    _add(f"{prefix}_changes", _CHANGE_LEGACY, "changes")
+    _add(f"{prefix}_promo", f"SELECT * EXCLUDE (account_number, operator) FROM ({_promo_legacy(promo)})", "accounts", "history")
+    return (f"{prefix}_quality", f"{prefix}_viewing", "search", f"{prefix}_calls", f"{prefix}_changes", f"{prefix}_promo")
+
+
+def _left_chain(names) -> str:
+    """Each table left-joined on the key of the one before it."""
+    joins = " ".join(f"LEFT JOIN {n} ON {names[i]}.account_guid = {n}.account_guid" for i, n in enumerate(names[1:]))
+    columns = ", ".join([f"{names[0]}.*", *[f"{n}.* EXCLUDE (account_guid)" for n in names[1:]]])
+    return f"SELECT {columns} FROM {names[0]} {joins}"
+
+
+_add("minutes", f"SELECT * REPLACE (CAST(floor(watch_time_ms / 60000) AS BIGINT) AS watch_time_ms, {_day_part(True)}) FROM sessions", "sessions")
+_add("literal_label_sessions", """SELECT s.*, l.churn, l.min_agg_date, l.max_agg_date FROM labels l JOIN minutes s ON l.account_guid = s.account_guid
+ WHERE s.activity_date >= l.min_agg_date""", "labels", "minutes")
+_add("literal_own", "SELECT * FROM literal_label_sessions WHERE activity_date <= max_agg_date", "literal_label_sessions")
+_add("spine", "SELECT account_guid, churn FROM labels", "labels")
+_add("active_labelled", "SELECT * FROM active_ever WHERE account_guid IN (SELECT account_guid FROM labels)", "active_ever", "labels")
+LITERAL_TRAINING = ("spine", "active_labelled", *_literal(
+    "lt", "literal_own", "literal_label_sessions", 60, "call_date < CAST(nullif(churn_date, '') AS DATE)", True, _SINCE))
+LITERAL_SCORING = ("active", *_literal(
+    "ls", "minutes_literal", "minutes_literal", v.PERIOD_DAYS, f"call_date <= DATE '{v.AS_OF}'", False, _SNAPSHOT))
 
 _add(
     "model_input",
@@ -580,13 +614,9 @@ def build() -> dict[str, str]:
     score = ["score_quality", "score_viewing", "search", "score_calls", "score_changes", "score_promo"]
     put("scoring_feature_matrix", _left("identity_now", score), "identity_now", *score, doubles=MATRIX_DOUBLES + SEARCH_DOUBLES,
         dates=COUNT_DATES)
-    aliases = ("g", "a", "b", "c", "d", "e")
-    spine = " ".join(f"LEFT JOIN {t} {x} ON f.account_guid = {x}.account_guid" for t, x in zip(_LINKS, aliases))
-    chain = " ".join(
-        f"LEFT JOIN {t} {x} ON {p}.account_guid = {x}.account_guid" for t, x, p in zip(_LINKS, aliases, ("f", *aliases))
-    )
-    put("feature_matrix_links", f"SELECT {_LINK_COLUMNS} FROM labels f {spine}", "labels", *_LINKS)
-    put("feature_matrix_legacy", f"SELECT {_LINK_COLUMNS} FROM labels f {chain}", "labels", *_LINKS)
+    literal = [d for d in MATRIX_DOUBLES if d not in QUALITY_DOUBLES[-2:]] + SEARCH_DOUBLES
+    put("feature_matrix_legacy", _left_chain(LITERAL_TRAINING), *LITERAL_TRAINING, doubles=literal, dates=COUNT_DATES)
+    put("scoring_feature_matrix_legacy", _left_chain(LITERAL_SCORING), *LITERAL_SCORING, doubles=literal, dates=COUNT_DATES)
     put("tsv_export", f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({_promo(_SINCE)})", "accounts")
 
     put("numeric_coerce", _numeric_sql, "model_input", doubles=_NUMERIC)

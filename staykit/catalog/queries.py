@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +16,7 @@ from staykit.functions.timeparts import epoch_ms
 from staykit.models import forests, frame
 from staykit.models.boruta import boruta_select
 from staykit.operators import changes as ch, distinct, partials, population as pop, quality as qu, viewing as vi
-from staykit.operators.assemble import attach, one_per_account, union_features
+from staykit.operators.assemble import union_features
 from staykit.operators.search import search_features as search_job
 from staykit.plans.matrices import (
     History, Inputs, quality_features as quality_plan, scoring_matrix, training_matrix, viewing_features as viewing_plan,
@@ -604,32 +605,31 @@ def scoring_feature_matrix(spark, sf_dir):
     )
 
 
-def _matrix_links(spark, sf_dir, legacy):
-    """The chain of left joins on a few features of each table."""
+def _in_minutes(spark, sf_dir):
+    """Inputs of the literal matrices, with watch time in minutes (see ``windowed_minutes``)."""
     source = Source(spark, sf_dir)
-    sessions, inputs = source.windowed, source.inputs()
-    return attach(
-        source.labels.select("account_guid", "churn"),
-        [
-            one_per_account(inputs.active(labels=source.labels)).select("account_guid", "operator", "billing_id"),
-            qu.account_quality(sessions).select("account_guid", "active_day_cnt"),
-            vi.viewing_counts(sessions).select("account_guid", "sum_linear"),
-            inputs.call_profile(labels=source.labels).select("account_guid", "total_calls"),
-            ch.change_counts(source.changes).select("account_guid", "internet_package_changes"),
-            inputs.promo(since=v.PROMO_SINCE).select("account_guid", "count_zip_code_changes"),
-        ],
-        legacy,
-    )
+    inputs = source.inputs(legacy=True)
+    return source, replace(inputs, sessions=inputs.sessions.withColumn("watch_time_ms", v.in_minutes()))
 
 
 @query
-def feature_matrix_links(spark, sf_dir):
-    return _matrix_links(spark, sf_dir, False)
+def feature_matrix_legacy(spark, sf_dir):
+    """The literal training matrix, with all of its columns."""
+    _, inputs = _in_minutes(spark, sf_dir)
+    matrix = training_matrix(
+        inputs, v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE, layers=Workspace(spark), legacy=True
+    )
+    return _logged(_arrays_shown(matrix))
 
 
 @query
-def feature_matrix_legacy(spark, sf_dir):
-    return _matrix_links(spark, sf_dir, True)
+def scoring_feature_matrix_legacy(spark, sf_dir):
+    """The literal scoring matrix, with all of its columns."""
+    source, inputs = _in_minutes(spark, sf_dir)
+    matrix = scoring_matrix(
+        inputs, v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.training_labels, layers=Workspace(spark), legacy=True
+    )
+    return _logged(_arrays_shown(matrix))
 
 
 @query
