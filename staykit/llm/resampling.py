@@ -212,12 +212,10 @@ def bucket_gains(source: DataFrame, target: DataFrame, buckets: int = BUCKETS) -
     every = source.sparkSession.range(buckets).withColumnRenamed("id", "bucket")
     both = every.join(source.withColumnRenamed("n", "s"), "bucket", "left").join(target.withColumnRenamed("n", "t"), "bucket", "left")
     both = both.fillna(0, ["s", "t"])
-    total = both.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    smooth = lambda c: (F.col(c) + 1).cast("double")
-    wide = lambda c: (F.col(c) + buckets).cast("double")
-    ratio = smooth("t") * wide("all_s") / (smooth("s") * wide("all_t"))
-    # One row of totals.
-    return both.crossJoin(F.broadcast(total)).select("bucket", F.floor(1000 * F.log(ratio)).alias("gain"))
+    all_s, all_t = (table.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar() for table in (source, target))
+    top = (F.col("t") + 1).cast("double") * (all_s + buckets)
+    bottom = (F.col("s") + 1).cast("double") * (all_t + buckets)
+    return both.select("bucket", F.floor(1000 * F.log(top / bottom)).alias("gain"))
 
 
 def weigh(docs: DataFrame, gains: DataFrame, longest: int = 2, buckets: int = BUCKETS, key: str = "doc_id", text: str = "text") -> DataFrame:
