@@ -497,6 +497,21 @@ _NUMERIC = ["churn", "churn_date", "active_day_cnt", *QUALITY_DOUBLES]
 _numeric_sql = "SELECT account_guid, " + ", ".join(f"coalesce(try_cast({c} AS DOUBLE), 0) AS {c}" for c in _NUMERIC) + " FROM model_input"
 _add("numeric", _numeric_sql, "model_input")
 _PREDICTED = "SELECT churn, CAST(tv_stream_tenure < 10 AS INTEGER) AS prediction FROM labels"
+_SIGNAL = "CASE WHEN sum(CASE WHEN total_price = 1 THEN 1 ELSE 0 END) + count(internet_package) > 10 THEN 1 ELSE 0 END"
+_add("scored_labels", """SELECT churn, s, CAST(floor(s * 10000) AS INTEGER) AS bin FROM
+ (SELECT churn, CAST(3 * tv_stream_tenure + customer_tenure AS DOUBLE) / 176.0 AS s FROM labels)""", "labels")
+# Each score's bin against all rows, by joins instead of running sums.
+_add("cuts", """SELECT c.bin, count(*) AS said, count(*) FILTER (churn = 1) AS hit FROM (SELECT DISTINCT bin FROM scored_labels) c
+ JOIN scored_labels r ON r.bin >= c.bin GROUP BY c.bin""", "scored_labels")
+_add("class_sizes", "SELECT count(*) AS n, count(*) FILTER (churn = 1) AS p FROM scored_labels", "scored_labels")
+_add("best_cut", """SELECT c.*, 2.0 * hit / (said + p) AS f1, n, p FROM cuts c, class_sizes ORDER BY f1 DESC, bin DESC LIMIT 1""", "cuts", "class_sizes")
+
+
+def _exact(seed: int, keys: str) -> str:
+    """Rows of a table of accounts with their part in an exact split."""
+    place = f"CAST('0x' || substr(md5('{seed}:' || account_guid), 1, 8) AS BIGINT)"
+    return f"""SELECT *, CASE WHEN rn <= round_even(0.8 * n, 0) THEN 'train' WHEN rn <= round_even(0.8 * n, 0) + round_even(0.1 * n, 0) THEN 'valid'
+ ELSE 'test' END AS split FROM (SELECT *, row_number() OVER (ORDER BY {place}, account_guid) AS rn, count(*) OVER () AS n FROM ({keys}))"""
 
 
 def _session_counts(condition: str) -> str:
@@ -640,19 +655,41 @@ def build() -> dict[str, str]:
     )
     put("correlations", pairs, "numeric", doubles=["correlation"])
     # Models: what SQL can tell of them.
-    place0 = place.replace("'7:'", "'0:'")
-    put("boruta_selection", "SELECT unnest(['internet_package_changes', 'total_price_adds']) AS feature, true AS accepted")
-    for name, points in (("forest_grid", 8), ("boosted_grid", 4)):
-        put(name, f"SELECT CAST(i AS INTEGER) AS place, true AS in_order, {points} AS points FROM range({points}) t(i)")
-    features = ("internet_package_changes", "video_package_changes", "other_package_adds", "total_price_adds", "total_price_drop",
-                "change_ratio", "noise")
-    put("forest_importance", f"SELECT unnest([{', '.join(repr(f) for f in features)}]) AS feature, true AS sensible, CAST(1.0 AS DOUBLE) AS total",
-        doubles=["total"])
-    put("boosted_fit", f"""SELECT CAST(signal AS DOUBLE) AS label, count(*) AS rows FROM (SELECT account_guid,
- CASE WHEN sum(CASE WHEN total_price = 1 THEN 1 ELSE 0 END) + count(internet_package) > 10 THEN 1 ELSE 0 END AS signal FROM changes
- GROUP BY account_guid) WHERE {place0} >= 0.8 AND {place0} < 0.9 GROUP BY signal""", "changes", doubles=["label"])
-    put("model_chain", f"""SELECT CAST(churn AS DOUBLE) AS label, count(*) AS rows FROM labels WHERE {place} >= 0.9 GROUP BY churn""", "labels",
-        doubles=["label"])
+    put("exact_split", f"SELECT account_guid, churn, split FROM ({_exact(7, 'SELECT account_guid, churn FROM labels')})", "labels")
+    put("threshold_performance", """SELECT (SELECT sum(CASE WHEN a.bin > b.bin THEN 1.0 WHEN a.bin = b.bin THEN 0.5 ELSE 0 END) / any_value(p * (n - p))
+  FROM scored_labels a, scored_labels b, class_sizes WHERE a.churn = 1 AND b.churn = 0) AS auc,
+ (SELECT avg(-ln(greatest(least(CASE WHEN churn = 1 THEN s ELSE 1 - s END, 1 - 1e-15), 1e-15))) FROM scored_labels) AS log_loss,
+ (SELECT avg((s - churn) * (s - churn)) FROM scored_labels) AS mse, bin / 10000.0::DOUBLE AS threshold, CAST(f1 AS DOUBLE) AS f1,
+ CAST(n - said - p + 2 * hit AS DOUBLE) / n AS accuracy, CAST(hit AS DOUBLE) / said AS precision, CAST(hit AS DOUBLE) / p AS recall,
+ hit AS tp, said - hit AS fp, p - hit AS fn, n - said - p + hit AS tn FROM best_cut""", "scored_labels", "class_sizes", "best_cut",
+        doubles=["auc", "log_loss", "mse", "threshold", "f1", "accuracy", "precision", "recall"])
+    put("gains_table", """SELECT CAST(i / 10.0 AS DOUBLE) AS share, bin / 10000.0::DOUBLE AS threshold, said AS rows, hit AS positives,
+ CAST(hit AS DOUBLE) / p AS capture, CAST(hit * n AS DOUBLE) / (said * p) AS lift FROM (SELECT i, max(bin) AS bin FROM range(1, 11) t(i), cuts, class_sizes
+ WHERE 10 * said >= i * n GROUP BY i) JOIN cuts USING (bin), class_sizes""", "cuts", "class_sizes", doubles=["share", "threshold", "capture", "lift"])
+    put("category_index", """SELECT h.zip_code, CAST(coalesce(i, 11) AS DOUBLE) AS zip, count(*) AS rows FROM history h LEFT JOIN
+ (SELECT zip_code, row_number() OVER (ORDER BY count(*) DESC, zip_code) - 1 AS i FROM history WHERE zip_code IS NOT NULL GROUP BY zip_code
+  QUALIFY i < 11) t ON h.zip_code = t.zip_code GROUP BY ALL""", "history", doubles=["zip"])
+    # Models: what a model must say if it has found the rule that the label was made by.
+    put("boruta_selection", """SELECT unnest(['internet_package_changes', 'total_price_adds', 'noise', 'noise_b']) AS feature,
+ unnest(['accepted', 'accepted', 'rejected', 'rejected']) AS decision""")
+    put("forest_grid", """SELECT CAST(unnest([0, 1]) AS INTEGER) AS place, CAST(unnest([6, 0]) AS INTEGER) AS maxDepth, true AS as_stated,
+ unnest([true, false]) AS found_rule""")
+    put("boosted_grid", """SELECT CAST(unnest([0, 1]) AS INTEGER) AS place, CAST(unnest([2, 0]) AS INTEGER) AS maxDepth, true AS as_stated,
+ unnest([true, false]) AS found_rule""")
+    put("boosted_grid_deep", "SELECT true AS found_rule, true AS stopped_inside FROM range(3)")
+    put("forest_blocks", "SELECT true AS stopped_inside, true AS found_rule")
+    put("forest_summary", "SELECT CAST(50 AS INTEGER) AS trees, CAST(3 AS INTEGER) AS max_depth, true AS leaves_fit, true AS splits")
+    put("forest_importance", """SELECT unnest(['internet_package_changes', 'total_price_adds', 'noise']) AS feature, unnest([true, true, false]) AS top,
+ unnest([true, true, false]) AS above_noise, unnest([false, false, true]) AS small""")
+    put("useful_features", "SELECT unnest(['internet_package_changes', 'total_price_adds', 'flat']) AS feature, unnest([true, true, false]) AS kept")
+    put("category_importance", "SELECT 'segment' AS first_feature, true AS found_rule")
+    _add("planted", f"SELECT account_guid, {_SIGNAL} AS signal FROM changes GROUP BY account_guid", "changes")
+    put("boosted_fit", f"""SELECT CAST(signal AS DOUBLE) AS label, count(*) AS rows, true AS mostly_right, true AS stopped_inside
+ FROM ({_exact(0, 'SELECT * FROM planted')}) WHERE split = 'valid' GROUP BY signal""", "planted", doubles=["label"])
+    _add("planted_labels", "SELECT l.account_guid, coalesce(signal, 0) AS signal FROM labels l LEFT JOIN planted p ON p.account_guid = l.account_guid",
+         "labels", "planted")
+    put("model_chain", f"""SELECT CAST(signal AS DOUBLE) AS label, count(*) AS rows, true AS mostly_right, true AS signals_accepted
+ FROM ({_exact(7, 'SELECT * FROM planted_labels')}) WHERE split = 'test' GROUP BY signal""", "planted_labels", doubles=["label"])
     put("rebuilt_table", "SELECT * FROM labels", "labels", dates=label_dates)
     put("replaced_day", f"""SELECT call_date, days_since_install + CAST(call_date = DATE '{v.AS_OF}' AS INTEGER) AS days_since_install,
  company_code, subaccount FROM calls WHERE call_date <> DATE '{v.FIRST}'""", "calls", dates=["call_date"])

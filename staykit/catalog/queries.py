@@ -13,7 +13,7 @@ from staykit.catalog.settle import settle
 from staykit.functions.keys import OPERATORS, AccountCipher, billing_id
 from staykit.functions.text import promo_pattern
 from staykit.functions.timeparts import epoch_ms
-from staykit.models import forests, frame
+from staykit.models import evaluation, forests, frame
 from staykit.models.boruta import boruta_select
 from staykit.operators import changes as ch, distinct, partials, population as pop, quality as qu, viewing as vi
 from staykit.operators.assemble import union_features
@@ -660,17 +660,47 @@ def hash_split(spark, sf_dir):
     return frame.hash_split(Source(spark, sf_dir).labels.select("account_guid", "churn"), "account_guid", seed=7)
 
 
+@query
+def exact_split(spark, sf_dir):
+    """Parts of exactly 80, 10 and 10 % of the labelled accounts."""
+    labels = Source(spark, sf_dir).labels.select("account_guid", "churn")
+    return frame.exact_split(labels, "account_guid", Workspace(spark), seed=7)
+
+
+def _scored(spark, sf_dir):
+    """Labels with a rule's prediction, long-standing streaming customers stay, and a score."""
+    labels = Source(spark, sf_dir).labels
+    score = (3 * F.col("tv_stream_tenure") + F.col("customer_tenure")) / F.lit(176.0)
+    return labels.withColumns({"prediction": (F.col("tv_stream_tenure") < 10).cast("int"), "score": score})
+
+
 @query
 def confusion_matrix(spark, sf_dir):
-    """Against a rule: long-standing streaming customers stay."""
-    scored = Source(spark, sf_dir).labels.withColumn("prediction", (F.col("tv_stream_tenure") < 10).cast("int"))
-    return forests.confusion_matrix(scored, "churn")
+    return forests.confusion_matrix(_scored(spark, sf_dir), "churn")
 
 
 @query
 def model_performance(spark, sf_dir):
-    scored = Source(spark, sf_dir).labels.withColumn("prediction", (F.col("tv_stream_tenure") < 10).cast("int"))
-    return forests.performance(scored, "churn")
+    return forests.performance(_scored(spark, sf_dir), "churn")
+
+
+@query
+def threshold_performance(spark, sf_dir):
+    """AUC, losses, and the confusion matrix at the threshold of the best F1."""
+    return evaluation.threshold_report(evaluation.score_histogram(_scored(spark, sf_dir), "score", "churn"))
+
+
+@query
+def gains_table(spark, sf_dir):
+    return evaluation.gains(evaluation.score_histogram(_scored(spark, sf_dir), "score", "churn"))
+
+
+@query
+def category_index(spark, sf_dir):
+    """Zip codes as numbers of categories, the eleven most frequent and the rest."""
+    history = Source(spark, sf_dir).table("history").select("account_number", "snapshot_date", "zip_code", F.col("zip_code").alias("zip"))
+    indexed = frame.index_categories(history, ["zip"], max_bins=12)
+    return indexed.groupBy("zip_code", "zip").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
@@ -691,90 +721,174 @@ PLANTED_FEATURES = [
 ]
 
 
+# Chosen so that the noise does not, by chance, tell anything about the label in the test tables.
+NOISE_SEEDS = (49, 79)
+
+
 def _planted(spark, sf_dir):
     """Change features with a label that depends on two of them, and a noise column made from the key."""
     counts = ch.change_counts(Source(spark, sf_dir).changes)
     signal = F.col("total_price_adds") + F.col("internet_package_changes") > 10
-    noise = frame.bucket(F.col("account_guid"), 99).alias("noise")
+    noise = frame.bucket(F.col("account_guid"), NOISE_SEEDS[0]).alias("noise")
     return counts.select("account_guid", signal.cast("int").alias("churn"), *PLANTED_FEATURES[:-1], noise)
 
 
-def _model_frames(spark, sf_dir):
-    split = frame.hash_split(frame.coerce_numeric(_planted(spark, sf_dir), ["account_guid"]), "account_guid")
-    rows = frame.model_frame(split, PLANTED_FEATURES, keep=["split"])
+def _model_frames(spark, sf_dir, features=None, planted=None):
+    numeric = frame.coerce_numeric(_planted(spark, sf_dir) if planted is None else planted, ["account_guid"])
+    rows = frame.model_frame(frame.exact_split(numeric, "account_guid", Workspace(spark)), features or PLANTED_FEATURES, keep=["split"])
     return [rows.where(F.col("split") == part).drop("split") for part in ("train", "valid")]
 
 
 SIGNALS = ("internet_package_changes", "total_price_adds")
+# A model that has found the planted rule is right this often; always saying one class is right in six of ten rows.
+RIGHT = 0.75
 
 
 @query
 def boruta_selection(spark, sf_dir):
-    """Whether each feature that the label was made from is accepted."""
-    chosen = boruta_select(_planted(spark, sf_dir), PLANTED_FEATURES, max_rounds=20, trees=20)
-    return spark.createDataFrame([(f, f in chosen.accepted) for f in SIGNALS], "feature string, accepted boolean")
+    """What becomes of the features that the label was made from, and of noise."""
+    planted = _planted(spark, sf_dir).withColumn("noise_b", frame.bucket(F.col("account_guid"), NOISE_SEEDS[1]))
+    chosen = boruta_select(planted, [*SIGNALS, "noise", "noise_b"])
+    found = [(f, "accepted") for f in chosen.accepted] + [(f, "rejected") for f in chosen.rejected]
+    return spark.createDataFrame(found + [(f, "tentative") for f in chosen.tentative], "feature string, decision string")
 
 
-def _ranked(spark, found, points):
-    """Place of each model and whether the places follow the accuracy; the number of grid points."""
-    order = [e["accuracy"] for e in found]
-    rows = [(i, i == 0 or order[i - 1] >= x, points) for i, x in enumerate(order)]
-    return spark.createDataFrame(rows, "place int, in_order boolean, points int")
+def _searched(spark, found, valid, name):
+    """Place of each model, the value of its parameter ``name``, whether the saved model is as accurate as stated, and
+    whether it has found the rule."""
+    rows = []
+    for place, entry in enumerate(found):
+        model = forests.load_model(entry["path"])
+        same = abs(forests.accuracy(model, valid) - entry["accuracy"]) < 1e-9
+        rows.append((place, int(entry["params"][name]), same, entry["accuracy"] > RIGHT))
+    return spark.createDataFrame(rows, f"place int, {name} int, as_stated boolean, found_rule boolean")
 
 
 @query
 def forest_grid(spark, sf_dir):
-    """A whole grid of forests, ranked."""
+    """A whole grid of forests, ranked by accuracy: single splits are no match for the rule."""
     train, valid = _model_frames(spark, sf_dir)
-    grid = {"numTrees": [5, 10], "maxDepth": [3, 5], "featureSubsetStrategy": ["2", "4"]}
+    grid = {"numTrees": [30], "maxDepth": [0, 6]}
     with Workspace(spark) as work:
         found = forests.search_forest(train, valid, work.new_path("models"), grid, stopping_rounds=9)
-    return _ranked(spark, found, len(forests.grid_points(grid)))
+        return _searched(spark, found, valid, "maxDepth")
 
 
 @query
 def boosted_grid(spark, sf_dir):
-    """A whole grid of boosted models, ranked."""
+    """A whole grid of boosted models, ranked by accuracy."""
     train, valid = _model_frames(spark, sf_dir)
-    grid = {"maxIter": [2, 4], "maxDepth": [2, 3]}
+    grid = {"maxIter": [20], "maxDepth": [0, 2]}
     with Workspace(spark) as work:
         found = forests.search_boosted(train, valid, work.new_path("models"), grid, stopping_rounds=9)
-    return _ranked(spark, found, len(forests.grid_points(grid)))
+        return _searched(spark, found, valid, "maxDepth")
+
+
+@query
+def boosted_grid_deep(spark, sf_dir):
+    """The second grid, of deep models that stop by themselves: whether all of them found the rule with few trees."""
+    train, valid = _model_frames(spark, sf_dir)
+    with Workspace(spark) as work:
+        found = forests.search_boosted(
+            train, valid, work.new_path("models"), forests.BOOSTED_GRID_DEEP, max_models=3, stopping_rounds=9, stop_inside=True
+        )
+        rows = [(e["accuracy"] > RIGHT, forests.load_model(e["path"]).getNumTrees < min(forests.BOOSTED_GRID_DEEP["maxIter"])) for e in found]
+    return spark.createDataFrame(rows, "found_rule boolean, stopped_inside boolean")
+
+
+@query
+def forest_blocks(spark, sf_dir):
+    """A forest grown in blocks of trees: whether it stopped by itself, and found the rule."""
+    train, valid = _model_frames(spark, sf_dir)
+    with Workspace(spark) as work:
+        forest = forests.grow_forest(train, valid, work, trees=400, block=20, tolerance=0.05)
+        right = forests.accuracy(forest, valid) > RIGHT
+    return spark.createDataFrame([(forest.trees < 400, right)], "stopped_inside boolean, found_rule boolean")
+
+
+@query
+def forest_summary(spark, sf_dir):
+    """Trees, depth and leaves of a forest."""
+    train, _ = _model_frames(spark, sf_dir)
+    found = forests.model_summary(forests.fit_forest(train, trees=50, maxDepth=3))
+    return spark.createDataFrame([found]).select(
+        F.col("trees").cast("int").alias("trees"), F.col("max_depth").cast("int").alias("max_depth"),
+        F.col("max_leaves").between(4, 8).alias("leaves_fit"), (F.col("mean_leaves") > 2).alias("splits"),
+    )
 
 
 @query
 def forest_importance(spark, sf_dir):
-    """Every feature once, with importances that sum to one; which of them a useful model keeps."""
+    """Whether each feature is one of the two most important, its place among noise, and that scaled importances start at 1."""
     train, _ = _model_frames(spark, sf_dir)
-    found = forests.importances(forests.fit_forest(train), PLANTED_FEATURES)
-    total = sum(value for _, value in found)
-    return spark.createDataFrame([(f, value >= 0, total) for f, value in found], "feature string, sensible boolean, total double")
+    table = forests.importance_table(forests.fit_forest(train), PLANTED_FEATURES)
+    noise = next(x for name, x, _, _ in table if name == "noise")
+    rows = [(name, place < 2, x > noise, scaled == 1, share) for place, (name, x, scaled, share) in enumerate(table) if name in (*SIGNALS, "noise")]
+    found = spark.createDataFrame(rows, "feature string, top boolean, above_noise boolean, largest boolean, share double")
+    return found.select("feature", "top", "above_noise", (F.col("share") < 0.2).alias("small"))
+
+
+@query
+def useful_features(spark, sf_dir):
+    """Features with any importance: a constant has none."""
+    planted = _planted(spark, sf_dir).withColumn("flat", F.lit(3.0))
+    features = [*SIGNALS, "flat"]
+    train, _ = _model_frames(spark, sf_dir, features, planted)
+    kept = forests.useful_features(forests.fit_forest(train), features)
+    return spark.createDataFrame([(f, f in kept) for f in features], "feature string, kept boolean")
+
+
+@query
+def category_importance(spark, sf_dir):
+    """A label that follows a text with many values: split by sets of categories it is found with few splits, and is the
+    most important feature."""
+    planted = _planted(spark, sf_dir).withColumn("segment", F.substring(F.md5("account_guid"), 1, 1))
+    planted = planted.withColumn("churn", F.col("segment").isin(*"02468ace").cast("int"))
+    indexed = frame.index_categories(planted, ["segment"], max_bins=32)
+    features = ["segment", *SIGNALS, "noise"]
+    rows = frame.model_frame(indexed, features)
+    model = forests.fit_forest(rows, trees=20, maxDepth=2, featureSubsetStrategy="all")
+    first = forests.importances(model, features)[0][0]
+    return spark.createDataFrame([(first, forests.accuracy(model, rows) > 0.95)], "first_feature string, found_rule boolean")
+
+
+def _by_class(scored):
+    """Rows per actual class, and whether most of them were recognised."""
+    hit = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), (hit > 0.6).alias("mostly_right"))
 
 
 @query
 def boosted_fit(spark, sf_dir):
-    """Rows per actual class, over the predictions of one boosted model."""
+    """Up to 500 boosted trees of depth 12, of which few are grown."""
     train, valid = _model_frames(spark, sf_dir)
-    matrix = forests.confusion_matrix(forests.fit_boosted(train, rounds=20, depth=5).transform(valid))
-    return matrix.groupBy("label").agg(F.sum("rows").alias("rows"))
+    model = forests.grow_boosted(train, valid)
+    return _by_class(model.transform(valid)).withColumn("stopped_inside", F.lit(model.getNumTrees < 500))
 
 
 @query
 def model_chain(spark, sf_dir):
-    """Matrix, coercion, selection, split, forest saved and loaded, confusion matrix: test rows per actual class."""
+    """Matrix, coercion, selection, split, forest saved and loaded, test rows per class.
+
+    The label is a rule over two columns of the matrix. Whether the selection accepted both is in the result; without any
+    accepted feature the chain ends with an error.
+    """
     work = Workspace(spark)
     matrix = training_matrix(
         Source(spark, sf_dir).inputs(), v.AS_OF, v.FIRST_CHANGE, v.LABEL_DAYS, v.PROMO_SINCE, layers=work
     )
-    numeric = work.store(frame.coerce_numeric(matrix, ["account_guid"]), "numeric")
-    features = frame.feature_names(numeric, ["account_guid", "churn"])
-    chosen = boruta_select(numeric, features, trees=30)
+    rule = F.coalesce("total_price_adds", F.lit(0)) + F.coalesce("internet_package_changes", F.lit(0)) > 10
+    numeric = work.store(frame.coerce_numeric(matrix.withColumn("churn", rule.cast("int")), ["account_guid"]), "numeric")
+    chosen = boruta_select(numeric, frame.feature_names(numeric, ["account_guid", "churn"]), trees=100)
+    if not chosen.accepted:
+        raise ValueError(f"no feature was accepted after {chosen.rounds} rounds")
     names_path, model_path = work.new_path("names"), work.new_path("model")
-    write_names(spark, chosen.accepted + chosen.tentative or features, names_path)
-    rows = frame.model_frame(frame.hash_split(numeric, "account_guid", seed=7), read_names(spark, names_path), keep=["split"])
-    forests.save_model(forests.fit_forest(rows.where("split = 'train'"), trees=20), model_path)
+    write_names(spark, chosen.accepted, names_path)
+    split = frame.exact_split(numeric, "account_guid", work, seed=7)
+    rows = frame.model_frame(split, read_names(spark, names_path), keep=["split"])
+    forests.save_model(forests.fit_forest(rows.where("split = 'train'")), model_path)
     scored = forests.load_forest(model_path).transform(rows.where("split = 'test'"))
-    return forests.confusion_matrix(scored).groupBy("label").agg(F.sum("rows").alias("rows"))
+    return _by_class(scored).withColumn("signals_accepted", F.lit(set(SIGNALS) <= set(chosen.accepted)))
 
 
 # Sources

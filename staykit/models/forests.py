@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from itertools import product
 import random
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
+from pyspark import inheritable_thread_target
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staykit.functions.numbers import ratio
+from staykit.models.evaluation import positive_chance, score_histogram, threshold_report
+from staykit.sources.tables import Workspace, remove_path
 
 MAX_DEPTH = 30  # MLlib's limit
 
@@ -69,32 +77,59 @@ def random_search(
     stopping_rounds: int = 5,
     tolerance: float = 1e-4,
     rank_by: str = "accuracy",
+    parallel: int = 4,
 ) -> list[dict]:
     """Fits a random sample of the grid, writes each model below ``folder``, and returns the entries, best first.
 
     An entry has ``params``, ``path``, ``auc`` and ``accuracy``; ``rank_by`` names the metric to sort by, and only the model
     at hand is in the driver's memory. Stops early once ``stopping_rounds`` different points in a row failed to improve the
-    best validation AUC by ``tolerance``.
+    best validation AUC by ``tolerance``. ``parallel`` fits run side by side; fits begun ahead of an early stop are thrown
+    away, so the result does not depend on it.
     """
     points = grid_points(grid, _width(train))
     random.Random(seed).shuffle(points)
+    points = points[:max_models]
     train, valid = train.persist(), valid.persist()
+    spark = train.sparkSession
+
+    def fit(number: int) -> dict:
+        params, path = points[number], f"{folder}/model-{number}"
+        model = estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(train)
+        entry = {"params": params, "path": path, "auc": area_under_roc(model, valid), "accuracy": accuracy(model, valid)}
+        save_model(model, path)
+        return entry
+
     found, best, stale = [], float("-inf"), 0
     try:
-        for number, params in enumerate(points[:max_models]):
-            model = estimator.copy({estimator.getParam(k): v for k, v in params.items()}).fit(train)
-            auc, path = area_under_roc(model, valid), f"{folder}/model-{number}"
-            found.append({"params": params, "path": path, "auc": auc, "accuracy": accuracy(model, valid)})
-            save_model(model, path)
-            best, stale = (auc, 0) if auc > best + tolerance else (best, stale + 1)
-            if stale >= stopping_rounds:
-                break
+        with ThreadPoolExecutor(parallel) as pool:
+            # Only so many fits are under way; what they find is judged in the sampled order, as if they had run one by one.
+            running = deque()
+            for number in range(len(points)):
+                while len(running) < parallel and number + len(running) < len(points):
+                    running.append(pool.submit(_in_pool(spark, fit, number + len(running))))
+                entry = running.popleft().result()
+                found.append(entry)
+                best, stale = (entry["auc"], 0) if entry["auc"] > best + tolerance else (best, stale + 1)
+                if stale >= stopping_rounds:
+                    for ahead in running:
+                        ahead.cancel() or remove_path(spark, ahead.result()["path"])
+                    break
     finally:
         train.unpersist()
         valid.unpersist()
     return sorted(found, key=lambda entry: entry[rank_by], reverse=True)
 
 
+def _in_pool(spark, fit, number: int):
+    """The fit as a job of its own scheduler pool, so that with ``spark.scheduler.mode`` FAIR fits share the executors."""
+
+    def job():
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"search-{number}")
+        return fit(number)
+
+    return inheritable_thread_target(spark)(job)
+
+
 def _width(frame: DataFrame) -> int | None:
     return frame.schema["features"].metadata.get("ml_attr", {}).get("num_attrs")
 
@@ -105,10 +140,25 @@ def search_forest(train: DataFrame, valid: DataFrame, folder: str, grid=None, se
     return random_search(RandomForestClassifier(seed=seed), grid, train, valid, folder, seed=seed, **options)
 
 
-def search_boosted(train: DataFrame, valid: DataFrame, folder: str, grid=None, seed: int = 12345, **options) -> list[dict]:
-    """Boosted trees; BOOSTED_GRID by default, BOOSTED_GRID_DEEP for a second, deeper search."""
-    grid = grid or supported(BOOSTED_GRID, _width(train))
-    return random_search(GBTClassifier(seed=seed), grid, train, valid, folder, seed=seed, **options)
+def search_boosted(
+    train: DataFrame, valid: DataFrame, folder: str, grid=None, seed: int = 12345, stop_inside: bool = False, **options
+) -> list[dict]:
+    """Boosted trees; BOOSTED_GRID by default, BOOSTED_GRID_DEEP for a second, deeper search. With ``stop_inside`` each
+    model stops growing when the validation rows' error no longer falls (``grow_boosted``)."""
+    grid, estimator = grid or supported(BOOSTED_GRID, _width(train)), GBTClassifier(seed=seed)
+    if stop_inside:
+        estimator.setValidationIndicatorCol(VALIDATION)
+        train = with_validation(train, valid)
+    return random_search(estimator, grid, train, valid, folder, seed=seed, **options)
+
+
+VALIDATION = "_valid"
+
+
+def with_validation(train: DataFrame, valid: DataFrame) -> DataFrame:
+    """Both, told apart by the column ``VALIDATION``."""
+    marked = valid.select(*train.columns).withColumn(VALIDATION, F.lit(True))
+    return train.withColumn(VALIDATION, F.lit(False)).unionByName(marked)
 
 
 def fit_forest(train: DataFrame, trees: int = 200, seed: int = 12345, **params):
@@ -122,13 +172,103 @@ def fit_boosted(train: DataFrame, rounds: int = 500, depth: int = 12, seed: int
     return GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed, **params).fit(train)
 
 
+@dataclass
+class BlockForest:
+    """A forest grown in blocks of trees. Its votes are the sum of its blocks' votes."""
+
+    blocks: list[RandomForestClassificationModel]
+    history: list[dict]  # trees, auc and log_loss on the validation rows after each block
+
+    @property
+    def trees(self) -> int:
+        return sum(block.getNumTrees for block in self.blocks)
+
+    def transform(self, frame: DataFrame) -> DataFrame:
+        """``frame`` with ``probability`` (array of two numbers) and ``prediction``."""
+        rows = frame.withColumn("_votes", F.array(F.lit(0.0), F.lit(0.0)))
+        for block in self.blocks:
+            rows = _add_votes(rows, block)
+        return rows.select(*frame.columns, *_voted())
+
+    def importances(self) -> list[float]:
+        """Mean of the blocks' importances, by their numbers of trees."""
+        width = len(self.blocks[0].featureImportances)
+        total = [0.0] * width
+        for block in self.blocks:
+            for i, x in enumerate(block.featureImportances.toArray().tolist()):
+                total[i] += x * block.getNumTrees / self.trees
+        return total
+
+    def save(self, folder: str) -> None:
+        for number, block in enumerate(self.blocks):
+            save_model(block, f"{folder}/block-{number:05d}")
+
+
+def _add_votes(rows: DataFrame, block: RandomForestClassificationModel) -> DataFrame:
+    """Adds a block's votes to ``_votes``."""
+    block = block.copy({block.rawPredictionCol: "_raw", block.probabilityCol: "_chance", block.predictionCol: "_said"})
+    scored = block.transform(rows)
+    added = F.zip_with("_votes", vector_to_array("_raw"), lambda a, b: a + b)
+    return scored.withColumn("_votes", added).drop("_raw", "_chance", "_said")
+
+
+def _voted() -> list:
+    all_votes = F.get("_votes", F.lit(0)) + F.get("_votes", F.lit(1))
+    chance = F.transform("_votes", lambda v: v / all_votes)
+    return [chance.alias("probability"), (F.get("_votes", F.lit(1)) > F.get("_votes", F.lit(0))).cast("double").alias("prediction")]
+
+
+def grow_forest(
+    train: DataFrame, valid: DataFrame, work: Workspace, trees: int = 200, block: int = 100, stopping_rounds: int = 2,
+    tolerance: float = 1e-4, seed: int = 12345, **params,
+) -> BlockForest:
+    """A forest of up to ``trees`` trees, scored on ``valid`` after every ``block`` of them.
+
+    It stops once ``stopping_rounds`` blocks in a row did not improve the best log loss by the share ``tolerance``. Votes
+    of earlier blocks are kept beside the validation rows, so each block scores them once. Binary labels only.
+    """
+    train, forest, best, stale = train.persist(), BlockForest([], []), float("inf"), 0
+    votes = work.store(valid.withColumn("_votes", F.array(F.lit(0.0), F.lit(0.0))), "votes")
+    try:
+        while forest.trees < trees and stale < stopping_rounds:
+            number = min(block, trees - forest.trees)
+            forest.blocks.append(fit_forest(train, number, seed + len(forest.blocks), **params))
+            before, votes = votes, work.store(_add_votes(votes, forest.blocks[-1]), "votes")
+            work.drop(before)
+            scored = votes.select("label", *_voted())
+            row = threshold_report(score_histogram(scored, F.get("probability", F.lit(1)))).first()
+            forest.history.append({"trees": forest.trees, "auc": row["auc"], "log_loss": row["log_loss"]})
+            best, stale = (row["log_loss"], 0) if row["log_loss"] < best * (1 - tolerance) else (best, stale + 1)
+    finally:
+        train.unpersist()
+    return forest
+
+
+def grow_boosted(train: DataFrame, valid: DataFrame, rounds: int = 500, depth: int = 12, tolerance: float = 0.01, seed: int = 12345, **params):
+    """Boosted trees that stop when the validation rows' error no longer falls by ``tolerance`` (MLlib's rule)."""
+    settings = {"maxIter": rounds, "maxDepth": depth, "seed": seed, "validationIndicatorCol": VALIDATION, "validationTol": tolerance}
+    return GBTClassifier(**{**settings, **params}).fit(with_validation(train, valid))
+
+
+def model_summary(model) -> dict:
+    """Number of trees, and least, mean and most depth and leaves of them."""
+    depths, leaves = [t.depth for t in model.trees], [(t.numNodes + 1) // 2 for t in model.trees]
+    summary = {"trees": len(depths)}
+    for name, values in (("depth", depths), ("leaves", leaves)):
+        summary |= {f"min_{name}": min(values), f"mean_{name}": sum(values) / len(values), f"max_{name}": max(values)}
+    return summary
+
+
 def confusion_matrix(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per actual and predicted class."""
     return scored.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def performance(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row: accuracy, precision, recall and F1 of the positive class."""
+    """One row: accuracy, precision, recall and F1 of the positive class at the model's own predictions.
+
+    ``evaluation.threshold_report`` has AUC, losses and the best threshold.
+    """
     actual, said = F.col(label) == 1, F.col(prediction) == 1
     hit, wrong, missed = F.count_if(actual & said), F.count_if(~actual & said), F.count_if(actual & ~said)
     return scored.agg(
@@ -144,6 +284,13 @@ def importances(model, features: list[str]) -> list[tuple[str, float]]:
     return sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda pair: (-pair[1], pair[0]))
 
 
+def importance_table(model, features: list[str]) -> list[tuple[str, float, float, float]]:
+    """(feature, relative importance, scaled to the largest, share of all), largest first."""
+    found = importances(model, features)
+    top, total = max((x for _, x in found), default=0), sum(x for _, x in found)
+    return [(name, x, x / top if top else 0.0, x / total if total else 0.0) for name, x in found]
+
+
 def useful_features(model, features: list[str]) -> list[str]:
     """The features with any importance, in their given order."""
     used = {name for name, value in importances(model, features) if value > 0}
@@ -152,9 +299,7 @@ def useful_features(model, features: list[str]) -> list[str]:
 
 def log_loss(scored: DataFrame, label: str = "label", probability: str = "probability") -> float:
     """Mean negative log likelihood of the actual class; probabilities are kept 1e-15 away from 0 and 1."""
-    chance = F.get(vector_to_array(probability), F.lit(1))
-    own = F.when(F.col(label) == 1, chance).otherwise(1 - chance)
-    return scored.agg(F.avg(-F.log(F.greatest(F.least(own, F.lit(1 - 1e-15)), F.lit(1e-15))))).first()[0]
+    return threshold_report(score_histogram(scored, positive_chance(probability), label)).first()["log_loss"]
 
 
 def save_model(model, path: str) -> None:
@@ -163,3 +308,9 @@ def save_model(model, path: str) -> None:
 
 def load_forest(path: str) -> RandomForestClassificationModel:
     return RandomForestClassificationModel.load(path)
+
+
+def load_model(path: str):
+    """A forest or a boosted model, whichever was saved there."""
+    kind = SparkSession.active().read.text(f"{path}/metadata").first()[0]
+    return (GBTClassificationModel if "GBTClassificationModel" in kind else RandomForestClassificationModel).load(path)

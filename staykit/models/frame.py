@@ -7,6 +7,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from staykit.functions.numbers import to_number
+from staykit.operators.ranking import exact_rank
+from staykit.sources.tables import Workspace
 
 SPLITS = (("train", 0.8), ("valid", 0.1), ("test", 0.1))
 
@@ -49,6 +51,51 @@ def hash_split(df: DataFrame, key: str, seed: int = 0, parts=SPLITS, output: str
     return df.withColumn(output, name.otherwise(parts[-1][0]))
 
 
+def exact_split(
+    df: DataFrame, key: str, work: Workspace, seed: int = 0, parts=SPLITS, output: str = "split"
+) -> DataFrame:
+    """Names the part of each row: disjoint parts of exactly the shares' numbers of rows, each rounded (halves to the even
+    number), the last part taking what is left.
+
+    Rows are ordered by ``bucket`` and, where equal, by the key, and numbered without a window over all of them
+    (``exact_rank``). Rows of one key may lie in different parts; with distinct keys a row's part depends on nothing but
+    the keys there are.
+    """
+    ranked = exact_rank(df.withColumn("_place", bucket(F.col(key), seed)), [F.col("_place"), F.col(key)], work, "_rank")
+    total, reached, name = df.count(), 0, F
+    for label, share in parts[:-1]:
+        reached += round(share * total)
+        name = name.when(F.col("_rank") <= reached, label)
+    return ranked.withColumn(output, name.otherwise(parts[-1][0])).drop("_place", "_rank")
+
+
+OTHER = "(other)"
+
+
+def index_categories(df: DataFrame, columns: list[str], max_bins: int = 32) -> DataFrame:
+    """Text columns as numbers of categories that tree models split by sets, not by order.
+
+    A column's most frequent values get the numbers 0, 1 and so on (ties in code-point order); the values beyond the first
+    ``max_bins`` - 1, and NULL, are one last category. Only those names reach the driver. The columns carry their categories
+    as metadata, which ``model_frame`` passes on; a model needs a ``maxBins`` of at least the number of categories.
+    """
+    for column in columns:
+        text = F.col(column).cast("string")
+        counted = df.where(text.isNotNull()).groupBy(text.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        top = counted.orderBy(F.desc("_n"), "_value").limit(max(0, max_bins - 1)).collect()
+        names = [r["_value"] for r in sorted(top, key=lambda r: (-r["_n"], r["_value"]))]
+        numbers = df.sparkSession.createDataFrame([(n, float(i)) for i, n in enumerate(names)], "_value string, _number double")
+        other = OTHER
+        while other in names:
+            other += "*"
+        attributes = {"ml_attr": {"type": "nominal", "name": column, "vals": [*names, other]}}
+        number = F.coalesce("_number", F.lit(float(len(names)))).alias(column, metadata=attributes)
+        # At most ``max_bins`` rows.
+        joined = df.join(F.broadcast(numbers), text == F.col("_value"), "left")
+        df = joined.select(*[number if c == column else c for c in df.columns])
+    return df
+
+
 def constant_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns with at most one distinct value, with their number of NULLs, from one pass of minima and maxima."""
     stats = df.agg(

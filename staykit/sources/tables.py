@@ -47,7 +47,8 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise OSError(f"cannot rename {old} to {new}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and what it holds, if it is there."""
     fs, place = _file_system(spark, path)
     fs.delete(place, True)
 
@@ -87,12 +88,12 @@ def rebuild_table(df: DataFrame, name: str, partition_by: str | None = None) ->
     try:
         writer.parquet(aside)
     except BaseException:
-        _remove(spark, aside)
+        remove_path(spark, aside)
         raise
     if _exists(spark, name):
         _rename(spark, name, old)
     _rename(spark, aside, name)
-    _remove(spark, old)
+    remove_path(spark, old)
     spark.catalog.refreshByPath(name)
 
 
@@ -133,7 +134,7 @@ def replace_days(df: DataFrame, path: str, days: list[date | str], column: str =
     stored = {r[0] for r in df.select(column).distinct().collect()}  # no more than ``days``
     for day in wanted:
         if day not in stored:
-            _remove(spark, f"{path.rstrip('/')}/{column}={day.isoformat()}")
+            remove_path(spark, f"{path.rstrip('/')}/{column}={day.isoformat()}")
     spark.catalog.refreshByPath(path)
 
 
@@ -235,13 +236,13 @@ class Workspace:
         """Removes tables that ``store`` made; a table without rows stays until ``clear``."""
         for folder in {file.rsplit("/", 1)[0] for df in tables for file in df.inputFiles()}:
             if self._name in folder:
-                _remove(self.spark, folder)
+                remove_path(self.spark, folder)
 
     def clear(self) -> None:
         if self._made:
             self.spark.sql(f"DROP DATABASE IF EXISTS {self._database} CASCADE")
             self._made = False
-        _remove(self.spark, self.path)
+        remove_path(self.spark, self.path)
 
     def __enter__(self) -> Workspace:
         return self
