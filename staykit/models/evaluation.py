@@ -21,11 +21,13 @@ def positive_chance(probability: str = "probability") -> Column:
 def score_histogram(scored: DataFrame, score: Column | str, label: str = "label", bins: int = BINS) -> DataFrame:
     """``bin`` (whole steps of the score, 0 to ``bins``), ``rows``, ``positives`` and sums of log loss and squared error.
 
-    Rows with a NULL score or label are left out; scores outside 0 to 1 count as 0 or 1. The rows are reduced to at most
+    Rows with a NULL or NaN score or a NULL label are left out; scores outside 0 to 1 count as 0 or 1. The rows are reduced to at most
     ``bins`` + 1 before anything is shuffled.
     """
-    value = F.greatest(F.least((F.col(score) if isinstance(score, str) else score).cast("double"), F.lit(1.0)), F.lit(0.0))
-    rows = scored.select(value.alias("_score"), F.col(label).cast("double").alias("_label")).where("_score IS NOT NULL AND _label IS NOT NULL")
+    given = (F.col(score) if isinstance(score, str) else score).cast("double")
+    rows = scored.select(given.alias("_score"), F.col(label).cast("double").alias("_label"))
+    rows = rows.where("_score IS NOT NULL AND NOT isnan(_score) AND _label IS NOT NULL")
+    rows = rows.withColumn("_score", F.greatest(F.least("_score", F.lit(1.0)), F.lit(0.0)))
     chance = F.greatest(F.least(F.when(F.col("_label") == 1, F.col("_score")).otherwise(1 - F.col("_score")), F.lit(1 - EDGE)), F.lit(EDGE))
     return rows.groupBy(F.floor(F.col("_score") * bins).cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_label") == 1).alias("positives"),

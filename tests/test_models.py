@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import inspect
+import math
+import os
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -11,12 +13,20 @@ import pytest
 
 from staykit.catalog import queries
 from staykit.models import forests, frame
+from staykit.models.evaluation import gains, score_histogram, threshold_report
 from staykit.models.boruta import _blocks, binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
-from staykit.sources.tables import read_names, write_names
+from staykit.operators.ranking import exact_rank
+from staykit.sources.tables import Workspace, read_names, write_names
 
 FEATURES = ["signal", "other", "noise_a", "noise_b"]
 
 
+@pytest.fixture()
+def work(spark):
+    with Workspace(spark) as made:
+        yield made
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """``churn`` follows ``signal`` and ``other``; the noise columns come from unrelated hashes, chosen so that their
@@ -57,7 +67,8 @@ def test_model_chain_has_rounds_enough_to_decide(planted, monkeypatch, spark):
         call.apply_defaults()
         raise StopIteration(call.arguments["max_rounds"], len(call.arguments["features"]))
 
-    monkeypatch.setattr(queries, "training_matrix", lambda *_, **__: planted)
+    ruled = planted.withColumns({c: F.lit(1) for c in queries.SIGNALS})
+    monkeypatch.setattr(queries, "training_matrix", lambda *_, **__: ruled)
     monkeypatch.setattr(queries, "boruta_select", caught)
     with pytest.raises(StopIteration) as stopped:
         queries.model_chain(spark, "/root/testdata/sf0.001")
@@ -157,3 +168,146 @@ def test_feature_names():
         columns = ["b", "churn", "a"]
 
     assert frame.feature_names(Frame, ["churn"]) == ["a", "b"]
+
+
+# Evaluation
+
+
+def scored_rows(spark, seed, count, ties):
+    import random
+
+    r = random.Random(seed)
+    rows = [(round(r.random(), 2) if ties else r.random(), r.random()) for _ in range(count)]
+    return [(s, int(x < s)) for s, x in rows]
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_threshold_report_equals_brute_force(spark, ties):
+    rows = scored_rows(spark, 1, 300, ties)
+    row = threshold_report(score_histogram(spark.createDataFrame(rows, "s double, y int"), "s", "y")).first()
+    bins = [(int(s * 10_000), y) for s, y in rows]
+    wins = [(a > b) + 0.5 * (a == b) for a, y in bins if y for b, z in bins if not z]
+    assert row["auc"] == pytest.approx(sum(wins) / len(wins))
+    assert row["mse"] == pytest.approx(sum((s - y) ** 2 for s, y in rows) / len(rows))
+    assert row["log_loss"] == pytest.approx(-sum(math.log(s if y else 1 - s) for s, y in rows if 0 < s < 1) / len(rows), abs=0.2)
+    best = max((2 * sum(y for b, y in bins if b >= t) / (sum(b >= t for b, _ in bins) + sum(y for _, y in bins)), t) for t, _ in bins)
+    assert (row["f1"], row["threshold"]) == (pytest.approx(best[0]), best[1] / 10_000)
+    said = [(b >= best[1], y) for b, y in bins]
+    assert (row["tp"], row["fp"], row["fn"], row["tn"]) == tuple(said.count(c) for c in ((True, 1), (True, 0), (False, 1), (False, 0)))
+
+
+def test_report_of_odd_scores(spark):
+    rows = spark.createDataFrame([(None, 1), (0.5, None), (1.5, 1), (-1.0, 0), (float("nan"), 1)], "s double, y int")
+    row = threshold_report(score_histogram(rows, "s", "y")).first()
+    assert row["auc"] == 1 and row["tp"] == row["tn"] == 1 and row["log_loss"] < 1e-9
+    empty = threshold_report(score_histogram(rows.limit(0), "s", "y")).first()
+    assert empty["auc"] is None and empty["tp"] == empty["tn"] == 0
+    assert threshold_report(score_histogram(rows.where("s > 1"), "s", "y")).first()["auc"] is None
+
+
+def test_gains_rise_to_everything(spark):
+    rows = scored_rows(spark, 2, 500, True)
+    found = gains(score_histogram(spark.createDataFrame(rows, "s double, y int"), "s", "y")).orderBy("share").collect()
+    assert [r["share"] for r in found] == [i / 10 for i in range(1, 11)]
+    for r in found:
+        taken = [y for s, y in rows if int(s * 10_000) >= round(r["threshold"] * 10_000)]
+        assert len(taken) == r["rows"] >= r["share"] * 500 and sum(taken) == r["positives"]
+        assert r["lift"] == pytest.approx(sum(taken) / len(taken) / (sum(y for _, y in rows) / 500))
+    assert found[-1]["capture"] == 1 and found[-1]["lift"] == pytest.approx(1)
+
+
+# Exact split and categories
+
+
+@pytest.mark.parametrize("count", [0, 1, 7, 1005])
+def test_exact_split_has_exact_counts(spark, work, count):
+    rows = spark.range(count).select(F.col("id").cast("string").alias("account_guid"), F.lit("x").alias("split"))
+    split = frame.exact_split(rows, "account_guid", work, seed=3)
+    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    first, second = round(0.8 * count), round(0.1 * count)
+    assert {k: n for k, n in zip(("train", "valid", "test"), (first, second, count - first - second)) if n} == counts
+    again = frame.exact_split(rows.repartition(7), "account_guid", work, seed=3)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_exact_rank_numbers_every_row_once(spark, work):
+    rows = spark.range(5000).select((F.col("id") % 7).alias("k"), "id").repartition(13)
+    found = exact_rank(rows, [F.col("k").desc(), F.col("id")], work).orderBy("rank").collect()
+    assert [r["rank"] for r in found] == list(range(1, 5001))
+    assert [(r["k"], r["id"]) for r in found] == sorted(((r["k"], r["id"]) for r in found), key=lambda x: (-x[0], x[1]))
+    assert exact_rank(rows.limit(0), [F.col("id")], work).count() == 0
+
+
+def test_categories_are_split_by_sets(spark, planted):
+    rows = planted.withColumn("place", F.concat(F.lit("p"), F.pmod(F.xxhash64("account_guid"), F.lit(40))))
+    rows = rows.withColumn("churn", F.col("place").isin(*[f"p{i}" for i in range(0, 40, 2)]).cast("int"))
+    indexed = frame.index_categories(rows, ["place"], max_bins=64)
+    features = frame.model_frame(indexed, ["place", "signal"])
+    found = forests.fit_forest(features, trees=5, maxDepth=2, maxBins=64, featureSubsetStrategy="all")
+    assert forests.accuracy(found, features) == 1 and forests.importances(found, ["place", "signal"])[0][0] == "place"
+    ordered = frame.model_frame(indexed.withColumn("place", F.col("place") * 1.0), ["place", "signal"])
+    assert forests.accuracy(forests.fit_forest(ordered, trees=5, maxDepth=2, maxBins=64, featureSubsetStrategy="all"), ordered) < 0.9
+    with pytest.raises(Exception, match="maxBins"):
+        forests.fit_forest(features, trees=2, maxBins=8)
+
+
+def test_rare_categories_are_one(spark):
+    rows = spark.createDataFrame([("b",)] * 3 + [("a",)] * 3 + [("c",)] * 2 + [("d",), (None,), ("(other)",)], "t string")
+    found = {(r["t"], r["n"]) for r in frame.index_categories(rows.withColumn("n", F.col("t")), ["n"], max_bins=3).collect()}
+    assert found == {("a", 0.0), ("b", 1.0), ("c", 2.0), ("d", 2.0), (None, 2.0), ("(other)", 2.0)}
+    assert {r["n"] for r in frame.index_categories(rows.select(F.lit(None).cast("string").alias("n")), ["n"]).collect()} == {0.0}
+    assert frame.index_categories(rows.limit(0), ["t"]).count() == 0
+
+
+# Growing and searching
+
+
+def test_a_block_forest_is_the_sum_of_its_blocks(frames, work):
+    train, valid, _ = frames
+    forest = forests.grow_forest(train, valid, work, trees=25, block=10, stopping_rounds=9)
+    assert [h["trees"] for h in forest.history] == [10, 20, 25] and forest.trees == 25
+    votes = [forests.fit_forest(train, n, 12345 + i).transform(valid).select("features", "rawPrediction").collect() for i, n in enumerate((10, 10, 5))]
+    expected = {}
+    for rows in votes:
+        for r in rows:
+            at = expected.setdefault(tuple(r["features"]), [0.0, 0.0])
+            at[0], at[1] = at[0] + r["rawPrediction"][0], at[1] + r["rawPrediction"][1]
+    for r in forest.transform(valid).collect():
+        a, b = expected[tuple(r["features"])]
+        assert r["probability"] == pytest.approx([a / (a + b), b / (a + b)]) and r["prediction"] == float(b > a)
+    assert forest.history[-1]["auc"] == pytest.approx(threshold_report(score_histogram(forest.transform(valid), F.get("probability", F.lit(1)))).first()["auc"])
+    assert sum(forest.importances()) == pytest.approx(1) and forest.importances()[0] == max(forest.importances())
+
+
+def test_a_forest_stops_growing_without_loss(frames, work):
+    train, valid, _ = frames
+    short = forests.grow_forest(train, valid, work, trees=120, block=10, tolerance=0.02)
+    full = forests.fit_forest(train, 120)
+    assert short.trees < 120 and short.history[-1]["auc"] > forests.area_under_roc(full, valid) - 0.01
+
+
+def test_boosted_trees_stop_growing(frames):
+    train, valid, _ = frames
+    short = forests.grow_boosted(train, valid, rounds=60, depth=3)
+    assert short.getNumTrees < 60 and forests.area_under_roc(short, valid) > 0.95
+
+
+def test_searching_side_by_side_finds_what_one_by_one_finds(frames, tmp_path):
+    train, valid, _ = frames
+    grid = {"numTrees": [2, 3, 4], "maxDepth": [2, 3]}
+    runs = [
+        forests.search_forest(train, valid, str(tmp_path / f"p{n}"), grid, parallel=n, stopping_rounds=2, tolerance=0.005) for n in (1, 3)
+    ]
+    short = [[{k: x for k, x in e.items() if k != "path"} for e in run] for run in runs]
+    assert short[0] == short[1]
+    kept = [sorted(os.listdir(tmp_path / f"p{n}")) for n in (1, 3)]
+    assert kept[0] == kept[1] == sorted(os.path.basename(e["path"]) for e in runs[0])
+
+
+def test_summary_and_importance_table(frames):
+    train, _, _ = frames
+    model = forests.fit_forest(train, trees=7, maxDepth=2)
+    found = forests.model_summary(model)
+    assert found["trees"] == 7 and found["max_depth"] == 2 and 2 <= found["min_leaves"] <= found["mean_leaves"] <= found["max_leaves"] <= 4
+    table = forests.importance_table(model, FEATURES)
+    assert table[0][2] == 1 and sum(t[3] for t in table) == pytest.approx(1) and [t[1] for t in table] == sorted((t[1] for t in table), reverse=True)
