@@ -122,4 +122,5 @@ def test_target_texts_are_drawn_more_often(spark, work):
     rows = spark.createDataFrame(docs, "doc_id long, text string")
     target = spark.createDataFrame([(" ".join(r.choices(near, k=200)),) for _ in range(20)], "text string")
     drawn = [x.doc_id for x in resampling.resample(rows, target, work).where("rank is not null").collect()]
-    assert len(drawn) == 100 and sum(d % 4 == 0 for d in drawn) > 60
+    # A quarter of the documents is near the target.
+    assert len(drawn) == 100 and sum(d % 4 == 0 for d in drawn) > 50

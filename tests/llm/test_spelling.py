@@ -101,12 +101,11 @@ def test_a_family_of_one_beginning(spark, work):
     """Long words that share their first characters: the lists of the common grams are never the ones that are merged."""
     r = random.Random(5)
     counts = {"internationalisation" + "".join(r.choices("abcdefghij", k=5)): 7 for _ in range(3000)}
-    index = spelling.gram_index(
-        spark.createDataFrame(list(counts.items()), "word string, n long"), {"in": 9000, "nt": 6000, "er": 3000, "na": 3000, "at": 6000}, 3, 2
-    )
+    words = spark.createDataFrame(list(counts.items()), "word string, n long")
+    index = spelling.gram_index(words, spelling.common_grams(words, 3), 3, 2)
     keys = Counter(k for row in index.collect() for k in row.held)
     assert max(keys.values()) < 300
-    found = spelling.variants(spark.createDataFrame(list(counts.items()), "word string, n long"), work, 6)
+    found = spelling.variants(words, work, 6)
     ends = {w[-5:] for w in counts}
     pairs = sum(e[:i] + c + e[i + 1:] in ends for e in ends for i in range(5) for c in "abcdefghij" if c != e[i])
     assert sum(r.n_near for r in found.collect()) == pairs
