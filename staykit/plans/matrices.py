@@ -14,7 +14,7 @@ from staykit.operators.population import (
     active_accounts, exclude_accounts, label_windows, sessions_between, sessions_in_label_window, sessions_of,
     with_account_guid,
 )
-from staykit.operators.promo import promo_profile, promo_profile_union
+from staykit.operators.promo import PROMO_COLUMNS, promo_profile, promo_profile_union, promo_profiles
 from staykit.operators.quality import GRAINS, account_quality, peer_compare, with_day_and_week_part
 from staykit.operators.search import search_features
 from staykit.operators.viewing import channel_variability, never_logged_in, top_channel, viewing_profile
@@ -71,9 +71,12 @@ class Inputs:
         operators = [h.operator for h in self.histories]
         return call_profile(self.calls, self.call_history(), operators, self.cipher, **options)
 
-    def promo(self, **options) -> DataFrame:
+    def promo(self, legacy: bool = False, **options) -> DataFrame:
+        if not legacy:
+            listed = [(h.table, h.operator, h.promo, h.eligible) for h in self.histories]
+            return promo_profiles(listed, cipher=self.cipher, **options).select(PROMO_COLUMNS)
         return promo_profile_union(
-            [promo_profile(h.table, h.operator, h.promo, h.eligible, cipher=self.cipher, **options) for h in self.histories]
+            [promo_profile(h.table, h.operator, h.promo, h.eligible, cipher=self.cipher, legacy=True, **options) for h in self.histories]
         )
 
 

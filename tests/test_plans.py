@@ -75,3 +75,10 @@ def test_links_of_the_matrices_do_not_shuffle(spark):
                 assert rows and text.count("SortMergeJoin") >= 5 and "Exchange" not in text, text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_promotion_profiles_read_each_history_once(spark):
+    """Three operators' histories, each of two test tables, and one shuffle for all of them."""
+    text = plan(Source(spark, SF_DIR).inputs().promo(since=v.PROMO_SINCE))
+    assert scans(text) == 6 and "Window" not in text
+    assert len(re.findall(r"Exchange hashpartitioning\(account_guid", text)) == 1
