@@ -156,7 +156,7 @@ def test_vectors_equal_brute_force(spark, work, block):
 
 
 def test_vector_recall_on_the_test_table(spark, work):
-    frame = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("label in (1, 5)")
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("label in (1, 5)")
     found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame, work).vectors.collect()}
     expected = 0
     for label in (1, 5):
