@@ -29,8 +29,11 @@ SKETCH = 2**17
 # Bits of the map that says which classes' sets are needed. A false hit costs a set that is joined away.
 NEED_BITS = 2**24
 REMEMBERED_WORDS = 300_000
-# Postings of one list that are compared at once in one task.
-LONG_LIST = 2_000
+# Postings of one list that wait in a task to be compared with one another. A longer list is handed on as it comes.
+LONG_LIST = 200_000
+# One in so many shingles is counted exactly, to tell how long lists are; and so many of those reach the driver at most.
+SAMPLED = 1024
+SAMPLE_ROWS = 200_000
 # Odd constants of the shingle hash.
 _BASE, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Texts that are shingled at once, for bounded memory whatever the size of an Arrow batch.
@@ -111,20 +114,27 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 
 def _signatures(rows: DataFrame, kind: str, size: int) -> DataFrame:
     """One pass over the texts: rows of kind 0 with key, set size and class; rows of kind 1 with counter and count of the
-    frequency sketch, one per counter and task. Copies within a task are counted once."""
+    frequency sketch, one per counter and task; rows of kind 2 with a sampled shingle and a class that has it. Copies within
+    a task are counted once."""
 
     def step(batches):
         shingler, counters, seen = Shingler(size), np.zeros(SKETCH, dtype=np.int64), set()
         for batch, texts in _in_parts(batches, 1):
-            sizes, classes = [], []
+            sizes, classes, sampled, owners = [], [], [], []
             for shingles in shingler(texts):
                 name = class_of(shingles)
                 sizes.append(len(shingles))
                 classes.append(name)
                 if name not in seen:
                     seen.add(name)
+                    drawn = shingles[(shingles >> np.uint64(40)) % np.uint64(SAMPLED) == 0].view(np.int64)
+                    sampled.append(drawn)
+                    owners.append(np.full(len(drawn), name, np.int64))
                     counters += np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
             yield {"kind": np.zeros(len(sizes), np.int32), "key": batch.column(0), "n": sizes, "cls": classes, "count": np.zeros(len(sizes), np.int64)}
+            if sampled:
+                drawn = np.concatenate(sampled)
+                yield {"kind": np.full(len(drawn), 2, np.int32), "key": [None] * len(drawn), "n": drawn, "cls": np.concatenate(owners), "count": np.zeros(len(drawn), np.int64)}
         used = np.flatnonzero(counters)
         for i in range(0, len(used), 10_000):
             own = used[i:i + 10_000]
@@ -194,14 +204,14 @@ def _postings(rows: DataFrame, sketch: np.ndarray, boundary: int, percent: int,
     return map_arrow(rows.select("_text"), step, "key long, cls long, n int, pos int")
 
 
-def _shared_lists(postings: DataFrame, percent: int, boundary: int) -> DataFrame:
+def _shared_lists(postings: DataFrame, percent: int) -> DataFrame:
     """The postings whose key another class has as well, with ``least`` (see ``_least_shared``). Rows come sorted by key; the last list of a batch waits
     for the next batch, and of a list longer than ``LONG_LIST`` all are kept as they come."""
     ordered = postings.repartition("key").sortWithinPartitions("key", "cls")
     names = ("key", "cls", "n", "pos")
 
     def kept_of(rows, begins, *long_keys):
-        least = _least_shared(rows, begins, percent, boundary, *long_keys)
+        least = _least_shared(rows, begins, percent, *long_keys)
         lone = np.diff(np.append(begins, len(rows[0]))) == 1
         kept = (~np.repeat(lone, np.diff(np.append(begins, len(rows[0]))))) | (least > 0)
         return {**dict(zip(names, (r[kept] for r in rows))), "least": least[kept]}
@@ -240,36 +250,43 @@ def _often_enough(lists: DataFrame) -> DataFrame:
     return kept.select("key", "cls", "n", "pos")
 
 
-_NO_PARTNER = 2**30
+def _asked(a, b, percent: int):
+    """How many prefix keys sets of sizes ``a`` and ``b`` share at least if they link.
+
+    Of two sets, the one whose prefix ends first in the common order shares only what both prefixes share, and what is
+    behind its prefix: fewer than ``least_overlap`` shingles. So the prefixes share at least the rest of the overlap needed.
+    """
+    needed = -(-percent * (a + b) // (100 + percent))
+    return np.maximum(1, needed - -(-percent * np.maximum(a, b) // 100) + 1)
 
 
-def _least_shared(rows, begins, percent: int, boundary: int, *long_keys) -> np.ndarray:
+def _least_shared(rows, begins, percent: int, *long_keys) -> np.ndarray:
     """Per posting, sorted by key and with the places where lists begin, 0 if it could link with no other one of its list,
     else how many keys it must share with the easiest partner it could link with there.
 
-    Of two sets, the one whose prefix ends first in the common order shares only what both prefixes share, and what is
-    behind its prefix: fewer than ``least_overlap`` shingles. So the prefixes share at least the rest of the overlap needed.
-    Lists of pairs of shingles, and the ``long_keys``, ask for one.
+    A partner's size is at least ``percent`` of the own, at most so much that the own size is ``percent`` of it, and what
+    is left of the own set from this place on covers the overlap needed. Of the sizes in the list that fit, the smallest
+    or the largest asks for least, so two searches in the list's sorted sizes tell. Lists of pairs of shingles, and the
+    ``long_keys``, ask for one.
     """
     keys, _, n, pos = rows
-    least = np.isin(keys, [k for k in long_keys if k is not None]).astype(np.int32)
     sizes = np.diff(np.append(begins, len(keys)))
-    for begin, size in zip(begins[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        own = slice(begin, begin + size)
-        if least[begin]:
-            continue
-        a, b = n[own, None], n[None, own]
-        small, large = np.minimum(a, b), np.maximum(a, b)
-        fits, asked = 100 * small >= percent * large, np.ones((size, size), dtype=np.int64)
-        if pos[begin] >= 0:
-            needed = -(-percent * (a + b) // (100 + percent))
-            left = np.minimum(a - pos[own, None], b - pos[None, own])
-            fits &= (left >= needed) & (large > boundary)
-            asked = np.maximum(1, needed - -(-percent * large // 100) + 1)
-        np.fill_diagonal(fits, False)
-        easiest = np.where(fits, asked, _NO_PARTNER).min(axis=1)
-        least[own] = np.where(easiest < _NO_PARTNER, easiest, 0)
-    return least
+    number = np.repeat(np.arange(len(begins)), sizes)
+    smallest = -(-percent * n // 100)
+    largest = 100 * n // percent
+    single = pos >= 0
+    rest = (n - pos) * (100 + percent) // percent - n
+    largest = np.where(single, np.minimum(largest, rest), largest)
+    wide = int(n.max()) + 2 if len(n) else 2
+    codes = np.sort(number * wide + n)
+    low = np.searchsorted(codes, number * wide + smallest)
+    high = np.searchsorted(codes, number * wide + np.minimum(largest, wide - 1), side="right")
+    own = (smallest <= n) & (n <= largest)
+    some = high - low - own > 0
+    at = lambda place: codes[np.clip(place, 0, max(len(codes) - 1, 0))] - number * wide
+    asked = np.minimum(_asked(n, at(low), percent), _asked(n, at(high - 1), percent))
+    long = np.isin(keys, [k for k in long_keys if k is not None])
+    return np.where(long, 1, np.where(some, np.where(single, asked, 1), 0)).astype(np.int32)
 
 
 def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
@@ -323,8 +340,18 @@ def _others(lists: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough."""
+def _verified(pairs: DataFrame, known: DataFrame, sets: DataFrame, percent: int, boundary: int) -> DataFrame:
+    """The pairs whose sets are similar enough.
+
+    First the few keys that classes share with any other one are compared: a pair that shares fewer than its sizes ask for
+    goes before its sets are fetched. Two light sets have met by a pair of shingles, and are not asked.
+    """
+    a, b = (known.select(F.col("cls").alias(c), F.col("keys").alias(f"keys_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab")
+    large = F.greatest("n_a", "n_b")
+    needed = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    asked = F.greatest(F.lit(1), needed - F.ceil(large * percent / 100) + 1)
+    enough = F.size(F.array_intersect("keys_a", "keys_b")) >= asked
+    pairs = pairs.join(a, "a").join(b, "b").where((large <= boundary) | enough).select("a", "b")
     a, b = (sets.select(F.col("cls").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - shared
@@ -332,14 +359,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _leaders(lists: DataFrame, turn: int) -> DataFrame:
-    """One member of each list, a different one every turn."""
-    chance = F.xxhash64("cls", F.lit(turn)) if turn == 0 else F.xxhash64("cls", "key", F.lit(turn))
+    """One member of each list: first the one that shares most keys with others, which is close to all its copies, then
+    a different one every turn."""
+    chance = -F.col("shared") if turn == 0 else F.xxhash64("cls", F.lit(turn))
     member = F.struct(chance.alias("chance"), "cls", "n", "pos", "root")
     return lists.groupBy("key").agg(F.min(member).alias("m")).select("key", "m.cls", "m.n", "m.pos", "m.root")
 
 
-def _links(lists: DataFrame, sets: DataFrame, percent: int, boundary: int, work: Workspace) -> DataFrame:
-    """Verified links that connect all classes which links connect."""
+# Turns with leaders, unless less than a few pairs per posting are left before.
+LEADER_TURNS = 4
+
+
+def _links(lists: DataFrame, known: DataFrame, sets: DataFrame, percent: int, boundary: int, work: Workspace) -> DataFrame:
+    """Verified links that connect all classes which links connect.
+
+    Leaders propose first, which costs a pair per posting and ties most groups together; then all pairs of a list that are
+    of different components by then are compared.
+    """
     links, turn, before = None, 0, None
     lists = work.store(lists.withColumn("root", F.col("cls")), "lists")
     rows = lists.count()
@@ -349,21 +385,23 @@ def _links(lists: DataFrame, sets: DataFrame, percent: int, boundary: int, work:
         left = apart.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
-        # Proposals by leaders go on while they help and the rest is more than a few pairs per posting.
-        last = left <= 2 * rows or (before is not None and left > 0.9 * before)
-        if turn == 0:
-            last = False
+        last = turn > 0 and (turn >= LEADER_TURNS or left <= 2 * rows or left > 0.7 * before)
         others = _others(lists if last else _leaders(lists, turn))
         joined = lists.join(others, "key").where(F.col("root") != F.col("other_root"))
         if last:
             joined = joined.where("cls < other")
-        found = work.store(_verified(work.store(_pairs(joined, percent, boundary), "pairs"), sets, percent), "found")
+        pairs = work.store(_pairs(joined, percent, boundary), "pairs")
+        found = work.store(_verified(pairs, known, sets, percent, boundary), "found")
+        work.drop(pairs)
         links = found if links is None else links.unionByName(found)
         if last:
             break
         roots = components(links, work).select(F.col("node").alias("cls"), F.col("root").alias("new_root"))
-        lists = lists.drop("root").join(roots, "cls", "left")
-        lists = work.store(lists.select("key", "cls", "n", "pos", F.coalesce("new_root", "cls").alias("root")), "lists")
+        moved = lists.drop("root").join(roots, "cls", "left").withColumn("root", F.coalesce("new_root", "cls")).drop("new_root")
+        # A list all of whose members are connected has nothing left to say.
+        open_ = moved.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
+        done, lists = lists, work.store(moved.join(open_, "key", "left_semi"), "lists")
+        work.drop(done)
         before, turn = left, turn + 1
     if links is None:
         links = lists.select(F.col("cls").alias("a"), F.col("cls").alias("b")).limit(0)
@@ -395,12 +433,21 @@ def jaccard_join(
     sketch = np.zeros(SKETCH, dtype=np.int64)
     sketch[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
     classes = own.where("n > 0").groupBy("cls", "n").agg(F.min("key").alias("first"))
-    boundary = choose_boundary(classes, _scan_cost(sketch), percent)
+    boundary = choose_boundary(classes, _scan_cost(sketch, _sampled_lists(signed.where("kind = 2"))), percent)
 
     postings = _postings(rows, sketch, boundary, percent, size)
-    lists = work.store(_often_enough(work.store(_shared_lists(postings, percent, boundary), "shared")), "lists")
+    shared = work.store(_shared_lists(postings, percent), "shared")
+    lists = _often_enough(shared)
+    known = shared.where("pos >= 0").join(lists.select("cls").distinct(), "cls", "left_semi")
+    # A class has no more keys than its prefix.
+    known = known.groupBy("cls", "n").agg(F.collect_set("key").alias("keys"))
+    left = lists.select("cls", "n").distinct().join(known.drop("n"), "cls", "left")
+    known = work.store(left.withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>"))), "keys")
+    lists = work.store(lists.join(known.select("cls", F.size("keys").alias("shared")), "cls"), "lists")
     sets = work.store(_needed_sets(rows, lists, size), "sets")
-    links = work.store(_links(lists, sets, percent, boundary, work), "links")
+    work.drop(shared)
+    links = work.store(_links(lists, known, sets, percent, boundary, work), "links")
+    work.drop(lists, known, sets)
     roots = components(links, work).select(F.col("node").alias("cls"), "root")
     rooted = classes.join(roots, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -412,14 +459,28 @@ def jaccard_join(
     return JaccardJoin(documents, links, boundary)
 
 
-def _scan_cost(sketch: np.ndarray) -> float:
-    """Expected further members of the list of a shingle from a prefix, beyond what chance puts into its counter: prefixes
-    hold about the rarest quarter of the shingles."""
-    counts = np.sort(sketch[sketch > 0]).astype(float)
-    if not len(counts):
+def _sampled_lists(sample: DataFrame) -> np.ndarray:
+    """Sampled shingles and the exact number of classes of each: two columns, ``SAMPLE_ROWS`` rows or about so many. The
+    sample is by the shingle's hash, so all classes of a sampled shingle are counted."""
+    counted = sample.select("n", "cls").distinct().groupBy("n").agg(F.count(F.lit(1)).alias("classes"))
+    total = sample.count()
+    thinner = max(1, -(-total // SAMPLE_ROWS))
+    table = counted.where(F.pmod(F.xxhash64("n"), F.lit(thinner)) == 0).toArrow()
+    return np.stack([numpy_of(table.column(0).combine_chunks()), numpy_of(table.column(1).combine_chunks())], axis=1)
+
+
+def _scan_cost(sketch: np.ndarray, sampled: np.ndarray) -> float:
+    """Expected further members of the list of a shingle from a prefix, those that share it by chance included.
+
+    Prefixes hold about the quarter of the shingles with the lowest counters; what their lists really hold is known for the
+    sampled ones.
+    """
+    if not len(sampled):
         return 0.0
-    rare = counts[np.cumsum(counts) <= counts.sum() / 4]
-    return max(0.0, float((rare**2).sum() / rare.sum() - counts.sum() / SKETCH)) if len(rare) else 0.0
+    shingles, classes = sampled[:, 0], sampled[:, 1].astype(float)
+    order = np.argsort(sketch[shingles & (SKETCH - 1)], kind="stable")
+    own = order[np.cumsum(classes[order]) <= max(classes.sum() / 4, classes[order[0]])]
+    return float((classes[own] * (classes[own] - 1)).sum() / classes[own].sum())
 
 
 def keep_one(docs: DataFrame, joined: JaccardJoin, key: str = "doc_id") -> DataFrame:
