@@ -4,14 +4,15 @@ A known word scores its log frequency in each language. A word that was never se
 the word with its borders marked: the longest order of which any is known decides, shorter ones are tried in turn. A text is
 the language with the highest sum; its score is that language's share of the likelihood.
 
-All counted words and n-grams stay in tables. Tasks hold the most common words only to be fast: the other words of a text are
-joined with the tables, each distinct one scored once.
+Words and n-grams are counted in a sample of the labelled rows whose size is bounded by a parameter, a small language whole.
+So the model is small enough for every task, and texts are scored where they lie, without a shuffle.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 import re
 
 import numpy as np
@@ -21,8 +22,13 @@ from staykit.llm.arrow import map_arrow
 from staykit.sources.tables import Workspace
 
 ORDERS = (5, 4, 3, 2, 1)
-# Most frequent words of the training texts that each task holds. Others have the same scores, by a join.
-COMMON_WORDS = 60_000
+# Characters of labelled text that the model is fitted on, shared equally by the languages. A language with less than its
+# share is taken whole, one with more by a hash of its texts.
+FIT_CHARS = 16_000_000
+# Unseen words whose scores a task remembers.
+REMEMBERED = 300_000
+# Characters scored at a time.
+SLICE_CHARS = 4_000_000
 UNKNOWN = "und"
 # No word speaks against a language by more than this log frequency, so a few telling words do not outvote a long text.
 MAX_VOTE = 4.0
@@ -44,20 +50,66 @@ def grams_of(word: str, order: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """``words`` holds word and votes, ``grams`` gram and logs: a log frequency per language, in steps. ``common`` gives the row
-    of a common word in ``common_votes``. Tables made while texts are scored go to ``work``."""
+    """Row of each known word in ``votes`` and of each n-gram in ``logs``: a log frequency per language, in steps."""
 
     languages: list[str]
-    words: DataFrame | None
-    grams: DataFrame | None
-    common: dict[str, int]
-    common_votes: np.ndarray
-    work: Workspace
+    words: dict[str, int]
+    votes: np.ndarray
+    grams: dict[str, int]
+    logs: np.ndarray
+
+    def back_off(self, word: str) -> np.ndarray:
+        """Votes of a word that is not known, by the longest n-grams of which any is."""
+        for order in ORDERS:
+            known = [(self.grams[g], n) for g, n in Counter(grams_of(word, order)).items() if g in self.grams]
+            if known:
+                rows, times = np.array(known).T
+                mean = (self.logs[rows] * times[:, None]).sum(axis=0) * _STEP / times.sum()
+                return np.rint(np.maximum(mean, mean.max() - MAX_VOTE) / _STEP).astype(np.int64)
+        return np.zeros(len(self.languages), np.int64)
 
     def word_scores(self, word: str) -> np.ndarray:
-        """The scores of a single word, by a Spark job."""
-        row = score_words(self.work.spark.createDataFrame([(word,)], "word string"), self).first()
-        return np.array(row["votes"]) * _STEP
+        """The scores of a single word."""
+        return (self.votes[self.words[word]] if word in self.words else self.back_off(word)) * _STEP
+
+
+class _Scorer:
+    """Sums of votes of texts. Unseen words are scored once and remembered, until they are too many."""
+
+    def __init__(self, model: LanguageModel):
+        self.model, self.seen, self.scored = model, {}, np.zeros((0, len(model.languages)), np.int64)
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, list[bool]]:
+        """Per text the votes of all its words added up, and whether it has a letter."""
+        model, split = self.model, [words_of(t) for t in texts]
+        flat = list(chain.from_iterable(split))
+        if len(self.seen) > REMEMBERED:
+            self.seen, self.scored = {}, self.scored[:0]
+        new = list(set(flat).difference(model.words).difference(self.seen))
+        if new:
+            self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new))))
+            self.scored = np.concatenate([self.scored, np.stack([model.back_off(w) for w in new])])
+        rows = np.fromiter((model.words.get(w, -1) for w in flat), np.int64, len(flat))
+        votes = np.zeros((len(flat) + 1, len(model.languages)), np.int64)
+        known, unseen = np.flatnonzero(rows >= 0), np.flatnonzero(rows < 0)
+        votes[known + 1] = model.votes[rows[known]]
+        votes[unseen + 1] = self.scored[[self.seen[flat[i]] for i in unseen.tolist()]] if len(unseen) else 0
+        total = np.cumsum(votes, axis=0)
+        ends = np.cumsum([0, *map(len, split)])
+        lettered = [any(any(map(str.isalpha, w)) for w in words) for words in split]
+        return total[ends[1:]] - total[ends[:-1]], lettered
+
+
+def fit_sample(docs: DataFrame, fit_chars: int = FIT_CHARS, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Labelled rows with about ``fit_chars`` characters together: of each language its equal share, or all it has."""
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
+    # One row per language.
+    sizes = rows.groupBy(F.col(lang).alias("_of")).agg(F.sum(F.length(text)).alias("_chars"))
+    count = sizes.agg(F.count(F.lit(1))).scalar()
+    rates = sizes.select("_of", (fit_chars / count / F.col("_chars")).alias("_rate"))
+    place = F.pmod(F.xxhash64(text, lang), F.lit(2**32)) / F.lit(2.0**32)
+    joined = rows.join(F.broadcast(rates), F.col(lang) == F.col("_of"))
+    return joined.where(F.col("_rate").isNull() | (place < F.col("_rate"))).select(text, lang)
 
 
 def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -120,67 +172,49 @@ def _votes(logs: Column) -> Column:
     return _steps(F.transform(logs, lambda x: F.greatest(x, F.array_max(logs) - MAX_VOTE)))
 
 
-def fit_languages(docs: DataFrame, work: Workspace, common: int = COMMON_WORDS) -> LanguageModel:
-    """Counts over all rows of ``docs`` (text, lang) with a language, as tables in ``work``. The driver holds at most ``common``
-    words, a number per language each; what is recognised does not depend on it. Without any labelled row the model knows no
-    language and answers ``und``."""
-    counts = work.store(count_words(docs), "words")
+def _table(rows: DataFrame, width: int) -> tuple[dict[str, int], np.ndarray]:
+    """Rows (text, array of ``width`` numbers) as a dictionary of places and an array."""
+    found = rows.toArrow().combine_chunks()
+    if not found.num_rows:
+        return {}, np.zeros((0, width), np.int64)
+    values = found.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return {w: i for i, w in enumerate(found.column(0).to_pylist())}, values.reshape(-1, width)
+
+
+def fit_languages(docs: DataFrame, work: Workspace, fit_chars: int = FIT_CHARS) -> LanguageModel:
+    """A model of the languages in ``docs`` (text, lang), counted in ``fit_sample`` of its rows.
+
+    The driver holds the words and n-grams of that sample, whose size ``fit_chars`` bounds. Rows without a language or a
+    text teach nothing; repeated rows count each. Without any labelled row the model knows no language and answers ``und``.
+    """
+    counts = work.store(count_words(fit_sample(docs, fit_chars)), "words")
     mass = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
     if not mass:
-        return LanguageModel([], None, None, {}, np.zeros((0, 0), dtype=np.int64), work)
-    words = work.store(_by_language(counts, mass).select("word", "total", _votes(F.col("logs")).alias("votes")), "votes")
-    grams = work.store(_by_language(count_grams(counts), mass).select(F.col("word").alias("gram"), _steps(F.col("logs")).alias("logs")), "grams")
-    top = words.orderBy(F.desc("total"), "word").limit(common).select("word", "votes").toArrow().combine_chunks()
-    votes = top.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False) if top.num_rows else np.zeros(0, dtype=np.int64)
-    places = {w: i for i, w in enumerate(top.column(0).to_pylist())}
-    return LanguageModel(list(mass), words.drop("total"), grams, places, votes.reshape(-1, len(mass)), work)
+        return LanguageModel([], {}, np.zeros((0, 0), np.int64), {}, np.zeros((0, 0), np.int64))
+    words = _table(_by_language(counts, mass).select("word", _votes(F.col("logs"))), len(mass))
+    grams = _table(_by_language(count_grams(counts), mass).select("word", _steps(F.col("logs"))), len(mass))
+    work.drop(counts)
+    return LanguageModel(list(mass), *words, *grams)
 
 
-def score_words(words: DataFrame, model: LanguageModel) -> DataFrame:
-    """word, votes of distinct words: by the table of words, and by the n-grams where a word is not in it."""
-    looked_up = words.join(model.words, "word", "left")
-    known = looked_up.where(F.col("votes").isNotNull())
-
-    def step(batches):
-        for batch in batches:
-            found = [
-                (word, order, gram, n) for word in batch.column(0).to_pylist() for order in ORDERS
-                for gram, n in Counter(grams_of(word, order)).items()
-            ]
-            yield dict(zip(("word", "order", "gram", "n"), map(list, zip(*found)))) if found else {"word": [], "order": [], "gram": [], "n": []}
-
-    new = looked_up.where(F.col("votes").isNull()).select("word")
-    pieces = map_arrow(new, step, "word string, order int, gram string, n long")
-    every = range(len(model.languages))
-    sums = pieces.join(model.grams, "gram").groupBy("word", "order").agg(
-        F.sum("n").alias("n"), F.array(*[F.sum(F.col("n") * F.col("logs")[i]) for i in every]).alias("sums")
-    )
-    longest = sums.groupBy("word").agg(F.max_by(F.struct("n", "sums"), "order").alias("best"))
-    mean = longest.select("word", F.transform("best.sums", lambda x: x * _STEP / F.col("best.n")).alias("logs"))
-    backed = new.join(mean.select("word", _votes(F.col("logs")).alias("votes")), "word", "left")
-    nothing = F.array(*[F.lit(0).cast("long") for _ in every])
-    return known.unionByName(backed.withColumn("votes", F.coalesce("votes", nothing)))
-
-
-def _common_votes(texts: list[str], places: dict[str, int], votes: np.ndarray):
-    """Of each text the sum of its common words' votes, its other words, how often each occurs, and whether it has letters."""
-    for text in texts:
-        words = words_of(text)
-        rows = list(map(places.get, words))
-        others = Counter()
-        if None in rows:
-            others = Counter(w for w, row in zip(words, rows) if row is None)
-            rows = [row for row in rows if row is not None]
-        sums = votes[rows].sum(axis=0) if rows else np.zeros(votes.shape[1], dtype=np.int64)
-        yield sums.tolist(), list(others), list(others.values()), any(any(map(str.isalpha, w)) for w in words)
+def _slices(texts: list[str]):
+    """Row ranges of about ``SLICE_CHARS`` characters; a longer text comes alone."""
+    begin, size = 0, 0
+    for row, text in enumerate(texts):
+        if size and size + len(text) > SLICE_CHARS:
+            yield begin, row
+            begin, size = row, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), without its text unless ``keep_text``; equal names give way.
 
     Only the text is looked at. A NULL text and a text without letters are ``und`` with score 0; repeated rows are scored
-    each; ties go to the first language in alphabetical order. Texts are read once; what is shuffled are the words that are
-    not common, one row per document and word.
+    each; ties go to the first language in alphabetical order; an empty table gives no rows. Very long texts are scored
+    whole. Texts are mapped where they lie, and nothing is shuffled.
     """
     others = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     kept = [*others, text] if keep_text else others
@@ -188,27 +222,19 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep_tex
         return docs.select(*[F.col(f"`{c}`") for c in kept], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     names = [f"c{i}" for i in range(len(kept))]
     shape = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for n, c in zip(names, kept))
-    shared = docs.sparkSession.sparkContext.broadcast((model.common, model.common_votes))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches):
+        scorer = _Scorer(shared.value)
         for batch in batches:
-            found = list(_common_votes([t or "" for t in batch.column(len(others)).to_pylist()], *shared.value))
-            yield {
-                **{n: batch.column(i) for i, n in enumerate(names)}, "row": batch.column(len(others) + 1),
-                **{n: [f[i] for f in found] for i, n in enumerate(("sums", "rest", "times", "lettered"))},
-            }
-
-    rows = docs.select(*[F.col(f"`{c}`") for c in (*others, text)], F.monotonically_increasing_id().alias("_row_of_text"))
-    marked = model.work.store(
-        map_arrow(rows, step, f"{shape}row long, sums array<long>, rest array<string>, times array<long>, lettered boolean"), "marked"
-    )
-    rest = marked.where(F.size("rest") > 0).select("row", F.inline(F.arrays_zip(F.col("rest").alias("word"), F.col("times").alias("n"))))
-    rest = rest.toDF("row", "word", "n")
-    scored = model.work.store(score_words(rest.select("word").distinct(), model), "scored")
-    every = range(len(model.languages))
-    added = rest.join(scored, "word").groupBy("row").agg(F.array(*[F.sum(F.col("n") * F.col("votes")[i]) for i in every]).alias("added"))
-    total = F.when(F.col("added").isNull(), F.col("sums")).otherwise(F.zip_with("sums", "added", lambda a, b: a + b))
-    judged = marked.drop("rest", "times").join(added, "row", "left").withColumn("total", total).withColumn("top", F.array_max("total"))
+            texts = [t or "" for t in batch.column(len(others)).to_pylist()]
+            for begin, end in _slices(texts):
+                sums, lettered = scorer.sums(texts[begin:end])
+                rows = batch.slice(begin, end - begin)
+                yield {**{n: rows.column(i) for i, n in enumerate(names)}, "total": sums.tolist(), "lettered": lettered}
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in (*others, text)])
+    judged = map_arrow(rows, step, f"{shape}total array<long>, lettered boolean").withColumn("top", F.array_max("total"))
     best = F.get(F.array(*map(F.lit, model.languages)), (F.array_position("total", F.col("top")) - 1).cast("int"))
     share = 1 / F.aggregate("total", F.lit(0.0), lambda s, x: s + F.exp((x - F.col("top")) * _STEP))
     return judged.select(

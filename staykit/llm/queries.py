@@ -42,8 +42,9 @@ def op3_token_counts(spark, sf_dir):
 def op5_language(spark, sf_dir):
     """Word-first backoff, learned from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    held_out = id_remainder(4) == 2
-    model = language.fit_languages(docs.where(~held_out).select("text", "lang"), Workspace(spark))
+    held_out = F.coalesce(id_remainder(4) == 2, F.lit(False))
+    with Workspace(spark) as work:
+        model = language.fit_languages(docs.where(~held_out).select("text", "lang"), work)
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 import pytest
 
@@ -111,12 +114,46 @@ def test_language_of_rare_words_beside_a_large_language(spark, work):
     assert all(r.right > 0.98 for r in found.collect()) and found.count() == 2
 
 
-def test_language_does_not_depend_on_the_words_held(spark, work):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    train, test = docs.where("doc_id % 4 > 0"), docs.where("doc_id % 4 = 0")
-    few, many = (language.identify(test, language.fit_languages(train, work, common=n), keep_text=True) for n in (20, 60_000))
-    assert few.columns == [*[c for c in docs.columns if c != "text"], "text", "lang_pred", "score"]
-    assert few.exceptAll(many).isEmpty() and few.count() == many.count() == test.count()
+def test_language_equals_a_plain_count(spark, work, monkeypatch):
+    """A small counted model and the rule of the longest known letter groups, word by word."""
+    docs = [(1, "Katze Hund katze, Hündin", "de", "s"), (2, "chat chien chat chaton", "fr", "s"), (3, "cat dog cat 12 dogma", "en", "s")]
+    counts = {lang: Counter(language.words_of(t)) for _, t, lang, _ in docs}
+    langs, mass = sorted(counts), {lang: c.total() for lang, c in counts.items()}
+    never = 0.05 / (max(mass.values()) + 1)
+
+    def logs(of):
+        return np.array([math.log((of[lang] + 0.05) / (mass[lang] + 1)) if of[lang] else math.log(never) for lang in langs])
+
+    def votes(word):
+        own = {lang: c[word] for lang, c in counts.items()}
+        for order in (5, 4, 3, 2, 1):
+            if any(own.values()):
+                found = logs(own)
+                return np.maximum(found, found.max() - 4)
+            grams = {lang: Counter(g for w, n in c.items() for g in language.grams_of(w, order) for _ in range(n)) for lang, c in counts.items()}
+            mine = [g for g in language.grams_of(word, order) if any(c[g] for c in grams.values())]
+            if mine:
+                found = np.mean([logs({lang: c[g] for lang, c in grams.items()}) for g in mine], axis=0)
+                return np.maximum(found, found.max() - 4)
+        return np.zeros(len(langs))
+
+    model = language.fit_languages(spark.createDataFrame(docs, DOCS), work)
+    texts = ["katzen und hunde", "les chats", "dogs and cats", "xyz qqq", "hündchen chatons dogmatic"]
+    monkeypatch.setattr(language, "REMEMBERED", 2)
+    for word in {w for t in texts for w in language.words_of(t)}:
+        assert model.word_scores(word) == pytest.approx(votes(word), abs=1e-6)
+    found = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in found:
+        total = sum(votes(w) for w in language.words_of(texts[r.doc_id]))
+        assert r.score == pytest.approx(1 / np.exp(total - total.max()).sum(), abs=1e-6)
+        assert r.lang_pred == langs[int(np.argmax(np.round(total, 6)))]
+
+
+def test_language_sample_is_bounded_and_keeps_small_languages(spark):
+    rows = spark.range(20_000).select(F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 100 == 0, "rare").otherwise("large").alias("lang"))
+    found = {r["lang"]: (r["n"], r["c"]) for r in language.fit_sample(rows, 20_000).groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("c")).collect()}
+    assert found["rare"][0] == 200 and 8_000 < found["large"][1] < 12_000
+    assert language.fit_sample(rows, 10**9).count() == 20_000
 
 
 # Toxicity
