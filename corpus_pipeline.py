@@ -34,14 +34,16 @@ def _apart(stage):
 @_apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below one half. The model is learned from all labels of the documents at hand."""
-    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), Workspace(spark))
+    with Workspace(spark) as work:
+        model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), work)
     return toxicity.score_toxicity(docs, model, keep_text=True).where("predicted = 0").select(*docs.columns)
 
 
 @_apart
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a known language is recognised. The model is learned from the declared languages."""
-    model = language.fit_languages(docs, Workspace(spark))
+    with Workspace(spark) as work:
+        model = language.fit_languages(docs, work)
     marked = language.identify(docs, model, keep_text=True)
     kept = marked.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE))
     return kept.select(*docs.columns)
@@ -78,7 +80,8 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-# Two stages are learned classifiers, which SQL cannot express; tests compare every stage with a brute-force version.
+# Two stages are learned classifiers, which SQL cannot express. Tests compare the stages with plain versions where there is
+# one (near copies, decontamination), and with planted rows where there is none.
 ORACLE_SQL = None
 
 
