@@ -107,13 +107,17 @@ def class_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - 2**63
 
 
+def text_hash(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - 2**63
+
+
 def least_overlap(n: int, percent: int = PERCENT) -> int:
     """Shared shingles that any partner of a set of ``n`` must have."""
     return -(-percent * n // 100)
 
 
 def _signatures(rows: DataFrame, kind: str, size: int) -> DataFrame:
-    """One pass over the texts: rows of kind 0 with key, set size and class; rows of kind 1 with counter and count of the
+    """One pass over the texts: rows of kind 0 with key, set size, class and, as ``count``, a hash of the text; rows of kind 1 with counter and count of the
     frequency sketch, one per counter and task; rows of kind 2 with a sampled shingle and a class that has it. Copies within
     a task are counted once."""
 
@@ -121,6 +125,7 @@ def _signatures(rows: DataFrame, kind: str, size: int) -> DataFrame:
         shingler, counters, seen = Shingler(size), np.zeros(SKETCH, dtype=np.int64), set()
         for batch, texts in _in_parts(batches, 1):
             sizes, classes, sampled, owners = [], [], [], []
+            hashes = [text_hash(t) for t in texts]
             for shingles in shingler(texts):
                 name = class_of(shingles)
                 sizes.append(len(shingles))
@@ -131,7 +136,7 @@ def _signatures(rows: DataFrame, kind: str, size: int) -> DataFrame:
                     sampled.append(drawn)
                     owners.append(np.full(len(drawn), name, np.int64))
                     counters += np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-            yield {"kind": np.zeros(len(sizes), np.int32), "key": batch.column(0), "n": sizes, "cls": classes, "count": np.zeros(len(sizes), np.int64)}
+            yield {"kind": np.zeros(len(sizes), np.int32), "key": batch.column(0), "n": sizes, "cls": classes, "count": hashes}
             if sampled:
                 drawn = np.concatenate(sampled)
                 yield {"kind": np.full(len(drawn), 2, np.int32), "key": [None] * len(drawn), "n": drawn, "cls": np.concatenate(owners), "count": np.zeros(len(drawn), np.int64)}
@@ -289,12 +294,14 @@ def _least_shared(rows, begins, percent: int, *long_keys) -> np.ndarray:
     return np.where(long, 1, np.where(some, np.where(single, asked, 1), 0)).astype(np.int32)
 
 
-def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
-    """cls and its sorted shingles, for the classes that share a key."""
+def _needed_sets(rows: DataFrame, lists: DataFrame, own: DataFrame, size: int) -> DataFrame:
+    """cls and its sorted shingles, for the classes that share a key. Other texts are told by a map of hashed texts, and
+    not shingled again."""
     need = lists.select("cls").distinct()
-    bit = F.pmod("cls", F.lit(NEED_BITS))
-    words = need.groupBy(F.floor(bit / 8).cast("int").alias("byte")).agg(
-        F.bit_or(F.expr(f"shiftleft(1, CAST(pmod(cls, {NEED_BITS}) % 8 AS INT))")).alias("bits")
+    bit = F.pmod("text", F.lit(NEED_BITS))
+    texts = own.join(need, "cls", "left_semi").select("text")
+    words = texts.groupBy(F.floor(bit / 8).cast("int").alias("byte")).agg(
+        F.bit_or(F.expr(f"shiftleft(1, CAST(pmod(text, {NEED_BITS}) % 8 AS INT))")).alias("bits")
     ).toArrow()
     marks = np.zeros(NEED_BITS // 8, dtype=np.uint8)
     marks[words.column(0).to_numpy()] = words.column(1).to_numpy()
@@ -303,11 +310,12 @@ def _needed_sets(rows: DataFrame, lists: DataFrame, size: int) -> DataFrame:
     def step(batches):
         shingler, marked, seen = Shingler(size), shared.value, set()
         for _, texts in _in_parts(batches, 0):
+            places = [text_hash(t) % NEED_BITS for t in texts]
+            wanted = [t for t, at in zip(texts, places) if marked[at >> 3] >> (at & 7) & 1]
             classes, sets = [], []
-            for shingles in shingler(texts):
+            for shingles in shingler(wanted):
                 name = class_of(shingles)
-                at = name % NEED_BITS
-                if name not in seen and marked[at >> 3] >> (at & 7) & 1:
+                if name not in seen:
                     seen.add(name)
                     classes.append(name)
                     sets.append(shingles.view(np.int64))
@@ -366,8 +374,8 @@ def _leaders(lists: DataFrame, turn: int) -> DataFrame:
     return lists.groupBy("key").agg(F.min(member).alias("m")).select("key", "m.cls", "m.n", "m.pos", "m.root")
 
 
-# Turns with leaders, unless less than a few pairs per posting are left before.
-LEADER_TURNS = 4
+# Leaders have turns until no more than so many pairs per posting are left, or they stop helping.
+LEFT_PAIRS = 50
 
 
 def _links(lists: DataFrame, known: DataFrame, sets: DataFrame, percent: int, boundary: int, work: Workspace) -> DataFrame:
@@ -385,7 +393,7 @@ def _links(lists: DataFrame, known: DataFrame, sets: DataFrame, percent: int, bo
         left = apart.agg(F.sum("pairs")).first()[0] or 0
         if not left:
             break
-        last = turn > 0 and (turn >= LEADER_TURNS or left <= 2 * rows or left > 0.7 * before)
+        last = turn > 0 and (left <= LEFT_PAIRS * rows or left > 0.7 * before)
         others = _others(lists if last else _leaders(lists, turn))
         joined = lists.join(others, "key").where(F.col("root") != F.col("other_root"))
         if last:
@@ -428,7 +436,7 @@ def jaccard_join(
     kind = docs.schema[key].dataType.simpleString()
     rows = with_bytes(docs.select(F.col(key).alias("key"), text), text)
     signed = work.store(_signatures(rows, kind, size), "signatures")
-    own = signed.where("kind = 0").select("key", "n", "cls")
+    own = signed.where("kind = 0").select("key", "n", "cls", F.col("count").alias("text"))
     counted = signed.where("kind = 1").groupBy("n").agg(F.sum("count").alias("count")).toArrow()
     sketch = np.zeros(SKETCH, dtype=np.int64)
     sketch[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
@@ -444,7 +452,7 @@ def jaccard_join(
     left = lists.select("cls", "n").distinct().join(known.drop("n"), "cls", "left")
     known = work.store(left.withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>"))), "keys")
     lists = work.store(lists.join(known.select("cls", F.size("keys").alias("shared")), "cls"), "lists")
-    sets = work.store(_needed_sets(rows, lists, size), "sets")
+    sets = work.store(_needed_sets(rows, lists, own, size), "sets")
     work.drop(shared)
     links = work.store(_links(lists, known, sets, percent, boundary, work), "links")
     work.drop(lists, known, sets)
