@@ -80,6 +80,11 @@ def _loss_spans(turns: Column) -> Column:
     return F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end")))
 
 
+def loss_texts(formatted: Column, loss_spans: Column) -> Column:
+    """The texts that the loss mask covers, cut out of the rendered text by its spans, with escapes undone."""
+    return F.transform(loss_spans, lambda s: unescape_text(F.substr(formatted, s["begin"] + 1, s["end"] - s["begin"])))
+
+
 def format_chats(rows: DataFrame, rounds: int = 3) -> DataFrame:
     """One row per conversation: ``conv_id``, ``formatted``, ``loss_spans``, ``escaped_turns`` and ``identical``.
 

@@ -9,12 +9,13 @@ many describe a vector follows from the share of links found on a sample.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from staykit.llm.arrow import map_arrow, numpy_of
 from staykit.llm.components import components
@@ -170,7 +171,7 @@ def _postings(vectors: DataFrame, pivots: np.ndarray, nearest: int, shared: int)
         weights = (len(points) + 1) ** np.arange(choices.shape[1])
         for batch in batches:
             units = _unit_vectors(batch.column(2))
-            near = _nearest_pivots(units, points, width)
+            near = _nearest_by_part(units, points, width)
             near.sort(axis=1)
             lists = (near[:, choices] * weights).sum(axis=2)
             times, rows = lists.shape[1], np.repeat(np.arange(len(units)), lists.shape[1])
@@ -285,26 +286,32 @@ def near_duplicates(
 
     ``vectors`` of the result has a row per vec_id: n_links, component_id (the smallest vec_id that links reach) and kept
     (it names its component). Rows that repeat a vec_id are one vector, the smallest by label and embedding. Vectors that
-    are NULL, empty or zero, hold NULL or non-finite components or have no label link with nothing, nor do vectors of
-    another length than most; rows with a NULL vec_id have no links and a NULL component, and are not kept. An empty table
-    gives no rows. Whatever is linked has been verified; a link is missed when the two vectors share fewer than ``shared``
+    are NULL, empty or zero, hold NULL or non-finite components or have no label link with nothing; vectors link with
+    vectors of their own length only, and each length has an index of its own, so the lengths should be few. Labels may have
+    any type; those that are no whole numbers enter by a 64-bit hash. Rows with a NULL vec_id have no links and a NULL
+    component, and are not kept. An empty table gives no rows. Whatever is linked has been verified; a link is missed when the two vectors share fewer than ``shared``
     of their nearest pivots, of which each has ``nearest`` or more.
     """
+    whole = isinstance(vectors.schema["label"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    label = F.col("one.label").cast("long") if whole else F.when(F.col("one.label").isNotNull(), F.xxhash64("one.label"))
     named = vectors.where(F.col("vec_id").isNotNull()).groupBy("vec_id").agg(
         F.min(F.struct("label", F.col("embedding").cast("array<double>").alias("v"))).alias("one")
-    ).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("one.label").cast("long").alias("label"), F.col("one.v").alias("v"))
+    ).select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), F.col("one.v").alias("v"))
     good = work.store(_units(named.where(F.col("label").isNotNull() & usable(F.col("v")))), "units")
-    width = good.groupBy(F.size("_unit").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    lengths = good.groupBy(F.size("_unit").alias("length")).count().where("count > 1").orderBy("length").collect()
     every = named.select("vec_id")
-    if width is None:
+    if not lengths:
         links = work.spark.createDataFrame([], "a long, b long")
         found = every.withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col("vec_id")})
     else:
-        good, count = good.where(F.size("_unit") == width["width"]), width["count"]
-        pivots, nearest = choose_pivots(good, count, threshold, nearest, shared)
-        shared = min(shared, nearest, len(pivots))
-        blocks = _blocks(_postings(good, pivots, nearest, shared), block)
-        compared = work.store(_compare(blocks, threshold, shared, nearest, len(pivots)), "compared")
+        parts = []
+        for length in lengths:
+            own = good.where(F.size("_unit") == length["length"])
+            pivots, described = choose_pivots(own, length["count"], threshold, nearest, shared)
+            common = min(shared, described, len(pivots))
+            blocks = _blocks(_postings(own, pivots, described, common), block)
+            parts.append(work.store(_compare(blocks, threshold, common, described, len(pivots)), "compared"))
+        compared = reduce(DataFrame.unionByName, parts)
         links = work.store(compared.where("vec_id <> other").select(F.col("vec_id").alias("a"), F.col("other").alias("b")).distinct(), "pieces")
         counts = compared.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
         roots = components(links, work).select(F.col("node").alias("vec_id"), "root")

@@ -2,7 +2,7 @@
 
 One classifier sees the text's content (which words and letter groups), the other its page metadata (source, language,
 length, layout of lines and characters). Over some rounds each labels unlabelled documents it is confident about for the
-other one to learn from. In the end each view's score is calibrated on labelled documents that no fit has seen, and the
+other one to learn from; the pool they choose from is filled up each round from all unlabelled documents. In the end each view's score is calibrated on labelled documents that no fit has seen, and the
 calibrated views are combined.
 """
 
@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, functions as F
 from staykit.llm.arrow import map_arrow
 from staykit.sources.tables import Workspace
 
-# Labelled and unlabelled documents the views are fitted on, at most (as expected value of hash samples).
+# Labelled documents the views are fitted on, at most, and unlabelled ones that a round adds to the pool (as expected values
+# of hash samples).
 FIT_ROWS = 20_000
 POOL_ROWS = 20_000
 CONTENT_WIDTH = 512
-ROUNDS = 2
+ROUNDS = 3
 # What counts as confident, and the share of the pool that a view may label in a round, per class as common as the class.
 CONFIDENT = 0.95
 SHARE = 0.1
@@ -117,7 +118,7 @@ def _fit(rows: DataFrame, view: str):
     total = sum(counts.values())
     weight = F.when(F.col("label") == 1, total / (2 * counts[1])).otherwise(total / (2 * counts[0]))
     frame = rows.select("label", weight.alias("weight"), array_to_vector(view).alias("features"))
-    return LogisticRegression(labelCol="label", weightCol="weight", regParam=1e-4, maxIter=30).fit(frame)
+    return LogisticRegression(labelCol="label", weightCol="weight", regParam=1e-4, maxIter=60).fit(frame)
 
 
 def _logit(model, view: str):
@@ -127,9 +128,11 @@ def _logit(model, view: str):
     return F.aggregate(product, F.lit(float(model.intercept)), lambda total, x: total + x)
 
 
-def _hash_share(rows: DataFrame, wanted: int, seed: int) -> DataFrame:
+def _hash_slices(rows: DataFrame, wanted: int, seed: int, slices: int = 1) -> DataFrame:
+    """Of the rows those in the first ``slices`` parts of about ``wanted`` rows each, with ``slice`` (from 0)."""
     share = min(1.0, wanted / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2**20)) < F.lit(int(share * 2**20)))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2**40)) / F.lit(share * 2**40)
+    return rows.withColumn("slice", F.floor(place).cast("int")).where(F.col("slice") < slices)
 
 
 def fit_quality(
@@ -138,48 +141,47 @@ def fit_quality(
 ) -> QualityModel | float:
     """A model from ``docs`` (doc_id, text, source, lang) and ``labels`` (doc_id and ``label``, 0 or 1).
 
-    At most about ``fit_rows`` labelled and ``pool_rows`` unlabelled documents are used, drawn by a hash of doc_id; both are
-    bounded, so the drawn labels are broadcast and texts stay where they are. A fifth of the labelled ones only calibrates.
-    With repeated labels the largest counts; NULL labels are none. If a class is missing the result is the share of label 1
-    instead of a model (0.5 without labels).
+    At most about ``fit_rows`` labelled documents are used, and each round adds ``pool_rows`` further unlabelled ones to the
+    pool, drawn by a hash of doc_id from all of them; the drawn ids are bounded, so they are broadcast and texts stay where
+    they are. A fifth of the labelled ones only calibrates. With repeated labels the largest counts; NULL labels are none.
+    Rows that repeat a doc_id are documents of their own. Texts are read whole, NULL ones as empty. If a class is missing
+    the result is the share of label 1 instead of a model (0.5 without labels, as for empty tables).
     """
     one_each = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label")
     )
-    drawn = _hash_share(one_each, fit_rows, 21).withColumn("use", F.when(F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(5)) == 0, "calibrate").otherwise("fit"))
-    pool = _hash_share(docs.select("doc_id").join(one_each, "doc_id", "left_anti"), pool_rows, 23).distinct()
-    sample = drawn.unionByName(pool.select("doc_id", F.lit(None).cast("int").alias("label"), F.lit("pool").alias("use")))
-    sample = work.store(sample, "sample")  # about fit_rows + pool_rows short rows
+    drawn = _hash_slices(one_each, fit_rows, 21).withColumn("use", F.when(F.pmod(F.xxhash64("doc_id", F.lit(22)), F.lit(5)) == 0, "calibrate").otherwise("fit"))
+    unlabelled = docs.select("doc_id").distinct().join(one_each, "doc_id", "left_anti")
+    pool = _hash_slices(unlabelled, pool_rows, 23, rounds).withColumns({"label": F.lit(None).cast("int"), "use": F.lit("pool")})
+    sample = work.store(drawn.unionByName(pool), "sample")  # about fit_rows + rounds * pool_rows short rows
     rows = docs.select("doc_id", "text", "source", "lang").join(F.broadcast(sample), "doc_id")
-    seen = work.store(with_views(rows, ["doc_id", "label", "use"]), "views")
+    seen = work.store(with_views(rows, ["label", "use", "slice"]), "views")
     found = {(r[0], r[1]): r[2] for r in seen.groupBy("use", "label").count().collect()}
     if any(not found.get((use, y)) for use in ("fit", "calibrate") for y in (0, 1)):
         ones, all_ = sum(n for (_, y), n in found.items() if y == 1), sum(n for (_, y), n in found.items() if y is not None)
         return ones / all_ if all_ else 0.5
 
-    labelled, pool = seen.where("use = 'fit'"), seen.where("use = 'pool'")
+    labelled = seen.where("use = 'fit'")
     base = found["fit", 1] / (found["fit", 0] + found["fit", 1])
-    added = {view: None for view in VIEWS}  # pseudo-labels for a view, given by the other one
+    added = {view: None for view in VIEWS}  # pseudo-labelled rows for a view, labelled by the other one
     models = {}
     for turn in range(rounds + 1):
         for view in VIEWS:
             train = labelled.select("label", view)
             if added[view] is not None:
-                train = train.unionByName(pool.join(added[view], "doc_id").select("new_label", view).toDF("label", view))
+                train = train.unionByName(added[view])
             models[view] = _fit(train, view)
         if turn == rounds or not found.get(("pool", None)):
             break
-        quota = SHARE * (turn + 1) * found["pool", None]
+        pool = seen.where((F.col("use") == "pool") & (F.col("slice") <= turn))
         for view, other in (VIEWS, VIEWS[::-1]):
-            chance = 1 / (1 + F.exp(-_logit(models[view], view)))
-            scored = work.store(pool.select("doc_id", chance.alias("chance")), "scored")
+            scored = pool.select((1 / (1 + F.exp(-_logit(models[view], view)))).alias("chance"), other)
             # The quantile keeps both classes as common as among the labelled; it is taken over the bounded pool.
-            high, low = scored.select(
-                F.percentile("chance", 1 - min(1.0, quota * base / found["pool", None])),
-                F.percentile("chance", min(1.0, quota * (1 - base) / found["pool", None])),
-            ).first()
+            high, low = scored.select(F.percentile("chance", 1 - SHARE * base), F.percentile("chance", SHARE * (1 - base))).first()
+            if high is None:  # nothing in the pool yet
+                continue
             sure = F.when(F.col("chance") >= max(CONFIDENT, high), 1).when(F.col("chance") <= min(1 - CONFIDENT, low), 0)
-            added[other] = work.store(scored.select("doc_id", sure.alias("new_label")).where("new_label IS NOT NULL"), "pseudo")
+            added[other] = scored.select(sure.alias("label"), other).where("label IS NOT NULL")
 
     held = seen.where("use = 'calibrate'").select("label", *[_logit(models[v], v).alias(v) for v in VIEWS])
     held = work.store(held, "held")
@@ -198,7 +200,7 @@ def _platt(rows: DataFrame, columns: list[str]) -> tuple[float, ...]:
     counts against its own direction."""
     features = array_to_vector(F.array(*[F.least(F.greatest(F.col(c), F.lit(-30.0)), F.lit(30.0)) for c in columns]))
     frame = rows.select(F.col("label").cast("double").alias("label"), features.alias("features"))
-    model = LogisticRegression(regParam=1e-3, maxIter=30, standardization=False).fit(frame)
+    model = LogisticRegression(regParam=1e-3, maxIter=60, standardization=False).fit(frame)
     return (*np.maximum(model.coefficients.toArray(), 0.0).tolist(), float(model.intercept))
 
 

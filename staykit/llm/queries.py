@@ -21,9 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_remainder(modulo: int):
-    """crc32 of the document's id as text."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulo))
+def held_out_by(modulo: int, remainder: int):
+    """Whether crc32 of the document's id as text leaves this remainder; a NULL id is not held out."""
+    left = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulo))
+    return F.coalesce(left == remainder, F.lit(False))
 
 
 def vocabulary_path() -> str:
@@ -42,7 +43,7 @@ def op3_token_counts(spark, sf_dir):
 def op5_language(spark, sf_dir):
     """Word-first backoff, learned from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    held_out = F.coalesce(id_remainder(4) == 2, F.lit(False))
+    held_out = held_out_by(4, 2)
     with Workspace(spark) as work:
         model = language.fit_languages(docs.where(~held_out).select("text", "lang"), work)
     found = language.identify(docs.select("doc_id", "text"), model)
@@ -62,7 +63,7 @@ def op7_chat_format(spark, sf_dir):
     )
     chats = chat.format_chats(rows.unionByName(hostile)).withColumn("turns", chat.parse(F.col("formatted")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    loss = F.array_join(chat.loss_texts(F.col("formatted"), F.col("loss_spans")), "")
     return chats.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
@@ -84,12 +85,18 @@ def op8_decontaminate(spark, sf_dir):
 
 @query
 def op9_toxicity(spark, sf_dir):
-    """Noisy-or of sentence scores, learned from the document labels that are not held out."""
+    """Noisy-or of sentence scores, learned from the document labels that are not held out; how many sentences offend, and
+    where the likeliest of them stands."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
-    held_out = id_remainder(5) == 0
-    model = toxicity.fit_toxicity(docs.where(~held_out), labels.where(~held_out), Workspace(spark))
-    scored = toxicity.score_toxicity(docs, model)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    held_out = held_out_by(5, 0)
+    with Workspace(spark) as work:
+        model = toxicity.fit_toxicity(docs.where(~held_out), labels.where(~held_out), work)
+    scored = toxicity.score_toxicity(docs, model, locate=True)
+    worst = F.try_element_at("offences", F.lit(1))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", F.size("offences").cast("long").alias("n_offences"),
+        worst["begin"].alias("offence_begin"), worst["end"].alias("offence_end"),
+    )
 
 
 RULES = [
@@ -139,9 +146,11 @@ def op2_mixing(spark, sf_dir):
 def op6_quality(spark, sf_dir):
     """Co-trained content and metadata views, learned from the documents whose crc32 modulo 5 is not 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    held_out = id_remainder(5) == 1
+    held_out = held_out_by(5, 1)
     labels = table(spark, sf_dir, "labels").where(~held_out)
-    scored = quality.score_quality(docs, quality.fit_quality(docs, labels, Workspace(spark)))
+    with Workspace(spark) as work:
+        model = quality.fit_quality(docs, labels, work)
+    scored = quality.score_quality(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

@@ -173,8 +173,8 @@ def fit_toxicity(
     )
     count = one_each.count()
     share = min(1.0, fit_rows / max(1, count))
-    # A hash of the key spreads evenly; 2**20 steps are fine enough for the share.
-    sample = one_each.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2**20)) < F.lit(int(share * 2**20)))
+    # A hash of the key spreads evenly; 2**40 steps are fine enough for the share of any table.
+    sample = one_each.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2**40)) < F.lit(int(share * 2**40)))
     rows = work.store(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "_label"), "sample")
     found = {r[0]: r[1] for r in rows.groupBy("_label").count().collect()}
     toxic, clean = found.get(1, 0), found.get(0, 0)
@@ -217,30 +217,53 @@ class _Scorer:
         places = np.concatenate([np.flatnonzero(ends), [len(tokens) - 1]]) if tokens else np.zeros(0, dtype=int)
         return self.model.bias + np.diff(np.concatenate([[0.0], sums[places]]))
 
-    def score(self, text: str) -> float:
-        calm = -np.logaddexp(0, self.logits(text)).sum() - np.logaddexp(0, self.model.leak)
-        return float(-np.expm1(calm))
+    def chance_of(self, logits: np.ndarray) -> float:
+        """Noisy-or of a document's sentences and its leak."""
+        return float(-np.expm1(-np.logaddexp(0, logits).sum() - np.logaddexp(0, self.model.leak)))
 
+    def offences(self, text: str, threshold: float) -> list[tuple[int, int, int, float]]:
+        """Number, begin, end and probability of the sentences of probability ``threshold`` or more."""
+        out = []
+        for number, found in enumerate(_SENTENCES.finditer(text)):
+            chance = float(1 / (1 + np.exp(-self.logits(found.group())[:1].sum())))
+            if chance >= threshold:
+                out.append((number, found.start(), found.end(), chance))
+        return out
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+
+_OFFENCES = "offences array<struct<begin:bigint,end:bigint,probability:double>>"
+
+
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, text: str = "text", keep_text: bool = False, locate: bool = False,
+) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), without its text unless ``keep_text``; equal
-    names give way.
+    names give way. With ``locate`` also ``offences``: begin, end (character offsets) and probability of the sentences
+    of probability 0.5 or more, likeliest first, in the order of the text where alike; empty where there are none.
 
-    Whole texts are scored; a NULL or empty text has the leak's score. Repeated rows are scored each. Nothing is shuffled.
+    Whole texts are scored, however long; a NULL or empty text has the leak's score. Repeated rows are scored each, an empty
+    table gives no rows. Nothing is shuffled.
     """
-    others = [c for c in docs.columns if c not in (text, "score", "predicted")]
+    others = [c for c in docs.columns if c not in (text, "score", "predicted", *(["offences"] if locate else []))]
     shape = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in others)
     shape += f"`{text}` string, " if keep_text else ""
+    shape += f"{_OFFENCES}, " if locate else ""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches):
         scorer = _Scorer(shared.value)
         for batch in batches:
-            texts = batch.column(len(others))
-            scores = np.array([scorer.score(t or "") for t in texts.to_pylist()])
+            texts, scores, offences = batch.column(len(others)), [], []
+            for t in texts.to_pylist():
+                logits = scorer.logits(t or "")
+                scores.append(scorer.chance_of(logits))
+                if locate:
+                    worst = sorted(scorer.offences(t, 0.5), key=lambda o: -o[3]) if (logits >= 0).any() else []
+                    offences.append([{"begin": o[1], "end": o[2], "probability": o[3]} for o in worst])
+            scores = np.array(scores, dtype=float)
             yield {
                 **{c: batch.column(i) for i, c in enumerate(others)}, **({text: texts} if keep_text else {}),
-                "score": scores, "predicted": (scores >= 0.5).astype(np.int32),
+                **({"offences": offences} if locate else {}), "score": scores, "predicted": (scores >= 0.5).astype(np.int32),
             }
 
     return map_arrow(docs.select(*others, text), step, f"{shape}score double, predicted int")
@@ -258,10 +281,7 @@ def locate_offences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
         for batch in batches:
             out = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for number, found in enumerate(_SENTENCES.finditer(t or "")):
-                    chance = 1 / (1 + np.exp(-scorer.logits(found.group())[:1].sum()))
-                    if chance >= threshold:
-                        out.append((k, number, found.start(), found.end(), float(chance), found.group()))
+                out += [(k, n, begin, end, chance, t[begin:end]) for n, begin, end, chance in scorer.offences(t or "", threshold)]
             yield dict(zip(names, map(list, zip(*out)))) if out else {n: [] for n in names}
 
     schema = f"`{key}` {kind}, sentence long, begin long, end long, probability double, offence string"

@@ -148,7 +148,7 @@ def test_vectors_equal_brute_force(spark, work, block):
         rows.append((i, (v * rng.uniform(0.5, 2) + rng.normal(size=16) * 0.03).tolist(), int(rng.integers(2))))
     rows += [(400 + i, rows[5][1], rows[5][2]) for i in range(40)]  # one vector many times
     rows += [(500, None, 1), (501, [], 1), (502, [0.0] * 16, 1), (503, [None] * 16, 1), (504, [float("nan")] * 16, 1),
-             (505, rows[5][1], None), (506, [float("inf")] * 16, 0), (507, [1.0], 0), (508, [x * 1e200 for x in rows[5][1]], rows[5][2])]
+             (505, rows[5][1], None), (509, [1.0, 0.0, 0.0], 1), (510, [1.0, 0.1, 0.0], 1), (511, [0.0, 1.0, 0.0], 1), (506, [float("inf")] * 16, 0), (507, [1.0], 0), (508, [x * 1e200 for x in rows[5][1]], rows[5][2])]
     frame = spark.createDataFrame([(*r, "n") for r in rows], "vec_id long, embedding array<double>, label int, n_links string")
     found = embeddings.near_duplicates(frame, work, block=block).vectors.collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in found} == brute_vectors(rows)
@@ -180,6 +180,14 @@ def test_vector_recall_in_a_group_of_near_copies(spark, work, count):
     assert expected > count * count / 20 and 0.9 * expected <= found <= expected
 
 
+def test_labels_of_any_type(spark, work):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [1.0, 0.0])]
+    for kind, labels in (("string", ["a", "b", "a", None]), ("double", [1.2, 1.7, 1.2, None]), ("long", [2**40, 2, 2**40, None])):
+        frame = spark.createDataFrame([(*r, label) for r, label in zip(rows, labels)], f"vec_id long, embedding array<double>, label {kind}")
+        found = embeddings.near_duplicates(frame, work).vectors.collect()
+        assert {r.vec_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 1, 4: 4}
+
+
 def test_vectors_odd_keys(spark, work):
     schema = "vec_id long, embedding array<float>, label int"
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (None, [1.0, 0.0], 1)]

@@ -205,6 +205,8 @@ def test_toxicity_odd_rows(spark, work):
     ):
         found = toxicity.score_toxicity(odd, model).collect()
         assert len(found) == len(odd_texts()) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+        located = toxicity.score_toxicity(odd.withColumn("offences", F.lit(1)), model, locate=True)
+        assert [r.score for r in located.collect()] == [r.score for r in found]
         assert toxicity.score_toxicity(odd.limit(0), model).count() == 0
 
 
@@ -214,7 +216,7 @@ def test_toxicity_odd_rows(spark, work):
 def test_quality_of_held_out_documents(spark, work):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
-    model = quality.fit_quality(docs, labels.where(~held_out), work, rounds=2, fit_rows=2500, pool_rows=1000)
+    model = quality.fit_quality(docs, labels.where(~held_out), work, fit_rows=2500, pool_rows=1000)
     scored = quality.score_quality(docs, model).join(labels, "doc_id").where(held_out)
     good, all_good, bad, all_bad = scored.selectExpr(
         "count_if(quality = 1 and predicted = 1)", "count_if(quality = 1)", "count_if(quality = 0 and predicted = 0)", "count_if(quality = 0)"
@@ -232,6 +234,26 @@ def test_quality_odd_rows(spark, work):
     assert quality.score_quality(docs.limit(0), 0.5).count() == 0
 
 
+def test_quality_fitted_on_repeated_ids(spark, work):
+    rows = [(i % 400, ("GOOD prose of length. " if i % 2 else "xx!! $$ ") * (1 + i % 5), "s" if i % 2 else None, "en") for i in range(800)]
+    docs = spark.createDataFrame(rows + [(7000 + i, t, None, None) for i, t in enumerate(odd_texts())], DOCS)
+    docs = docs.unionByName(spark.createDataFrame([(None, "no id", None, None)] + [(9, "same id", "s", "en")] * 300, DOCS))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    model = quality.fit_quality(docs, labels, work, pool_rows=60)
+    assert isinstance(model, quality.QualityModel)
+    found = quality.score_quality(docs, model).collect()
+    assert len(found) == docs.count() and all(0 <= r.score <= 1 for r in found)
+    right = [r.predicted == r.doc_id % 2 for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id != 9]
+    assert sum(right) > 0.95 * len(right)
+
+
+def test_pool_is_filled_up_with_other_documents(spark):
+    ids = spark.range(5_000).withColumnRenamed("id", "doc_id")
+    slices = [{r.doc_id for r in quality._hash_slices(ids, 500, 23, 3).where(F.col("slice") == i).collect()} for i in range(3)]
+    assert all(400 < len(s) < 600 for s in slices) and len(set.union(*slices)) == sum(map(len, slices))
+    assert quality._hash_slices(ids, 6_000, 23, 3).where("slice = 0").count() == 5_000
+
+
 # Decontamination
 
 

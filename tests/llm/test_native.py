@@ -41,6 +41,9 @@ def test_chats_round_trip(spark):
     assert without_python(chats)
     found = {r.conv_id: r for r in chats.withColumn("turns", chat.parse(F.col("formatted"))).collect()}
     assert len(found) == len({r[0] for r in rows}) and all(r.identical for r in found.values())
+    cut = chats.select("conv_id", chat.loss_texts(F.col("formatted"), F.col("loss_spans")).alias("said"))
+    assert without_python(cut)
+    cut = {r.conv_id: r.said for r in cut.collect()}
     for key, r in found.items():
         turns = sorted(
             ((-(2**63) if t is None else t, role or "", text or "") for c, t, role, text in rows if c == key),
@@ -50,6 +53,7 @@ def test_chats_round_trip(spark):
         said = [text for _, role, text in turns if role == "assistant"]
         assert len(masked) == len(said)
         assert [re.sub(r"<\\(\\*)\|", r"<\1|", m) for m in masked] == said
+        assert cut[key] == said
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
