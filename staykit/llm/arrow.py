@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 # A-Z lower-cased, every other byte as it is; bytes.lower() does the same and is what the modules use.
 ASCII_SPACE = b" \t\n\r\x0b\f"
+PART_BYTES = 2_000_000
 
 
 def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
@@ -30,6 +31,15 @@ def map_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, schema)
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], most: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut, without copying, into runs of rows of about ``most`` bytes, so that what a step makes of the texts of one
+    run stays small; a longer row comes alone."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_bytes(df: DataFrame, text: str = "text") -> DataFrame:
     """The text column as UTF-8 bytes named ``_text``; NULL as empty."""
     return df.withColumn("_text", F.coalesce(F.col(text), F.lit("")).cast("binary")).drop(text)

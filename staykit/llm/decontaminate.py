@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staykit.llm.arrow import map_arrow, with_bytes
+from staykit.llm.arrow import in_parts, map_arrow, with_bytes
 from staykit.sources.tables import Workspace
 
 WINDOW = 13
@@ -245,7 +245,7 @@ def match_benchmark(
 
         def step(batches, shared=shared, first=number == 0, carry=carry):
             matcher = Matcher(shared.value)
-            for batch in batches:
+            for batch in in_parts(batches):
                 texts = batch.column(width)
                 counts, spans, items = matcher.match([v or b"" for v in texts.to_pylist()])
                 if not first:

@@ -18,7 +18,7 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staykit.llm.arrow import map_arrow
+from staykit.llm.arrow import in_parts, map_arrow
 from staykit.sources.tables import Workspace
 
 ORDERS = (5, 4, 3, 2, 1)
@@ -28,7 +28,7 @@ FIT_CHARS = 16_000_000
 # Unseen words whose scores a task remembers.
 REMEMBERED = 300_000
 # Characters scored at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 UNKNOWN = "und"
 # No word speaks against a language by more than this log frequency, so a few telling words do not outvote a long text.
 MAX_VOTE = 4.0
@@ -226,7 +226,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep_tex
 
     def step(batches):
         scorer = _Scorer(shared.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = [t or "" for t in batch.column(len(others)).to_pylist()]
             for begin, end in _slices(texts):
                 sums, lettered = scorer.sums(texts[begin:end])

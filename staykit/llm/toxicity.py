@@ -14,7 +14,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from staykit.llm.arrow import map_arrow, numpy_of, segment_sums
+from staykit.llm.arrow import in_parts, map_arrow, numpy_of, segment_sums
 from staykit.sources.tables import Workspace
 
 # Labelled rows a model is fitted on, at most (as expected value of a hash sample), and its size.
@@ -252,7 +252,7 @@ def score_toxicity(
 
     def step(batches):
         scorer = _Scorer(shared.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             texts, scores, offences = batch.column(len(others)), [], []
             for t in texts.to_pylist():
                 logits = scorer.logits(t or "")

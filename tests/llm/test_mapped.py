@@ -254,6 +254,19 @@ def test_pool_is_filled_up_with_other_documents(spark):
     assert quality._hash_slices(ids, 6_000, 23, 3).where("slice = 0").count() == 5_000
 
 
+def test_batches_in_parts():
+    import pyarrow as pa
+
+    from staykit.llm.arrow import in_parts
+
+    texts = ["a" * 300, None, "", "b" * 5_000, "c"] * 20
+    batch = pa.RecordBatch.from_pydict({"n": list(range(100)), "t": texts})
+    for most in (1, 700, 10**9):
+        parts = list(in_parts([batch, batch.slice(0, 0)], most))
+        assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+        assert len(parts) == {1: 100, 10**9: 1}.get(most, len(parts))
+
+
 # Decontamination
 
 
