@@ -77,6 +77,22 @@ def test_links_of_the_matrices_do_not_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+def test_scored_sessions_are_not_shuffled(spark, monkeypatch):
+    """The few scored accounts are known by then, so sessions are left out where they lie, in as many tasks as read them."""
+    stored, store = {}, Workspace.store
+
+    def noted(work, df, name="table"):
+        stored[name] = df
+        return store(work, df, name)
+
+    monkeypatch.setattr(Workspace, "store", noted)
+    source = Source(spark, SF_DIR)
+    with Workspace(spark) as work:
+        scoring_matrix(source.inputs(), v.FIRST, v.AS_OF, v.PERIOD_DAYS, training=source.training_labels, layers=work)
+        text = plan(stored["scoring-sessions"])
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text, text
+
+
 def test_promotion_profiles_read_each_history_once(spark):
     """Three operators' histories, each of two test tables, and one shuffle for all of them."""
     text = plan(Source(spark, SF_DIR).inputs().promo(since=v.PROMO_SINCE))
