@@ -50,10 +50,18 @@ def attach(spine: DataFrame, tables: list[DataFrame], legacy: bool = False) -> D
 
 
 def _chain(tables: list[DataFrame], how: str) -> DataFrame:
+    """Each table joined on the key of the one before it.
+
+    All keys of a row that are not NULL are equal, so "the key before equals mine" is "the row's account equals mine, and
+    the key before is there". Joined that way, rows with a gap stay with their account instead of meeting under NULL in one
+    task, and a spine that is clustered by account is not shuffled again.
+    """
     keyed = [t.withColumnRenamed(KEY, f"_key{i}") for i, t in enumerate(tables)]
     joined = keyed[0]
     for i, table in enumerate(keyed[1:], 1):
-        joined = joined.join(table, F.col(f"_key{i - 1}") == F.col(f"_key{i}"), how)
+        # Only a full join has rows without the first key.
+        account = F.col("_key0") if how == "left" else F.coalesce(*[F.col(f"_key{k}") for k in range(i)])
+        joined = joined.join(table, (account == F.col(f"_key{i}")) & F.col(f"_key{i - 1}").isNotNull(), how)
     return joined.withColumnRenamed("_key0", KEY).drop(*[f"_key{i}" for i in range(1, len(tables))])
 
 

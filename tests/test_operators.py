@@ -288,6 +288,30 @@ def test_attach_keeps_the_spine(spark):
     assert {tuple(r) for r in attach(spine, [a, b], legacy=True).collect()} == {("1", None, None), ("2", 5, None)}
 
 
+def test_gaps_of_literal_joins_are_spread(spark):
+    """Of 2,000 accounts ten are in the second table: the others have no key to go on with, and stay where they are."""
+    def ids(n, name):
+        return spark.range(n).select(F.concat(F.lit("a"), "id").alias("account_guid"), F.col("id").alias(name))
+
+    many, few, all_ = ids(2000, "a"), ids(10, "b"), ids(2000, "c")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    try:
+        chained = attach(many, [few, all_], legacy=True)
+        assert sorted(map(tuple, chained.collect())) == sorted((f"a{i}", i, *[i if i < 10 else None] * 2) for i in range(2000))
+        whole = union_features([many, few, all_], legacy=True)
+        rows = [(f"a{i}", i, *[i if i < 10 else None] * 2) for i in range(2000)] + [(None, None, None, i) for i in range(10, 2000)]
+        assert sorted(map(tuple, whole.collect()), key=str) == sorted(rows, key=str)
+        for df, limit in ((chained, 600), (whole, 1200)):
+            most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            assert most < limit
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+
+
 def test_one_per_account(spark):
     rows = spark.createDataFrame([("1", "a", None), ("1", "a", "z"), ("2", "b", "c")], "account_guid string, o string, s string")
     assert {tuple(r) for r in one_per_account(rows).collect()} == {("1", "a", "z"), ("2", "b", "c")}
