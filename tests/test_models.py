@@ -6,12 +6,13 @@ import inspect
 import math
 import os
 
+import duckdb
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 import pytest
 
-from staykit.catalog import queries
+from staykit.catalog import oracles, queries
 from staykit.models import forests, frame
 from staykit.models.evaluation import gains, score_histogram, threshold_report
 from staykit.models.boruta import _blocks, binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
@@ -125,6 +126,13 @@ def frames(planted):
     return [rows.where(F.col("split") == part).drop("split").cache() for part in ("train", "valid", "test")]
 
 
+def test_registered_forest_grid_is_whole():
+    """All combinations are in the result that the query is checked against."""
+    found = duckdb.sql(oracles.build()["forest_grid"]).fetchall()
+    points = {row[:3] for row in found}
+    assert len(found) == len(points) == 24 and {(n, d, s) for n in (5, 10) for d in (3, 5) for s in ("2", "4")} < points
+
+
 def test_forest_search_stops_early_and_ranks(frames, tmp_path):
     train, valid, _ = frames
     grid = {"numTrees": [3, 4, 5, 6], "maxDepth": [4], "featureSubsetStrategy": ["2", "3"]}
