@@ -133,6 +133,12 @@ def test_registered_forest_grid_is_whole():
     assert len(found) == len(points) == 24 and {(n, d, s) for n in (5, 10) for d in (3, 5) for s in ("2", "4")} < points
 
 
+def test_registered_boosted_grid_is_whole():
+    found = duckdb.sql(oracles.build()["boosted_grid"]).fetchall()
+    points = {row[:2] for row in found}
+    assert len(found) == len(points) == 9 and {(n, d) for n in (2, 4) for d in (2, 3)} < points
+
+
 def test_forest_search_stops_early_and_ranks(frames, tmp_path):
     train, valid, _ = frames
     grid = {"numTrees": [3, 4, 5, 6], "maxDepth": [4], "featureSubsetStrategy": ["2", "3"]}
