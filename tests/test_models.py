@@ -15,7 +15,7 @@ import pytest
 from staykit.catalog import oracles, queries
 from staykit.models import forests, frame
 from staykit.models.evaluation import gains, score_histogram, threshold_report
-from staykit.models.boruta import _blocks, binomial_tail, boruta_select, false_discovery, tree_count, with_shadows
+from staykit.models.boruta import _blocks, binomial_tail, boruta_select, can_decide, false_discovery, tree_count, with_shadows
 from staykit.operators.ranking import exact_rank
 from staykit.sources.tables import Workspace, read_names, write_names
 
@@ -77,6 +77,15 @@ def test_model_chain_has_rounds_enough_to_decide(planted, monkeypatch, spark):
     assert binomial_tail(rounds, rounds) <= 0.05 / max(rounds, features)
 
 
+def test_rounds_that_cannot_decide_are_not_run():
+    """Against every number of hits that the rounds left can bring."""
+    for done, hits in ((1, 0), (7, 7), (8, 4), (60, 30), (80, 40), (80, 55), (99, 65), (99, 60), (100, 50)):
+        ends = [(n, h) for n in range(done + 1, 101) for h in range(hits, hits + n - done + 1)]
+        passed = any(min(binomial_tail(h, n), binomial_tail(n - h, n)) <= 0.05 / n for n, h in ends)
+        assert can_decide(hits, done, 100, 0.05) == passed
+    assert can_decide(30, 60, 100, 0.05) and not can_decide(40, 80, 100, 0.05)
+
+
 def test_shadows_hold_the_same_values_in_another_order(spark):
     rows = spark.range(500).select(F.col("id").cast("double").alias("label"), F.array(*[(F.col("id") * k).cast("double") for k in (1, 2)]).alias("values")).coalesce(1)
     both = with_shadows(rows, 2, [0, 1], [0, 1], 5).collect()
