@@ -8,7 +8,7 @@ import os
 
 import duckdb
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel
 from pyspark.sql import functions as F
 import pytest
 
@@ -315,6 +315,34 @@ def test_boosted_trees_stop_growing(frames):
     assert short.getNumTrees < 60 and forests.area_under_roc(short, valid) > 0.95
 
 
+def test_points_that_differ_only_in_rounds_share_a_fit_that_stopped(frames, tmp_path, monkeypatch):
+    train, valid, _ = frames
+    fits, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows: fits.append((self.getMaxIter(), self.getMaxDepth())) or fit(self, rows))
+    grid = {"maxIter": [2, 150, 170], "maxDepth": [2, 3]}
+    found = forests.search_boosted(train, valid, str(tmp_path), grid, stopping_rounds=9, stop_inside=True)
+    # Of 150 and 170 rounds one fit per depth; two rounds end before the trees stop by themselves.
+    assert len(found) == 6 and len(fits) == len(set(fits)) == 4 and {(2, 2), (2, 3)} < set(fits)
+    rows = forests._dealt(forests.with_validation(train, valid)).persist()
+    for entry in found:
+        alone = fit(GBTClassifier(seed=12345, validationIndicatorCol=forests.VALIDATION, **entry["params"]), rows)
+        model = forests.load_model(entry["path"])
+        assert model.getMaxIter() == entry["params"]["maxIter"] and model.getNumTrees == alone.getNumTrees
+        trees = [[t.toDebugString.split("\n", 1)[1] for t in m.trees] for m in (model, alone)]
+        assert trees[0] == trees[1] and forests.accuracy(model, valid) == pytest.approx(entry["accuracy"])
+    rows.unpersist()
+
+
+def test_rows_of_both_parts_lie_in_every_task(frames, monkeypatch):
+    train, valid, _ = frames
+    monkeypatch.setattr(forests, "LEAST_VALUES", 100)
+    monkeypatch.setattr(forests, "MOST_VALUES", 300)
+    rows = forests._dealt(forests.with_validation(train, valid))
+    sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count_if(F.col(forests.VALIDATION)).alias("valid"), F.count("label").alias("rows")).collect()
+    assert sum(s["rows"] for s in sizes) == train.count() + valid.count() and len(sizes) == rows.rdd.getNumPartitions()
+    assert all(0 < s["valid"] < s["rows"] and s["rows"] <= 100 for s in sizes)
+
+
 def test_searching_side_by_side_finds_what_one_by_one_finds(frames, tmp_path):
     train, valid, _ = frames
     grid = {"numTrees": [2, 3, 4], "maxDepth": [2, 3]}
