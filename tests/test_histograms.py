@@ -52,7 +52,7 @@ def test_importances_do_not_depend_on_tasks(rows):
         coded, cuts, classes = _binned(rows, parts, 5)
         return forest_importances(coded, [len(c) + 1 for c in cuts], classes, 5, 4, tasks, parts, 7).tolist()
 
-    assert found(6, 6) == found(6, 1) == found(3, 2)
+    assert found(6, 6) == found(6, 1) == found(3, 2) == found(1, 2)
 
 
 def test_forest_ranks_columns_as_mllibs(rows):
